@@ -55,18 +55,17 @@ CTES: dict[str, str] = {
          count(userId) AS watchings
   FROM rated_genres GROUP BY userId, genre)""",
     "thresholds": """thresholds AS (
-  SELECT userId, count(*) AS num_genres,
+  SELECT userId, count(*) AS num_genres, count(Average_Rating) AS num_rated,
          sum(CAST(Average_Rating AS DECIMAL(18,2))) AS rating_sum,
          sum(watchings) AS watchings_sum
   FROM profile GROUP BY userId)""",
-    "liked": """liked AS (
-  SELECT p.userId, p.genre, p.Average_Rating, p.watchings FROM profile p JOIN thresholds t USING (userId)
-  WHERE CAST(p.Average_Rating AS DECIMAL(18,2)) * t.num_genres >= t.rating_sum
-    AND p.watchings * t.num_genres >= t.watchings_sum)""",
-    "disliked": """disliked AS (
-  SELECT p.userId, p.genre, p.Average_Rating, p.watchings FROM profile p JOIN thresholds t USING (userId)
-  WHERE CAST(p.Average_Rating AS DECIMAL(18,2)) * t.num_genres < t.rating_sum
-    AND p.watchings * t.num_genres < t.watchings_sum)""",
+    "flags": """flags AS (
+  SELECT p.userId, p.genre, p.Average_Rating, p.watchings,
+         coalesce(CAST(p.Average_Rating AS DECIMAL(18,2)) * t.num_rated >= t.rating_sum
+                  AND p.watchings * t.num_genres >= t.watchings_sum, false) AS likes,
+         coalesce(CAST(p.Average_Rating AS DECIMAL(18,2)) * t.num_rated < t.rating_sum
+                  AND p.watchings * t.num_genres < t.watchings_sum, false) AS dislikes
+  FROM profile p JOIN thresholds t ON p.userId = t.userId)""",
     "cutoff": """cutoff AS (
   SELECT userId, avg(watchCount) AS avgWatchCount FROM genre_stats GROUP BY userId)""",
     "above_cutoff": """above_cutoff AS (
@@ -111,8 +110,7 @@ DEPENDS: dict[str, tuple[str, ...]] = {
     "genre_stats": ("wide",),
     "profile": ("rated_genres",),
     "thresholds": ("profile",),
-    "liked": ("profile", "thresholds"),
-    "disliked": ("profile", "thresholds"),
+    "flags": ("profile", "thresholds"),
     "cutoff": ("genre_stats",),
     "above_cutoff": ("genre_stats", "cutoff"),
     "favourites": ("above_cutoff",),
@@ -146,13 +144,39 @@ def _list(values) -> str:
     return ", ".join(_q(v) if isinstance(v, str) else str(v) for v in values)
 
 
+def _histogram(values_sql: str, key_name: str, bins: int) -> str:
+    """Equal-width bins over per-key values ``(k, v)``; the range widens by 0.5 each side when min = max."""
+    return f"""WITH {{ctes}}
+vals AS ({values_sql}),
+rng AS (
+  SELECT k, CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+            CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi
+  FROM vals WHERE v IS NOT NULL GROUP BY k),
+cnt AS (
+  SELECT vals.k, least(CAST(floor((vals.v - rng.lo) * {bins} / (rng.hi - rng.lo)) AS BIGINT), {bins - 1}) AS b,
+         count(*) AS n
+  FROM vals JOIN rng ON vals.k = rng.k WHERE vals.v IS NOT NULL GROUP BY 1, 2),
+edges AS (
+  SELECT rng.k, t.b, rng.lo + t.b * (rng.hi - rng.lo) / {bins} AS bin_start,
+         rng.lo + (t.b + 1) * (rng.hi - rng.lo) / {bins} AS bin_end
+  FROM rng, range({bins}) t(b))
+SELECT edges.k AS {key_name}, CAST(edges.b AS INTEGER) AS bin, edges.bin_start, edges.bin_end,
+       coalesce(cnt.n, 0) AS num_users
+FROM edges LEFT JOIN cnt ON edges.k = cnt.k AND edges.b = cnt.b"""
+
+
+def _with(template: str, *ctes: str) -> str:
+    return template.replace("{ctes}", ",\n".join(CTES[n] for n in _ordered(ctes)) + ",")
+
+
 def oracle_sql() -> dict[str, str]:
     user, (u1, u2) = P.USER, P.PAIR
     users = _list(P.USER_LIST)
     genres = _list(P.GENRE_LIST)
     frag, year, tfrag, mid = _q(P.GENRE_FRAGMENT), P.YEAR, _q(P.TITLE_FRAGMENT), P.MOVIE_ID
     exact_title = f"(SELECT title FROM movies WHERE movieId = {mid})"
-    n_top = P.TOP_N
+    n_top, bins = P.TOP_N, P.HISTOGRAM_BINS
+    round2 = "CAST(round(CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE)"
     q: dict[str, str] = {}
 
     # sources and sinks -------------------------------------------------------------------------
@@ -166,6 +190,207 @@ UNION ALL SELECT 'ratings', count(*) FROM ratings
 UNION ALL SELECT 'movie_genres', count(*) FROM movie_genres""",
         "movies", "ratings", "movie_genres",
     )
+    q["export_summaries"] = sql(
+        """SELECT 'yearly_movies' AS summary, count(*) AS num_rows FROM (SELECT production_year FROM movies GROUP BY 1)
+UNION ALL SELECT 'yearly_genres_movies', count(*) FROM
+  (SELECT m.production_year, g.genre FROM movies m JOIN movie_genres g ON m.movieId = g.movieId GROUP BY 1, 2)
+UNION ALL SELECT 'genres_movies', count(*) FROM (SELECT genre FROM movie_genres GROUP BY 1)
+UNION ALL SELECT 'yearly_watchings', count(*) FROM (SELECT substring(watching_date, 1, 4) FROM ratings GROUP BY 1)
+UNION ALL SELECT 'genres_watchings', count(*) FROM
+  (SELECT g.genre FROM ratings r JOIN movie_genres g ON r.movieId = g.movieId GROUP BY 1)""",
+        "movies", "ratings", "movie_genres",
+    )
+
+    # cleaning and model ------------------------------------------------------------------------
+    q["clean_ratings"] = sql(
+        """SELECT TRY_CAST(userId AS INTEGER) AS userId, TRY_CAST(movieId AS INTEGER) AS movieId,
+       TRY_CAST(rating AS FLOAT) AS rating, "timestamp",
+       strftime(epoch_ms(TRY_CAST("timestamp" AS BIGINT) * 1000), '%Y-%m-%d') AS watching_date
+FROM raw_ratings_dirty
+WHERE userId IS NOT NULL AND movieId IS NOT NULL AND rating IS NOT NULL AND "timestamp" IS NOT NULL
+  AND TRY_CAST(userId AS INTEGER) IS NOT NULL AND TRY_CAST(movieId AS INTEGER) IS NOT NULL""",
+        "raw_ratings_dirty",
+    )
+    q["clean_movies"] = sql(
+        """SELECT TRY_CAST(movieId AS INTEGER) AS movieId, title, genres,
+       substring(rtrim(title), -5, 4) AS production_year
+FROM raw_movies_dirty
+WHERE movieId IS NOT NULL AND title IS NOT NULL AND genres IS NOT NULL AND TRY_CAST(movieId AS INTEGER) IS NOT NULL""",
+        "raw_movies_dirty",
+    )
+    q["clean_tags"] = sql("SELECT userId, movieId, tag FROM tags WHERE userId IS NOT NULL AND movieId IS NOT NULL", "tags")
+    q["movie_genres"] = sql("SELECT movieId, genre FROM movie_genres", "movie_genres")
+    q["interactions"] = sql("SELECT userId, movieId, rating FROM interactions", "interactions")
+    q["interactions_wide"] = sql("SELECT rating, userId, movieId, title, genre FROM wide", "wide")
+
+    # lookups -----------------------------------------------------------------------------------
+    user_rows = """SELECT r.movieId, r.userId, r.rating, r."timestamp", r.watching_date, m.title, m.genres, m.production_year
+FROM ratings r JOIN movies m ON r.movieId = m.movieId WHERE r.userId {cond}"""
+    q["user_ratings"] = sql(user_rows.format(cond=f"= {user}"), "ratings", "movies")
+    q["user_ratings_unknown"] = sql(user_rows.format(cond=f"= {P.UNKNOWN_USER}"), "ratings", "movies")
+    q["users_ratings"] = sql(user_rows.format(cond=f"IN ({users})"), "ratings", "movies")
+    q["movie_by_id"] = sql(f"SELECT * FROM movies WHERE movieId = {mid}", "movies")
+    q["movie_title_contains"] = sql(f"SELECT * FROM movies WHERE strpos(title, {tfrag}) > 0", "movies")
+    q["movie_title_exact"] = sql(f"SELECT * FROM movies WHERE title = {exact_title}", "movies")
+    q["genre_contains"] = sql(f"SELECT * FROM movies WHERE strpos(genres, {frag}) > 0", "movies")
+    q["movies_in_genre_list"] = sql(
+        f"""SELECT g.movieId, g.genre, m.title, m.genres, m.production_year
+FROM movie_genres g JOIN movies m ON g.movieId = m.movieId WHERE g.genre IN ({genres})""",
+        "movies", "movie_genres",
+    )
+    frag_values = ", ".join(f"({_q(g)})" for g in P.GENRE_LIST)
+    q["genre_counts_samples"] = sql(
+        f"""SELECT s.fragment, c.num_movies, s.sample_rank, s.movieId, s.title, s.genres, s.production_year
+FROM (SELECT f.fragment, m.*, row_number() OVER (PARTITION BY f.fragment ORDER BY m.movieId) AS sample_rank
+      FROM (VALUES {frag_values}) f(fragment) JOIN movies m ON strpos(m.genres, f.fragment) > 0) s
+JOIN (SELECT f.fragment, count(*) AS num_movies
+      FROM (VALUES {frag_values}) f(fragment) JOIN movies m ON strpos(m.genres, f.fragment) > 0
+      GROUP BY f.fragment) c ON s.fragment = c.fragment
+WHERE s.sample_rank <= {P.SAMPLES_PER_GENRE}""",
+        "movies",
+    )
+    q["movies_by_year"] = sql(f"SELECT * FROM movies WHERE ends_with(title, '({year})')", "movies")
+    q["titles_by_users"] = sql(f"SELECT DISTINCT title FROM wide WHERE userId IN ({users})", "wide")
+    q["titles_in_genres"] = sql(f"SELECT title FROM wide WHERE genre IN ({genres})", "wide")
+    q["titles_in_genres_distinct"] = sql(f"SELECT DISTINCT title FROM wide WHERE genre IN ({genres})", "wide")
+    q["user_detail_totals"] = sql(
+        f"""SELECT g.userId, g.num_genres, h.num_movies
+FROM (SELECT userId, count(*) AS num_genres FROM profile WHERE userId IN ({users}) GROUP BY userId) g
+JOIN (SELECT r.userId, count(*) AS num_movies FROM ratings r JOIN movies m ON r.movieId = m.movieId
+      WHERE r.userId IN ({users}) GROUP BY r.userId) h ON g.userId = h.userId""",
+        "profile", "ratings", "movies",
+    )
+    q["user_history"] = sql(
+        f"""SELECT r.userId, m.title, r.watching_date, r.rating
+FROM ratings r JOIN movies m ON r.movieId = m.movieId WHERE r.userId = {user}""",
+        "ratings", "movies",
+    )
+    q["genre_detail_totals"] = sql(
+        f"SELECT {frag} AS genre, count(*) AS num_movies FROM movies WHERE strpos(genres, {frag}) > 0", "movies"
+    )
+
+    # aggregations, interaction meaning ---------------------------------------------------------
+    q["user_movie_count"] = sql(
+        f"SELECT userId, count(DISTINCT movieId) AS moviesWatched FROM wide WHERE userId = {user} GROUP BY userId", "wide"
+    )
+    q["user_movie_count_all"] = sql("SELECT userId, count(DISTINCT movieId) AS moviesWatched FROM wide GROUP BY userId", "wide")
+    q["user_genre_count"] = sql(
+        f"SELECT userId, count(DISTINCT genre) AS genresWatched FROM wide WHERE userId = {user} GROUP BY userId", "wide"
+    )
+    q["user_genre_count_all"] = sql("SELECT userId, count(DISTINCT genre) AS genresWatched FROM wide GROUP BY userId", "wide")
+    watch_summary = """SELECT movieId, title, count(DISTINCT userId) AS usersWatchedMovie, avg(rating) AS averageRating
+FROM wide WHERE {cond} GROUP BY movieId, title"""
+    q["movie_summary_by_id"] = sql(watch_summary.format(cond=f"movieId = {mid}"), "wide")
+    q["movie_summary_by_title"] = sql(watch_summary.format(cond=f"strpos(title, {tfrag}) > 0"), "wide")
+    q["user_genre_stats"] = sql("SELECT userId, genre, avgRating, watchCount FROM genre_stats", "genre_stats")
+    q["user_watch_cutoff"] = sql(
+        """SELECT s.userId, s.genre, s.avgRating, s.watchCount, c.avgWatchCount
+FROM genre_stats s JOIN cutoff c ON s.userId = c.userId""",
+        "genre_stats", "cutoff",
+    )
+    q["favourite_genres"] = sql(
+        "SELECT userId, genre, avgRating, watchCount, avgWatchCount, maxAvgRating FROM favourites", "favourites"
+    )
+    q["favourite_genres_strict"] = sql(
+        """SELECT userId, genre, avgRating, watchCount, avgWatchCount FROM (
+  SELECT a.*, rank() OVER (PARTITION BY userId ORDER BY avgRating DESC) AS rk
+  FROM above_cutoff a WHERE avgRating IS NOT NULL) WHERE rk = 1""",
+        "above_cutoff",
+    )
+    favourite_one = """SELECT userId, genre AS favouriteGenre FROM (
+  SELECT userId, genre, row_number() OVER (PARTITION BY userId ORDER BY watchCount DESC, genre ASC) AS rn
+  FROM favourites) WHERE rn = 1"""
+    q["favourite_genre_of_user"] = sql(favourite_one + f" AND userId = {user}", "favourites")
+    q["favourite_genre_all_users"] = sql(favourite_one, "favourites")
+    q["favourite_genre_counts"] = sql(
+        "SELECT genre, count(userId) AS favouriteGenreCount FROM favourites GROUP BY genre", "favourites"
+    )
+    q["genre_user_counts"] = sql('SELECT genre, count(DISTINCT userId) AS "Count" FROM wide GROUP BY genre', "wide")
+    q["user_genre_ratings"] = sql(f"SELECT userId, genre, avgRating FROM genre_stats WHERE userId = {user}", "genre_stats")
+    q["user_genre_watches"] = sql(f"SELECT userId, genre, watchCount FROM genre_stats WHERE userId = {user}", "genre_stats")
+    q["genre_rating_histogram"] = _with(
+        _histogram(f"SELECT genre AS k, avgRating AS v FROM genre_stats WHERE genre = {_q(P.HISTOGRAM_GENRE)}", "genre", bins),
+        "genre_stats",
+    )
+    q["genre_rating_histogram_all"] = _with(
+        _histogram("SELECT genre AS k, avgRating AS v FROM genre_stats", "genre", bins), "genre_stats"
+    )
+    q["movie_rating_histogram"] = _with(
+        _histogram(
+            f"SELECT title AS k, avg(rating) AS v FROM wide WHERE title = {exact_title} GROUP BY userId, title",
+            "title",
+            bins,
+        ),
+        "wide", "movies",
+    )
+
+    # aggregations, rating meaning --------------------------------------------------------------
+    q["movie_summary"] = sql(
+        """SELECT r.movieId, avg(r.rating) AS Average_Rating, count(r.movieId) AS Number_OF_Watchings
+FROM movies m JOIN ratings r ON m.movieId = r.movieId GROUP BY r.movieId""",
+        "movies", "ratings",
+    )
+    q["movie_summary_detail"] = sql(
+        f"""SELECT m.movieId, m.title, m.genres, {round2.format(x="avg(r.rating)")} AS Average_Rating,
+       count(r.movieId) AS Number_OF_Watchings
+FROM movies m JOIN ratings r ON m.movieId = r.movieId GROUP BY m.movieId, m.title, m.genres""",
+        "movies", "ratings",
+    )
+    q["genre_summary"] = sql(
+        """SELECT g.genre, count(g.movieId) AS Number_OF_Watchings, avg(r.rating) AS Average_Rating
+FROM movie_genres g JOIN ratings r ON g.movieId = r.movieId GROUP BY g.genre""",
+        "movie_genres", "ratings",
+    )
+    q["user_genre_profile"] = sql(f"SELECT * FROM profile WHERE userId = {user}", "profile")
+    q["user_genre_profile_all"] = sql("SELECT * FROM profile", "profile")
+    q["user_taste_thresholds"] = sql(
+        """SELECT userId, count(*) AS num_genres,
+       CASE WHEN count(Average_Rating) > 0
+            THEN CAST(sum(CAST(Average_Rating AS DECIMAL(18,2))) AS DOUBLE) / count(Average_Rating) END
+         AS avg_rating_threshold,
+       CAST(sum(watchings) AS DOUBLE) / count(*) AS avg_watchings_threshold
+FROM profile GROUP BY userId""",
+        "profile",
+    )
+    q["movies_per_year"] = sql(
+        "SELECT production_year, count(production_year) AS num_of_movies FROM movies GROUP BY production_year", "movies"
+    )
+    q["genre_movies_per_year"] = sql(
+        """SELECT m.production_year, g.genre, count(m.production_year) AS num_of_movies
+FROM movies m JOIN movie_genres g ON m.movieId = g.movieId GROUP BY m.production_year, g.genre""",
+        "movies", "movie_genres",
+    )
+    q["movies_per_genre"] = sql(
+        """SELECT g.genre, count(g.genre) AS num_of_movies
+FROM movie_genres g JOIN movies m ON g.movieId = m.movieId GROUP BY g.genre""",
+        "movies", "movie_genres",
+    )
+    q["ratings_per_year"] = sql(
+        """SELECT substring(watching_date, 1, 4) AS watching_year, count(substring(watching_date, 1, 4)) AS num_of_watchings
+FROM ratings GROUP BY 1""",
+        "ratings",
+    )
+    q["active_user_days_per_year"] = sql(
+        """SELECT substring(watching_date, 1, 4) AS watching_year, count(userId) AS num_of_users
+FROM (SELECT DISTINCT userId, watching_date FROM ratings) GROUP BY 1""",
+        "ratings",
+    )
+    q["active_users_per_year"] = sql(
+        "SELECT substring(watching_date, 1, 4) AS watching_year, count(DISTINCT userId) AS num_of_users FROM ratings GROUP BY 1",
+        "ratings",
+    )
+    q["ratings_per_genre"] = sql(
+        f"""SELECT g.genre, count(g.genre) AS num_of_watchings, {round2.format(x="avg(r.rating)")} AS average_rating
+FROM ratings r JOIN movie_genres g ON r.movieId = g.movieId GROUP BY g.genre""",
+        "ratings", "movie_genres",
+    )
+    q["dataset_totals"] = sql(
+        """SELECT (SELECT count(DISTINCT userId) FROM ratings) AS num_users,
+       (SELECT count(DISTINCT movieId) FROM movies) AS num_movies,
+       (SELECT count(DISTINCT genre) FROM movie_genres) AS num_genres,
+       (SELECT count(*) FROM ratings) AS num_ratings""",
+        "ratings", "movies", "movie_genres",
+    )
 
     # top-k -------------------------------------------------------------------------------------
     q["top_watched"] = sql(
@@ -182,4 +407,42 @@ JOIN movies m ON r.movieId = m.movieId
 ORDER BY r.Average_Rating DESC NULLS LAST, r.movieId ASC LIMIT {n_top}""",
         "ratings", "movies",
     )
+
+    # taste -------------------------------------------------------------------------------------
+    q["liked_genres"] = sql("SELECT userId, genre, Average_Rating, watchings FROM flags WHERE likes", "flags")
+    q["disliked_genres"] = sql("SELECT userId, genre, Average_Rating, watchings FROM flags WHERE dislikes", "flags")
+    shared = f"""SELECT a.genre, a.userId AS first_user, b.userId AS second_user,
+       a.watchings AS first_watchings, b.watchings AS second_watchings,
+       a.Average_Rating AS first_rating, b.Average_Rating AS second_rating
+FROM profile a JOIN profile b ON a.genre = b.genre WHERE a.userId = {u1} AND b.userId = {u2}"""
+    q["taste_shared"] = sql(shared, "profile")
+    only = """SELECT userId, genre, Average_Rating, watchings FROM profile WHERE userId = {a}
+  AND genre IN (SELECT genre FROM profile WHERE userId = {a} EXCEPT SELECT genre FROM profile WHERE userId = {b})"""
+    q["taste_only_first"] = sql(only.format(a=u1, b=u2), "profile")
+    q["taste_only_second"] = sql(only.format(a=u2, b=u1), "profile")
+    q["genre_set_except"] = sql(
+        f"SELECT genre FROM profile WHERE userId = {u1} EXCEPT SELECT genre FROM profile WHERE userId = {u2}", "profile"
+    )
+    for key, f1, f2 in (
+        ("taste_both_like", "likes", "likes"),
+        ("taste_both_dislike", "dislikes", "dislikes"),
+        ("taste_like_dislike", "likes", "dislikes"),
+        ("taste_dislike_like", "dislikes", "likes"),
+    ):
+        q[key] = sql(
+            f"""SELECT s.* FROM ({shared}) s
+WHERE s.genre IN (SELECT genre FROM flags WHERE userId = {u1} AND {f1})
+  AND s.genre IN (SELECT genre FROM flags WHERE userId = {u2} AND {f2})""",
+            "profile", "flags",
+        )
+    pair_values = ", ".join(f"({a}, {b})" for a, b in P.TASTE_PAIRS)
+    q["taste_pairs"] = sql(
+        f"""SELECT a.genre, pr.first_user, pr.second_user, a.watchings AS first_watchings, b.watchings AS second_watchings,
+       a.Average_Rating AS first_rating, b.Average_Rating AS second_rating,
+       a.likes AS first_likes, a.dislikes AS first_dislikes, b.likes AS second_likes, b.dislikes AS second_dislikes
+FROM (VALUES {pair_values}) pr(first_user, second_user)
+JOIN flags a ON a.userId = pr.first_user
+JOIN flags b ON b.userId = pr.second_user AND b.genre = a.genre""",
+        "flags",
+    )
     return q

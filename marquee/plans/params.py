@@ -3,6 +3,7 @@
 # Chosen so every query has rows at every scale of the driver's tables.
 USER = 1
 PAIR = (1, 5)
+TASTE_PAIRS = ((1, 5), (1, 3), (3, 5))
 USER_LIST = (1, 3, 5)
 GENRE_LIST = ("red", "PROMO", "Brand#1")
 GENRE_FRAGMENT = "ring"

@@ -1,18 +1,36 @@
 """Every registered query: ``name -> (spark, sf_dir) -> DataFrame`` over the driver's tables.
 
 Each query builds its frames lazily from the Parquet files of ``sf_dir`` through the adapter and the cleaning
-step, so its work grows with the tables; constants come from ``params``.
+step, so its work grows with the tables; constants come from ``params``. Queries that write (scans of CSV
+copies, sinks) write under the session's checkpoint folder and return a lazy read of what they wrote.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.operators import leaderboard
+from marquee import schemas
+from marquee.operators import (
+    clean,
+    distribution,
+    leaderboard,
+    lookup,
+    profile,
+    recommend,
+    summary,
+    taste,
+)
+from marquee.operators.model import interactions, interactions_wide
 from marquee.plans import params as P
+from marquee.plans.report import EXPORTED, export_report
 from marquee.plans.tables import MovieTables
+from marquee.session import scratch_dir
+from marquee.sinks import read_csv, save_as_csv, save_tables
+from marquee.sources import adapter
+from marquee.sources.files import scan_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,18 +39,481 @@ def tables(spark: SparkSession, sf_dir: str, dirty: bool = False) -> MovieTables
     return MovieTables.from_driver_tables(spark, sf_dir, dirty=dirty)
 
 
-def _top_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _title_of_movie(t: MovieTables, movie_id: int) -> Column:
+    """Scalar subquery: the title of one movie (titles differ per scale, so no literal)."""
+    return t.movies.where(F.col("movieId") == F.lit(movie_id)).select("title").scalar()
+
+
+# sources and sinks -----------------------------------------------------------------------------------
+
+
+def _csv_copy(spark: SparkSession, raw: DataFrame, table: str) -> DataFrame:
+    path = scratch_dir(spark, f"raw-{table}")
+    save_as_csv(raw, path)
+    return scan_csv(spark, path, table)
+
+
+def _scan_movies(spark, sf_dir):
+    return _csv_copy(spark, adapter.raw_movies(spark, sf_dir, dirty=True), "movies")
+
+
+def _scan_ratings(spark, sf_dir):
+    return _csv_copy(spark, adapter.raw_ratings(spark, sf_dir, dirty=True), "ratings")
+
+
+def _scan_tags(spark, sf_dir):
+    return _csv_copy(spark, adapter.raw_tags(spark, sf_dir), "tags")
+
+
+def _sink_csv_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "movies-csv")
+    save_as_csv(tables(spark, sf_dir).movies, path)
+    return read_csv(spark, path, schemas.MOVIES)
+
+
+def _save_tables(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    paths = save_tables(
+        {"movies": t.movies, "ratings": t.ratings, "movie_genres": t.movie_genres}, scratch_dir(spark, "tables")
+    )
+    counts = [
+        spark.read.parquet(p).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(n).alias("table_name"), "num_rows")
+        for n, p in paths.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def _export_summaries(spark, sf_dir):
+    paths = export_report(tables(spark, sf_dir), scratch_dir(spark, "report"))
+    counts = [
+        spark.read.option("header", True).csv(paths[n]).agg(F.count(F.lit(1)).alias("num_rows"))
+        .select(F.lit(n).alias("summary"), "num_rows")
+        for n in EXPORTED
+    ]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+# cleaning and model ----------------------------------------------------------------------------------
+
+
+def _clean_ratings(spark, sf_dir):
+    return clean.clean_ratings(adapter.raw_ratings(spark, sf_dir, dirty=True))
+
+
+def _clean_movies(spark, sf_dir):
+    return clean.clean_movies(adapter.raw_movies(spark, sf_dir, dirty=True))
+
+
+def _clean_tags(spark, sf_dir):
+    return tables(spark, sf_dir).tags
+
+
+def _movie_genres(spark, sf_dir):
+    return tables(spark, sf_dir).movie_genres
+
+
+def _interactions(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return interactions(t.ratings, t.tags)
+
+
+def _interactions_wide(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return interactions_wide(t.interactions, t.movies)
+
+
+# lookups ---------------------------------------------------------------------------------------------
+
+
+def _user_ratings(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return lookup.user_ratings(t.ratings, t.movies, P.USER)
+
+
+def _user_ratings_unknown(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return lookup.user_ratings(t.ratings, t.movies, P.UNKNOWN_USER)
+
+
+def _users_ratings(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return lookup.users_ratings(t.ratings, t.movies, P.USER_LIST)
+
+
+def _movie_by_id(spark, sf_dir):
+    return lookup.movie_by_id(tables(spark, sf_dir).movies, P.MOVIE_ID)
+
+
+def _movie_title_contains(spark, sf_dir):
+    return lookup.movie_title_contains(tables(spark, sf_dir).movies, P.TITLE_FRAGMENT)
+
+
+def _movie_title_exact(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return lookup.movie_title_exact(t.movies, _title_of_movie(t, P.MOVIE_ID))
+
+
+def _genre_contains(spark, sf_dir):
+    return lookup.genre_contains(tables(spark, sf_dir).movies, P.GENRE_FRAGMENT)
+
+
+def _movies_in_genre_list(spark, sf_dir):
+    return lookup.movies_in_genre_list(tables(spark, sf_dir).movies, P.GENRE_LIST)
+
+
+def _genre_counts_samples(spark, sf_dir):
+    return lookup.genre_counts_samples(tables(spark, sf_dir).movies, P.GENRE_LIST, P.SAMPLES_PER_GENRE)
+
+
+def _movies_by_year(spark, sf_dir):
+    return lookup.movies_by_year(tables(spark, sf_dir).movies, P.YEAR)
+
+
+def _titles_by_users(spark, sf_dir):
+    return lookup.titles_by_users(tables(spark, sf_dir).wide, P.USER_LIST)
+
+
+def _titles_in_genres(spark, sf_dir):
+    return lookup.titles_in_genres(tables(spark, sf_dir).wide, P.GENRE_LIST)
+
+
+def _titles_in_genres_distinct(spark, sf_dir):
+    return lookup.titles_in_genres(tables(spark, sf_dir).wide, P.GENRE_LIST, distinct=True)
+
+
+def _user_detail_totals(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return lookup.user_detail(t.ratings, t.movies, P.USER_LIST)[0]
+
+
+def _user_history(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return lookup.user_detail(t.ratings, t.movies, [P.USER])[1]
+
+
+def _genre_detail_totals(spark, sf_dir):
+    return lookup.genre_detail(tables(spark, sf_dir).movies, P.GENRE_FRAGMENT)[0]
+
+
+# aggregations: interaction meaning -------------------------------------------------------------------
+
+
+def _user_movie_count(spark, sf_dir):
+    return profile.count_watched_movies(tables(spark, sf_dir).wide, P.USER)
+
+
+def _user_movie_count_all(spark, sf_dir):
+    return profile.count_watched_movies(tables(spark, sf_dir).wide)
+
+
+def _user_genre_count(spark, sf_dir):
+    return profile.count_watched_genres(tables(spark, sf_dir).wide, P.USER)
+
+
+def _user_genre_count_all(spark, sf_dir):
+    return profile.count_watched_genres(tables(spark, sf_dir).wide)
+
+
+def _movie_summary_by_id(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return profile.movie_watch_summary(t.interactions, t.movies, movie_id=P.MOVIE_ID)
+
+
+def _movie_summary_by_title(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return profile.movie_watch_summary(t.interactions, t.movies, title_fragment=P.TITLE_FRAGMENT)
+
+
+def _user_genre_stats(spark, sf_dir):
+    return profile.genre_stats(tables(spark, sf_dir).wide)
+
+
+def _user_watch_cutoff(spark, sf_dir):
+    return profile.with_cutoff(profile.genre_stats(tables(spark, sf_dir).wide))
+
+
+def _favourite_genres(spark, sf_dir):
+    return profile.favourite_genres(tables(spark, sf_dir).wide)
+
+
+def _favourite_genres_strict(spark, sf_dir):
+    return profile.favourite_genres_strict(tables(spark, sf_dir).wide)
+
+
+def _favourite_genre_of_user(spark, sf_dir):
+    return profile.favourite_genre_of_user(tables(spark, sf_dir).wide, P.USER)
+
+
+def _favourite_genre_all_users(spark, sf_dir):
+    return profile.favourite_genre_per_user(tables(spark, sf_dir).wide)
+
+
+def _favourite_genre_counts(spark, sf_dir):
+    return profile.favourite_genre_counts(tables(spark, sf_dir).wide)
+
+
+def _genre_user_counts(spark, sf_dir):
+    return profile.genre_user_counts(tables(spark, sf_dir).wide)
+
+
+def _user_genre_ratings(spark, sf_dir):
+    return profile.user_genre_ratings(tables(spark, sf_dir).wide, P.USER)
+
+
+def _user_genre_watches(spark, sf_dir):
+    return profile.user_genre_watches(tables(spark, sf_dir).wide, P.USER)
+
+
+def _genre_rating_histogram(spark, sf_dir):
+    return distribution.genre_rating_histogram(tables(spark, sf_dir).wide, P.HISTOGRAM_GENRE, P.HISTOGRAM_BINS)
+
+
+def _genre_rating_histogram_all(spark, sf_dir):
+    return distribution.genre_rating_histogram(tables(spark, sf_dir).wide, None, P.HISTOGRAM_BINS)
+
+
+def _movie_rating_histogram(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return distribution.movie_rating_histogram(t.wide, _title_of_movie(t, P.MOVIE_ID), P.HISTOGRAM_BINS)
+
+
+# aggregations: rating meaning ------------------------------------------------------------------------
+
+
+def _movie_summary(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return summary.movie_summary(t.ratings, t.movies)
+
+
+def _movie_summary_detail(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return summary.movie_summary_detail(t.ratings, t.movies)
+
+
+def _genre_summary(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return summary.genre_summary(t.ratings, t.movies)
+
+
+def _user_genre_profile(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return profile.user_genre_profile(t.ratings, t.movies, [P.USER])
+
+
+def _user_genre_profile_all(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return profile.user_genre_profile(t.ratings, t.movies)
+
+
+def _user_taste_thresholds(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return profile.user_taste_thresholds(profile.user_genre_profile(t.ratings, t.movies))
+
+
+def _movies_per_year(spark, sf_dir):
+    return summary.movies_per_year(tables(spark, sf_dir).movies)
+
+
+def _genre_movies_per_year(spark, sf_dir):
+    return summary.genre_movies_per_year(tables(spark, sf_dir).movies)
+
+
+def _movies_per_genre(spark, sf_dir):
+    return summary.movies_per_genre(tables(spark, sf_dir).movies)
+
+
+def _ratings_per_year(spark, sf_dir):
+    return summary.ratings_per_year(tables(spark, sf_dir).ratings)
+
+
+def _active_user_days_per_year(spark, sf_dir):
+    return summary.active_user_days_per_year(tables(spark, sf_dir).ratings)
+
+
+def _active_users_per_year(spark, sf_dir):
+    return summary.active_users_per_year(tables(spark, sf_dir).ratings)
+
+
+def _ratings_per_genre(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return summary.ratings_per_genre(t.ratings, t.movies)
+
+
+def _dataset_totals(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return summary.dataset_totals(t.ratings, t.movies)
+
+
+# top-k -----------------------------------------------------------------------------------------------
+
+
+def _top_watched(spark, sf_dir):
     t = tables(spark, sf_dir)
     return leaderboard.top_watched(t.ratings, t.movies, n=P.TOP_N)
 
 
-def _top_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _top_rated(spark, sf_dir):
     t = tables(spark, sf_dir)
     return leaderboard.top_rated(t.ratings, t.movies, n=P.TOP_N)
 
 
+# taste -----------------------------------------------------------------------------------------------
+
+
+def _all_profile(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return profile.user_genre_profile(t.ratings, t.movies)
+
+
+def _pair_profile(spark, sf_dir, users=P.PAIR):
+    t = tables(spark, sf_dir)
+    return taste.pair_profile(t.ratings, t.movies, users)
+
+
+def _liked_genres(spark, sf_dir):
+    return profile.liked_genres(_all_profile(spark, sf_dir))
+
+
+def _disliked_genres(spark, sf_dir):
+    return profile.disliked_genres(_all_profile(spark, sf_dir))
+
+
+def _pair_query(fn):
+    def run(spark, sf_dir):
+        return fn(_pair_profile(spark, sf_dir), *P.PAIR)
+
+    return run
+
+
+def _taste_pairs(spark, sf_dir):
+    users = sorted({u for pair in P.TASTE_PAIRS for u in pair})
+    return taste.taste_pairs(_pair_profile(spark, sf_dir, users), P.TASTE_PAIRS)
+
+
+# recommender -----------------------------------------------------------------------------------------
+
+_MODELS: dict[tuple[int, str], tuple[SparkSession, object, DataFrame]] = {}
+
+
+def _model(spark: SparkSession, sf_dir: str):
+    key = (id(spark), sf_dir)
+    hit = _MODELS.get(key)
+    if hit is None or hit[0] is not spark:
+        model, test = recommend.train_als(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
+        hit = _MODELS[key] = (spark, model, test)
+    return hit[1], hit[2]
+
+
+def _als_split_counts(spark, sf_dir):
+    return recommend.split_counts(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
+
+
+def _als_predictions(spark, sf_dir):
+    model, test = _model(spark, sf_dir)
+    return recommend.predictions(model, test)
+
+
+def _als_metrics(spark, sf_dir):
+    model, test = _model(spark, sf_dir)
+    return recommend.evaluation(recommend.predictions(model, test))
+
+
+def _recommendations(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    model, _ = _model(spark, sf_dir)
+    users = t.ratings.where(F.col("userId").isin(list(P.USER_LIST) + [P.UNKNOWN_USER])).select("userId").distinct()
+    return recommend.recommend_for_users(model, users, t.movies, P.RECOMMENDATIONS_PER_USER)
+
+
 def queries() -> dict[str, Query]:
     return {
-        "top_watched": _top_watched,
+        # sources and sinks
+        "scan_movies": _scan_movies,
+        "scan_ratings": _scan_ratings,
+        "scan_tags": _scan_tags,
+        "sink_csv_roundtrip": _sink_csv_roundtrip,
+        "save_tables": _save_tables,
+        "export_summaries": _export_summaries,
+        # cleaning and model
+        "clean_ratings": _clean_ratings,
+        "clean_movies": _clean_movies,
+        "clean_tags": _clean_tags,
+        "movie_genres": _movie_genres,
+        "interactions": _interactions,
+        "interactions_wide": _interactions_wide,
+        # lookups
+        "user_ratings": _user_ratings,
+        "user_ratings_unknown": _user_ratings_unknown,
+        "users_ratings": _users_ratings,
+        "movie_by_id": _movie_by_id,
+        "movie_title_contains": _movie_title_contains,
+        "movie_title_exact": _movie_title_exact,
+        "genre_contains": _genre_contains,
+        "movies_in_genre_list": _movies_in_genre_list,
+        "genre_counts_samples": _genre_counts_samples,
+        "movies_by_year": _movies_by_year,
+        "titles_by_users": _titles_by_users,
+        "titles_in_genres": _titles_in_genres,
+        "titles_in_genres_distinct": _titles_in_genres_distinct,
+        "user_detail_totals": _user_detail_totals,
+        "user_history": _user_history,
+        "genre_detail_totals": _genre_detail_totals,
+        # aggregations, interaction meaning
+        "user_movie_count": _user_movie_count,
+        "user_movie_count_all": _user_movie_count_all,
+        "user_genre_count": _user_genre_count,
+        "user_genre_count_all": _user_genre_count_all,
+        "movie_summary_by_id": _movie_summary_by_id,
+        "movie_summary_by_title": _movie_summary_by_title,
+        "user_genre_stats": _user_genre_stats,
+        "user_watch_cutoff": _user_watch_cutoff,
+        "favourite_genres": _favourite_genres,
+        "favourite_genres_strict": _favourite_genres_strict,
+        "favourite_genre_of_user": _favourite_genre_of_user,
+        "favourite_genre_all_users": _favourite_genre_all_users,
+        "favourite_genre_counts": _favourite_genre_counts,
+        "genre_user_counts": _genre_user_counts,
+        "user_genre_ratings": _user_genre_ratings,
+        "user_genre_watches": _user_genre_watches,
+        "genre_rating_histogram": _genre_rating_histogram,
+        "genre_rating_histogram_all": _genre_rating_histogram_all,
+        "movie_rating_histogram": _movie_rating_histogram,
+        # aggregations, rating meaning
+        "movie_summary": _movie_summary,
+        "movie_summary_detail": _movie_summary_detail,
+        "genre_summary": _genre_summary,
+        "user_genre_profile": _user_genre_profile,
+        "user_genre_profile_all": _user_genre_profile_all,
+        "user_taste_thresholds": _user_taste_thresholds,
+        "movies_per_year": _movies_per_year,
+        "genre_movies_per_year": _genre_movies_per_year,
+        "movies_per_genre": _movies_per_genre,
+        "ratings_per_year": _ratings_per_year,
+        "active_user_days_per_year": _active_user_days_per_year,
+        "active_users_per_year": _active_users_per_year,
+        "ratings_per_genre": _ratings_per_genre,
+        "dataset_totals": _dataset_totals,
+        # top-k
         "top_rated": _top_rated,
+        "top_watched": _top_watched,
+        # taste
+        "liked_genres": _liked_genres,
+        "disliked_genres": _disliked_genres,
+        "taste_shared": _pair_query(taste.taste_shared),
+        "taste_only_first": _pair_query(taste.taste_only_first),
+        "taste_only_second": _pair_query(taste.taste_only_second),
+        "genre_set_except": _pair_query(taste.genre_set_except),
+        "taste_both_like": _pair_query(taste.taste_both_like),
+        "taste_both_dislike": _pair_query(taste.taste_both_dislike),
+        "taste_like_dislike": _pair_query(taste.taste_like_dislike),
+        "taste_dislike_like": _pair_query(taste.taste_dislike_like),
+        "taste_pairs": _taste_pairs,
+        # recommender (rows-only checks)
+        "als_split_counts": _als_split_counts,
+        "als_predictions": _als_predictions,
+        "als_metrics": _als_metrics,
+        "recommendations": _recommendations,
     }
