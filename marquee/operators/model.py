@@ -3,10 +3,10 @@
 ``interactions``: one row per distinct (user, movie) that was rated or tagged; ``rating`` is the rating with the
 greatest (timestamp, rating), null when the pair was only tagged.
 
-Plan: a union of the two key sets and one ``groupBy``, not a full outer join. A union keeps a filter on the keys
+Plan: a union of the two key sets and grouping, not a full outer join. A union keeps a filter on the keys
 (``userId = 1``) pushable into both scans, which a full outer join blocks (the filter would sit above it as
-``coalesce(l.userId, r.userId) = 1``); the aggregate is partial (map-side), so a hot pair or user is combined
-before the shuffle.
+``coalesce(l.userId, r.userId) = 1``); the aggregates are partial (map-side), so a hot pair or user is combined
+before each shuffle.
 """
 
 from __future__ import annotations
@@ -16,24 +16,28 @@ from pyspark.sql import functions as F
 
 from marquee.functions.columns import epoch_seconds, split_genres
 
-_LATEST = "_latest"
+# Fixed value: a rating record whose timestamp does not parse ranks below every dated record of its pair.
+_UNDATED = -(2**63)
 
 
 def interactions(ratings: DataFrame, tags: DataFrame) -> DataFrame:
-    latest_type = "struct<ts:bigint,rating:float>"
+    """Two hash aggregates instead of one sort-based aggregate over ``max(struct(ts, rating))`` (struct buffers
+    cannot be hash-aggregated): first the highest rating per (user, movie, second), then the rating of the
+    latest second per (user, movie). Both are partial, and a hot pair spreads over its distinct seconds in
+    the first shuffle, so no task receives a hot pair's raw rows. Tag rows carry a null second and are
+    skipped by ``max_by``, which leaves the rating null for pairs that were only tagged."""
     rated = ratings.select(
         "userId",
         "movieId",
-        F.struct(epoch_seconds("timestamp").alias("ts"), F.col("rating")).alias(_LATEST),
+        F.coalesce(epoch_seconds("timestamp"), F.lit(_UNDATED).cast("bigint")).alias("ts"),
+        F.col("rating"),
     )
-    tagged = tags.select("userId", "movieId", F.lit(None).cast(latest_type).alias(_LATEST))
-    return (
-        rated.unionByName(tagged)
-        .where(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
-        .groupBy("userId", "movieId")
-        # max of a struct orders by ts, then rating; null fields sort low, tag rows (null struct) are skipped
-        .agg(F.max(_LATEST).getField("rating").alias("rating"))
+    tagged = tags.select(
+        "userId", "movieId", F.lit(None).cast("bigint").alias("ts"), F.lit(None).cast("float").alias("rating")
     )
+    keyed = rated.unionByName(tagged).where(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
+    per_second = keyed.groupBy("userId", "movieId", "ts").agg(F.max("rating").alias("rating"))
+    return per_second.groupBy("userId", "movieId").agg(F.max_by("rating", "ts").alias("rating"))
 
 
 def with_movies(interactions: DataFrame, movies: DataFrame) -> DataFrame:

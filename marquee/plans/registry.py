@@ -35,8 +35,22 @@ from marquee.sources.files import scan_csv
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_PINNED: dict[tuple[int, str], MovieTables] = {}
+
+
+def pin_tables(spark: SparkSession, sf_dir: str, t: MovieTables | None) -> None:
+    """Serve the clean (non-dirty) tables of ``sf_dir`` from a prepared bundle, such as one kept by
+    ``MovieTables.reuse()``; ``None`` unpins."""
+    key = (id(spark), sf_dir)
+    if t is None:
+        _PINNED.pop(key, None)
+    else:
+        _PINNED[key] = t
+
+
 def tables(spark: SparkSession, sf_dir: str, dirty: bool = False) -> MovieTables:
-    return MovieTables.from_driver_tables(spark, sf_dir, dirty=dirty)
+    pinned = None if dirty else _PINNED.get((id(spark), sf_dir))
+    return pinned or MovieTables.from_driver_tables(spark, sf_dir, dirty=dirty)
 
 
 def _title_of_movie(t: MovieTables, movie_id: int) -> Column:
