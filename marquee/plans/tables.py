@@ -20,6 +20,9 @@ from marquee.sources import adapter
 from marquee.sources.files import load_dataset
 
 
+_SOURCE_TABLES = ("movies", "ratings", "tags")
+
+
 @dataclass
 class MovieTables:
     raw_ratings: DataFrame
@@ -64,12 +67,25 @@ class MovieTables:
     def wide(self) -> DataFrame:
         return interactions_wide(self.interactions, self.movies)
 
-    def reuse(self, how: str = "persist", names: tuple[str, ...] = ("movies", "ratings", "wide")) -> MovieTables:
-        """Keep the named frames for many queries; ``how`` is ``persist`` or ``checkpoint``."""
+    def reuse(
+        self,
+        how: str = "persist",
+        names: tuple[str, ...] = ("movies", "ratings", "wide"),
+        spread_to: int | None = None,
+    ) -> MovieTables:
+        """Keep the named frames for many queries; ``how`` is ``persist`` or ``checkpoint``.
+
+        ``spread_to`` spreads the kept source tables (movies, ratings, tags) round-robin over that many
+        partitions first. Source tables are partitioned by file splits, and a small file written as one row
+        group is one split, so one task would do all later work on it; outputs of a shuffle are never
+        re-spread. Round-robin has no key, so it cannot concentrate a hot user or movie.
+        """
         if how == "checkpoint":
             checkpoint_root(self.ratings.sparkSession)
         for name in names:
             df = getattr(self, name)
+            if spread_to and name in _SOURCE_TABLES:
+                df = df.repartition(spread_to)
             if how == "checkpoint":
                 kept = df.checkpoint(eager=True)
             else:

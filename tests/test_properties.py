@@ -117,3 +117,12 @@ def test_genre_samples_are_first_by_id(small):
     expected = [r.movieId for r in lookup.genre_contains(small.movies, "ring").orderBy("movieId").limit(5).collect()]
     assert ids == expected
     assert {r.num_movies for r in got.collect()} == {20}
+
+
+def test_reuse_keeps_rows_and_spreads_sources(spark):
+    t = MovieTables.from_driver_tables(spark, SMALL).reuse("checkpoint", ("movies", "ratings"), spread_to=4)
+    assert t.ratings.rdd.getNumPartitions() == 4
+    assert t.ratings.count() == 6000 and t.movies.count() == 200
+    kept = MovieTables.from_driver_tables(spark, SMALL).reuse("persist", ("ratings", "wide"))
+    assert kept.wide.count() == 24056
+    kept.release()
