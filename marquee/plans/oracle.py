@@ -241,7 +241,7 @@ FROM movie_genres g JOIN movies m ON g.movieId = m.movieId WHERE g.genre IN ({ge
     frag_values = ", ".join(f"({_q(g)})" for g in P.GENRE_LIST)
     q["genre_counts_samples"] = sql(
         f"""SELECT s.fragment, c.num_movies, s.sample_rank, s.movieId, s.title, s.genres, s.production_year
-FROM (SELECT f.fragment, m.*, row_number() OVER (PARTITION BY f.fragment ORDER BY m.movieId) AS sample_rank
+FROM (SELECT f.fragment, m.*, CAST(row_number() OVER (PARTITION BY f.fragment ORDER BY m.movieId) AS INTEGER) AS sample_rank
       FROM (VALUES {frag_values}) f(fragment) JOIN movies m ON strpos(m.genres, f.fragment) > 0) s
 JOIN (SELECT f.fragment, count(*) AS num_movies
       FROM (VALUES {frag_values}) f(fragment) JOIN movies m ON strpos(m.genres, f.fragment) > 0
