@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import histogram_bin
-from marquee.operators.profile import genre_stats
+from marquee.operators.model import row_weight
+from marquee.operators.profile import genre_stats, weighted_mean
 
 DEFAULT_BINS = 10
 
@@ -63,5 +64,5 @@ def movie_rating_histogram(wide: DataFrame, title: str | Column | None = None, b
     """Distribution over users of their mean rating of an exact title (several movies may share it; rows of the
     wide table are averaged as they come, once per genre part); all titles when ``title`` is None."""
     picked = wide if title is None else wide.where(F.col("title") == (title if isinstance(title, Column) else F.lit(title)))
-    per_user = picked.groupBy("userId", "title").agg(F.avg("rating").alias("avgRating"))
+    per_user = picked.groupBy("userId", "title").agg(weighted_mean("rating", row_weight(picked)).alias("avgRating"))
     return equal_width_histogram(per_user, "title", "avgRating", bins)

@@ -88,8 +88,12 @@ def titles_by_users(wide: DataFrame, user_ids: Iterable[int]) -> DataFrame:
 
 def titles_in_genres(wide: DataFrame, genres: Iterable[str], distinct: bool = False) -> DataFrame:
     """Titles of interactions in any of the genres: one row per (user, movie, matching genre) unless distinct."""
-    titles = wide.where(F.col("genre").isin(list(genres))).select("title")
-    return titles.distinct() if distinct else titles
+    picked = wide.where(F.col("genre").isin(list(genres)))
+    if distinct:
+        return picked.select("title").distinct()
+    if "weight" in wide.columns:  # a folded table: give each row back its repeats
+        return picked.select(F.explode(F.array_repeat(F.col("title"), F.col("weight").cast("int"))).alias("title"))
+    return picked.select("title")
 
 
 def user_detail(ratings: DataFrame, movies: DataFrame, user_ids: Iterable[int]) -> tuple[DataFrame, DataFrame]:

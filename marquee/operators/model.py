@@ -56,6 +56,32 @@ def interactions_wide(interactions: DataFrame, movies: DataFrame) -> DataFrame:
     )
 
 
+def genre_parts(movies: DataFrame) -> DataFrame:
+    """``movieId, title, genre, weight``: distinct genre parts of each movie with genres, ``weight`` = how often
+    the part occurs in the movie's list (``A|A`` gives one row of weight 2). Movie-sized, never rating-sized."""
+    return (
+        movies.where(F.col("genres").isNotNull())
+        .select("movieId", "title", F.explode(split_genres("genres")).alias("genre"))
+        .groupBy("movieId", "title", "genre")
+        .agg(F.count(F.lit(1)).alias("weight"))
+    )
+
+
+def interaction_genres(interactions: DataFrame, movies: DataFrame) -> DataFrame:
+    """The wide table with repeats folded: ``rating, userId, movieId, title, genre, weight``, one row per
+    distinct (user, movie, genre). Every interaction-meaning operator accepts it in place of the wide table and
+    weighs rows by ``weight``, which gives the wide table's results with plain counts instead of distinct
+    counts (one aggregation level, so one shuffle fewer)."""
+    return interactions.join(genre_parts(movies), "movieId", "inner").select(
+        "rating", "userId", "movieId", "title", "genre", "weight"
+    )
+
+
+def row_weight(wide: DataFrame):
+    """``weight`` of a folded table, 1 for the plain wide table."""
+    return F.col("weight") if "weight" in wide.columns else F.lit(1)
+
+
 def rated_genres(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Rating meaning: one row per (rating record, genre part of its movie); records of unknown movies drop out.
 

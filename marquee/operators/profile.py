@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import as_cents, round2
@@ -64,9 +64,24 @@ def movie_watch_summary(
     )
 
 
+def weighted_mean(value: str, weight: Column) -> Column:
+    """Mean of ``value`` over rows repeated ``weight`` times; nulls take no part. Exact sums for half-star
+    ratings, so it equals ``avg`` over the repeated rows."""
+    rated = F.col(value).isNotNull()
+    return F.try_divide(F.sum(F.col(value) * weight), F.sum(F.when(rated, weight)))
+
+
 def genre_stats(wide: DataFrame) -> DataFrame:
     """``userId, genre, avgRating, watchCount`` per (user, genre): mean rating (tag-only rows have none) and
-    distinct movies."""
+    distinct movies.
+
+    On the folded table (``model.interaction_genres``) rows are distinct per (user, movie, genre), so the
+    distinct count is a plain count and the mean is weighted: one partial aggregate and one shuffle. On the
+    plain wide table a repeated genre part repeats a row, so it takes a distinct count (two levels)."""
+    if "weight" in wide.columns:
+        return wide.groupBy("userId", "genre").agg(
+            weighted_mean("rating", F.col("weight")).alias("avgRating"), F.count(F.lit(1)).alias("watchCount")
+        )
     return wide.groupBy("userId", "genre").agg(
         F.avg("rating").alias("avgRating"), F.countDistinct("movieId").alias("watchCount")
     )

@@ -16,6 +16,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.session import checkpoint_root
+
 # Fixed values of the reference model.
 MAX_ITER = 10
 REG_PARAM = 0.2
@@ -44,6 +46,7 @@ def train_als(
     train_percent: int = TRAIN_PERCENT,
 ) -> tuple[ALSModel, DataFrame]:
     """Fit on the train side; returns ``(model, test)``. Records with a null rating take no part."""
+    checkpoint_root(ratings.sparkSession)  # ALS checkpoints its factors there every 10 iterations
     rated = ratings.where(F.col("rating").isNotNull()).select("userId", "movieId", "rating")
     split = split_ratings(rated, train_percent, seed)
     train = split.where(F.col("is_train")).drop("is_train")

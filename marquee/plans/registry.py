@@ -187,15 +187,15 @@ def _movies_by_year(spark, sf_dir):
 
 
 def _titles_by_users(spark, sf_dir):
-    return lookup.titles_by_users(tables(spark, sf_dir).wide, P.USER_LIST)
+    return lookup.titles_by_users(tables(spark, sf_dir).genre_rows, P.USER_LIST)
 
 
 def _titles_in_genres(spark, sf_dir):
-    return lookup.titles_in_genres(tables(spark, sf_dir).wide, P.GENRE_LIST)
+    return lookup.titles_in_genres(tables(spark, sf_dir).genre_rows, P.GENRE_LIST)
 
 
 def _titles_in_genres_distinct(spark, sf_dir):
-    return lookup.titles_in_genres(tables(spark, sf_dir).wide, P.GENRE_LIST, distinct=True)
+    return lookup.titles_in_genres(tables(spark, sf_dir).genre_rows, P.GENRE_LIST, distinct=True)
 
 
 def _user_detail_totals(spark, sf_dir):
@@ -216,19 +216,19 @@ def _genre_detail_totals(spark, sf_dir):
 
 
 def _user_movie_count(spark, sf_dir):
-    return profile.count_watched_movies(tables(spark, sf_dir).wide, P.USER)
+    return profile.count_watched_movies(tables(spark, sf_dir).genre_rows, P.USER)
 
 
 def _user_movie_count_all(spark, sf_dir):
-    return profile.count_watched_movies(tables(spark, sf_dir).wide)
+    return profile.count_watched_movies(tables(spark, sf_dir).genre_rows)
 
 
 def _user_genre_count(spark, sf_dir):
-    return profile.count_watched_genres(tables(spark, sf_dir).wide, P.USER)
+    return profile.count_watched_genres(tables(spark, sf_dir).genre_rows, P.USER)
 
 
 def _user_genre_count_all(spark, sf_dir):
-    return profile.count_watched_genres(tables(spark, sf_dir).wide)
+    return profile.count_watched_genres(tables(spark, sf_dir).genre_rows)
 
 
 def _movie_summary_by_id(spark, sf_dir):
@@ -242,56 +242,56 @@ def _movie_summary_by_title(spark, sf_dir):
 
 
 def _user_genre_stats(spark, sf_dir):
-    return profile.genre_stats(tables(spark, sf_dir).wide)
+    return profile.genre_stats(tables(spark, sf_dir).genre_rows)
 
 
 def _user_watch_cutoff(spark, sf_dir):
-    return profile.with_cutoff(profile.genre_stats(tables(spark, sf_dir).wide))
+    return profile.with_cutoff(profile.genre_stats(tables(spark, sf_dir).genre_rows))
 
 
 def _favourite_genres(spark, sf_dir):
-    return profile.favourite_genres(tables(spark, sf_dir).wide)
+    return profile.favourite_genres(tables(spark, sf_dir).genre_rows)
 
 
 def _favourite_genres_strict(spark, sf_dir):
-    return profile.favourite_genres_strict(tables(spark, sf_dir).wide)
+    return profile.favourite_genres_strict(tables(spark, sf_dir).genre_rows)
 
 
 def _favourite_genre_of_user(spark, sf_dir):
-    return profile.favourite_genre_of_user(tables(spark, sf_dir).wide, P.USER)
+    return profile.favourite_genre_of_user(tables(spark, sf_dir).genre_rows, P.USER)
 
 
 def _favourite_genre_all_users(spark, sf_dir):
-    return profile.favourite_genre_per_user(tables(spark, sf_dir).wide)
+    return profile.favourite_genre_per_user(tables(spark, sf_dir).genre_rows)
 
 
 def _favourite_genre_counts(spark, sf_dir):
-    return profile.favourite_genre_counts(tables(spark, sf_dir).wide)
+    return profile.favourite_genre_counts(tables(spark, sf_dir).genre_rows)
 
 
 def _genre_user_counts(spark, sf_dir):
-    return profile.genre_user_counts(tables(spark, sf_dir).wide)
+    return profile.genre_user_counts(tables(spark, sf_dir).genre_rows)
 
 
 def _user_genre_ratings(spark, sf_dir):
-    return profile.user_genre_ratings(tables(spark, sf_dir).wide, P.USER)
+    return profile.user_genre_ratings(tables(spark, sf_dir).genre_rows, P.USER)
 
 
 def _user_genre_watches(spark, sf_dir):
-    return profile.user_genre_watches(tables(spark, sf_dir).wide, P.USER)
+    return profile.user_genre_watches(tables(spark, sf_dir).genre_rows, P.USER)
 
 
 def _genre_rating_histogram(spark, sf_dir):
-    return distribution.genre_rating_histogram(tables(spark, sf_dir).wide, P.HISTOGRAM_GENRE, P.HISTOGRAM_BINS)
+    return distribution.genre_rating_histogram(tables(spark, sf_dir).genre_rows, P.HISTOGRAM_GENRE, P.HISTOGRAM_BINS)
 
 
 def _genre_rating_histogram_all(spark, sf_dir):
-    return distribution.genre_rating_histogram(tables(spark, sf_dir).wide, None, P.HISTOGRAM_BINS)
+    return distribution.genre_rating_histogram(tables(spark, sf_dir).genre_rows, None, P.HISTOGRAM_BINS)
 
 
 def _movie_rating_histogram(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return distribution.movie_rating_histogram(t.wide, _title_of_movie(t, P.MOVIE_ID), P.HISTOGRAM_BINS)
+    return distribution.movie_rating_histogram(t.genre_rows, _title_of_movie(t, P.MOVIE_ID), P.HISTOGRAM_BINS)
 
 
 # aggregations: rating meaning ------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators.clean import clean_movies, clean_ratings, clean_tags, movie_genres
-from marquee.operators.model import interactions, interactions_wide
+from marquee.operators.model import interaction_genres, interactions, interactions_wide
 from marquee.session import checkpoint_root
 from marquee.sources import adapter
 from marquee.sources.files import load_dataset
@@ -67,6 +67,11 @@ class MovieTables:
     def wide(self) -> DataFrame:
         return interactions_wide(self.interactions, self.movies)
 
+    @cached_property
+    def genre_rows(self) -> DataFrame:
+        """The wide table with repeated genre parts folded into a weight (``model.interaction_genres``)."""
+        return interaction_genres(self.interactions, self.movies)
+
     def reuse(
         self,
         how: str = "persist",

@@ -132,3 +132,18 @@ def test_literal_text_in_lookups(spark):
     assert rows(movie_title_contains(movies, "100%"), "movieId") == [(2,)]
     assert rows(movie_title_exact(movies, "Schindler's List (1993)"), "movieId") == [(1,)]
     assert rows(movie_title_exact(movies, F.lit("100% Wolf (2020)")), "movieId") == [(2,)]
+
+
+def test_folded_genre_rows_give_the_wide_results(spark):
+    movies = clean.clean_movies(raw_movies(spark, [("1", "Twice (1990)", "A|A|B"), ("2", "Once (1991)", "A")]))
+    ratings = clean.clean_ratings(raw_ratings(spark, [("1", "1", "5.0", "0"), ("1", "2", "2.0", "0"), ("2", "2", "1.0", "0")]))
+    tags = clean.clean_tags(raw_tags(spark, [("2", "1", "t")]))
+    inter = model.interactions(ratings, tags)
+    wide, folded = model.interactions_wide(inter, movies), model.interaction_genres(inter, movies)
+    assert folded.count() == 6 and wide.count() == 8
+    assert rows(profile.genre_stats(wide)) == rows(profile.genre_stats(folded))
+    # user 1, genre A: movie 1 counts twice in the mean (4 rows: 5, 5, 2), once in the distinct count
+    stats = {(r.userId, r.genre): (r.avgRating, r.watchCount) for r in profile.genre_stats(folded).collect()}
+    assert stats[(1, "A")] == (4.0, 2) and stats[(2, "A")] == (1.0, 2)
+    from marquee.operators.lookup import titles_in_genres
+    assert rows(titles_in_genres(wide, ["A"])) == rows(titles_in_genres(folded, ["A"]))
