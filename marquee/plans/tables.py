@@ -75,7 +75,7 @@ class MovieTables:
     def reuse(
         self,
         how: str = "persist",
-        names: tuple[str, ...] = ("movies", "ratings", "wide"),
+        names: tuple[str, ...] = ("movies", "ratings", "genre_rows"),
         spread_to: int | None = None,
     ) -> MovieTables:
         """Keep the named frames for many queries; ``how`` is ``persist`` or ``checkpoint``.

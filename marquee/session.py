@@ -24,16 +24,37 @@ SESSION_DEFAULTS = {
 }
 
 
+def cluster_settings(total_cores: int) -> dict[str, str]:
+    """Sizing for a large cluster (e.g. 1000 executors x 8 cores over 100 TB).
+
+    Shuffles start wide (4 partitions per core) and AQE coalesces them to ~256 MB each after each stage, so a
+    partition fits executor memory whatever the scale; scans split at 256 MB; a shuffle partition over 512 MB
+    and 5x the median is split by the skew join.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(4 * total_cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "marquee",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
+    """``total_cores`` applies ``cluster_settings``; ``shuffle_partitions`` and ``extra`` override."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
+    if total_cores:
+        conf.update(cluster_settings(total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -52,11 +52,14 @@ def main() -> None:
             continue
         df = fn(spark, sf_dir)
         df.collect()  # runs this frame's own QueryExecution, so its AQE plan is final
-        plan = final_only(df._jdf.queryExecution().executedPlan().toString())
+        executed = df._jdf.queryExecution().executedPlan()
+        if executed.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            executed = executed.executedPlan()  # the final plan AQE ran
+        plan = final_only(executed.toString())
         counts = {w.strip(): len(re.findall(re.escape(w), plan)) for w in WATCH}
         shown = ", ".join(f"{k}={v}" for k, v in counts.items() if v)
         flag = " <-- " + ",".join(b for b in BAD if counts.get(b)) if any(counts.get(b) for b in BAD) else ""
-        print(f"{key}: {shown}{flag}")
+        print(f"| `{key}` | {shown or 'no shuffle'}{flag} |")
 
 
 if __name__ == "__main__":
