@@ -22,8 +22,11 @@ def epoch_seconds(text: str | Column) -> Column:
 
 
 def epoch_seconds_of_ntz(ts: str | Column) -> Column:
-    """Seconds from 1970-01-01 to a timestamp without zone, read as UTC whatever the session zone is."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col_of(ts))
+    """Whole seconds from 1970-01-01 to a timestamp without zone, read as UTC: days times 86400 plus the time of
+    day, all fields of the local value, so no session zone (or its daylight saving) takes part."""
+    t = col_of(ts)
+    days = F.unix_date(t.cast("date")).cast("bigint")
+    return days * F.lit(SECONDS_PER_DAY) + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
 def epoch_to_date_text(seconds: Column) -> Column:

@@ -147,3 +147,15 @@ def test_folded_genre_rows_give_the_wide_results(spark):
     assert stats[(1, "A")] == (4.0, 2) and stats[(2, "A")] == (1.0, 2)
     from marquee.operators.lookup import titles_in_genres
     assert rows(titles_in_genres(wide, ["A"])) == rows(titles_in_genres(folded, ["A"]))
+
+
+def test_adapter_epoch_seconds_ignore_the_session_zone(spark):
+    from marquee.functions.columns import epoch_seconds_of_ntz
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'1997-07-01 00:00:00' AS t UNION ALL SELECT timestamp_ntz'1969-12-31 23:59:59.9'")
+        assert rows(df.select(epoch_seconds_of_ntz("t"))) == [(-1,), (867715200,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
