@@ -170,10 +170,22 @@ def user_genre_watches(wide: DataFrame, user_id: int) -> DataFrame:
 # rating meaning --------------------------------------------------------------------------------------
 
 
-def user_genre_profile(ratings: DataFrame, movies: DataFrame, user_ids: Iterable[int] | None = None) -> DataFrame:
+def pick_users(df: DataFrame, user_ids: Iterable[int] | DataFrame | None) -> DataFrame:
+    """Rows of the given users: an ``IN`` list for a short list, a left-semi join for a frame of ``userId``."""
+    if user_ids is None:
+        return df
+    if isinstance(user_ids, DataFrame):
+        return df.join(user_ids.select("userId").distinct(), "userId", "left_semi")
+    return df.where(F.col("userId").isin([int(u) for u in user_ids]))
+
+
+def user_genre_profile(
+    ratings: DataFrame, movies: DataFrame, user_ids: Iterable[int] | DataFrame | None = None
+) -> DataFrame:
     """``userId, genre, Average_Rating, watchings`` per (user, genre) over rating records of known movies:
-    mean rounded half up to 2 decimals, and the number of records."""
-    picked = ratings if user_ids is None else ratings.where(F.col("userId").isin([int(u) for u in user_ids]))
+    mean rounded half up to 2 decimals, and the number of records. ``user_ids`` limits it to some users (a list,
+    or a frame with ``userId``); the limit applies before the join, so only their records are read on."""
+    picked = pick_users(ratings, user_ids)
     return (
         rated_genres(picked, movies)
         .groupBy("userId", "genre")

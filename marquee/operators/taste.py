@@ -41,8 +41,18 @@ def _user(profile: DataFrame, user_id: int) -> DataFrame:
     return profile.where(F.col("userId") == F.lit(int(user_id)))
 
 
-def pair_profile(ratings: DataFrame, movies: DataFrame, users: Iterable[int]) -> DataFrame:
-    """The profile of just the users being compared (the user filter reaches the rating scan)."""
+def pair_users(pairs: DataFrame) -> DataFrame:
+    """Distinct ``userId`` of a frame of ``first_user, second_user``."""
+    return (
+        pairs.select(F.col("first_user").alias("userId"))
+        .unionByName(pairs.select(F.col("second_user").alias("userId")))
+        .distinct()
+    )
+
+
+def pair_profile(ratings: DataFrame, movies: DataFrame, users: Iterable[int] | DataFrame) -> DataFrame:
+    """The profile of just the users being compared: a list of ids (the filter reaches the rating scan), or a
+    frame of ``userId`` such as ``pair_users(pairs)`` (a left-semi join)."""
     return user_genre_profile(ratings, movies, user_ids=users)
 
 

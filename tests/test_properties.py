@@ -126,3 +126,14 @@ def test_reuse_keeps_rows_and_spreads_sources(spark):
     kept = MovieTables.from_driver_tables(spark, SMALL).reuse("persist", ("ratings", "wide"))
     assert kept.wide.count() == 24056
     kept.release()
+
+
+def test_pairs_given_as_a_frame(spark, small):
+    pairs = spark.createDataFrame([(1, 5), (1, 3), (3, 5)], "first_user int, second_user int")
+    from_frame = taste.taste_pairs(taste.pair_profile(small.ratings, small.movies, taste.pair_users(pairs)), pairs)
+    from_list = taste.taste_pairs(taste.pair_profile(small.ratings, small.movies, [1, 3, 5]), [(1, 5), (1, 3), (3, 5)])
+    assert rows(from_frame) == rows(from_list) and from_frame.count() > 0
+    ids = spark.createDataFrame([(1,), (3,)], "userId int")
+    assert rows(lookup.users_ratings(small.ratings, small.movies, ids)) == rows(
+        lookup.users_ratings(small.ratings, small.movies, [1, 3])
+    )
