@@ -39,7 +39,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_movies(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     title = F.concat(F.col("p_name"), F.lit(" ("), (F.lit(FIRST_YEAR_OFFSET) + F.col("p_size")).cast("string"), F.lit(")"))
-    genres = F.concat_ws("|", F.regexp_replace("p_name", " ", "|"), F.col("p_type"), F.col("p_brand"))
+    genres = F.concat(F.regexp_replace("p_name", " ", "|"), F.lit("|"), F.col("p_type"), F.lit("|"), F.col("p_brand"))
     if dirty:
         key = F.col("p_partkey")
         title = F.when(key % DIRTY_TITLE_NO_YEAR_MOD == 0, F.col("p_name")).otherwise(title)
