@@ -1,7 +1,6 @@
 """A hot key: one user holds a third of all rating and tag rows (derived from the driver's tables). Results
 must stay whole and equal a plain pandas computation of the same rules."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
