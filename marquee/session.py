@@ -75,7 +75,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only a local session without the setting gets a private folder under the temp dir (tests). A cluster
     session without it is an error: a machine-local folder would not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context here; the server's setting is the only one
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on the Spark Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured is None and current is None:
