@@ -49,3 +49,17 @@ def test_streaming_ingest_matches_batch_cleaning(spark):
     q.awaitTermination(120)
     got = spark.read.parquet(target)
     assert rows(got) == rows(clean.clean_ratings(raw))
+
+
+def test_report_job_writes_every_summary(spark):
+    from marquee.plans.report import EXPORTED
+    from marquee.plans.report_job import run
+
+    base = _write_dataset(spark, dirty=False)
+    out = tempfile.mkdtemp(prefix="marquee-report-") + "/report"
+    paths = run(spark, base, out)
+    assert set(paths) == {"totals", *EXPORTED}
+    totals = spark.read.option("header", True).csv(paths["totals"]).first()
+    assert int(totals.num_movies) == 200 and int(totals.num_ratings) == 6000
+    years = [r.watching_year for r in spark.read.option("header", True).csv(paths["yearly_watchings"]).collect()]
+    assert years == sorted(years) and len(years) == 7
