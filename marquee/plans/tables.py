@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.operators.clean import clean_movies, clean_ratings, clean_tags, movie_genres
 from marquee.operators.model import interaction_genres, interactions, interactions_wide
 from marquee.session import checkpoint_root
+from marquee.sinks import save_tables
 from marquee.sources import adapter
 from marquee.sources.files import load_dataset
 
@@ -25,9 +26,9 @@ _SOURCE_TABLES = ("movies", "ratings", "tags")
 
 @dataclass
 class MovieTables:
-    raw_ratings: DataFrame
-    raw_movies: DataFrame
-    raw_tags: DataFrame
+    raw_ratings: DataFrame | None
+    raw_movies: DataFrame | None
+    raw_tags: DataFrame | None
     _kept: list[DataFrame] = field(default_factory=list, repr=False)
 
     @classmethod
@@ -43,6 +44,20 @@ class MovieTables:
             adapter.raw_tags(spark, sf_dir),
         )
 
+    @classmethod
+    def from_clean_tables(cls, spark: SparkSession, base_path: str) -> MovieTables:
+        """Cleaned tables written by ``save_clean`` (typed Parquet): clean once, query many times. Filters on
+        ids then reach the Parquet reader as pushed filters and only the used columns are read."""
+        base = base_path.rstrip("/")
+        t = cls(None, None, None)
+        for name in _SOURCE_TABLES:
+            t.__dict__[name] = spark.read.parquet(f"{base}/{name}")
+        return t
+
+    def save_clean(self, base_path: str) -> dict[str, str]:
+        """Write the cleaned movies, ratings and tags as Parquet under ``base_path``."""
+        return save_tables({name: getattr(self, name) for name in _SOURCE_TABLES}, base_path)
+
     @cached_property
     def ratings(self) -> DataFrame:
         return clean_ratings(self.raw_ratings)

@@ -63,3 +63,16 @@ def test_report_job_writes_every_summary(spark):
     assert int(totals.num_movies) == 200 and int(totals.num_ratings) == 6000
     years = [r.watching_year for r in spark.read.option("header", True).csv(paths["yearly_watchings"]).collect()]
     assert years == sorted(years) and len(years) == 7
+
+
+def test_clean_once_then_filters_reach_the_parquet_reader(spark, small):
+    from marquee.operators import lookup
+
+    base = tempfile.mkdtemp(prefix="marquee-clean-") + "/tables"
+    small.save_clean(base)
+    t = MovieTables.from_clean_tables(spark, base)
+    assert rows(t.ratings) == rows(small.ratings) and rows(t.interactions) == rows(small.interactions)
+    q = lookup.user_ratings(t.ratings, t.movies, 1)
+    assert rows(q) == rows(lookup.user_ratings(small.ratings, small.movies, 1))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(userId,1)" in plan
