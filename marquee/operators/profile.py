@@ -2,7 +2,8 @@
 
 Two meanings of "watched" are kept apart by their inputs:
 
-* interaction meaning (``wide``: rated or tagged, one row per distinct (user, movie) and genre part);
+* interaction meaning (``wide``: rated or tagged, one row per distinct (user, movie) and genre part; or the
+  folded ``model.interaction_genres`` rows, which carry a repeated genre part as a ``weight``);
 * rating meaning (``ratings``: every rating record, tags ignored).
 
 Per-user thresholds and favourites are window columns over ``partitionBy("userId")`` on per-(user, genre)
