@@ -76,3 +76,12 @@ def test_clean_once_then_filters_reach_the_parquet_reader(spark, small):
     assert rows(q) == rows(lookup.user_ratings(small.ratings, small.movies, 1))
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(userId,1)" in plan
+
+
+def test_cluster_settings_scale_with_cores():
+    from marquee.session import cluster_settings
+
+    conf = cluster_settings(8000)
+    assert conf["spark.sql.shuffle.partitions"] == "32000"
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "32000"
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
