@@ -68,3 +68,35 @@ def test_genre_stats_and_profile_under_skew_match_brute_force(skewed):
     want_p = rg.groupby(["userId", "genre"]).agg(n=("rating", "size")).reset_index().sort_values(["userId", "genre"])
     assert prof["watchings"].tolist() == want_p["n"].tolist()
     assert prof.loc[prof.userId == HOT, "watchings"].sum() == len(rg[rg.userId == HOT])
+
+
+def test_hot_movie_join_partition_is_split(spark, small):
+    """Movies too big to broadcast: the sort-merge join of ratings to genres meets a movie holding a third of
+    all ratings, and AQE's skew join splits that partition in the profile (thresholds lowered to the test's
+    size). Results stay whole."""
+    third = F.pmod(F.xxhash64("userId", "timestamp"), F.lit(3)) == 0
+    hot_ratings = small.ratings.withColumn("movieId", F.when(third, F.lit(1)).otherwise(F.col("movieId")))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        prof = profile.user_genre_profile(hot_ratings, small.movies)
+        got_prof = prof.collect()
+        prof_plan = prof._jdf.queryExecution().executedPlan().toString()
+        got = model.rated_genres(hot_ratings, small.movies).groupBy("movieId").count()
+        counts = {r.movieId: r["count"] for r in got.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in prof_plan  # the hot movie's join partition is split across tasks
+    assert sum(r.watchings for r in got_prof) == hot_ratings.count() * 4
+    assert counts[1] == hot_ratings.where("movieId = 1").count() * 4
+    assert sum(counts.values()) == hot_ratings.count() * 4
