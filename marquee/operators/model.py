@@ -59,11 +59,18 @@ def interactions_wide(interactions: DataFrame, movies: DataFrame) -> DataFrame:
 def genre_parts(movies: DataFrame) -> DataFrame:
     """``movieId, title, genre, weight``: distinct genre parts of each movie with genres, ``weight`` = how often
     the part occurs in the movie's list (``A|A`` gives one row of weight 2). Movie-sized, never rating-sized."""
+    # All parts of a movie are in its own row, so the fold is row-local (no shuffle): each distinct part, with
+    # the number of parts equal to it.
+    parts = split_genres("genres")
     return (
         movies.where(F.col("genres").isNotNull())
-        .select("movieId", "title", F.explode(split_genres("genres")).alias("genre"))
-        .groupBy("movieId", "title", "genre")
-        .agg(F.count(F.lit(1)).alias("weight"))
+        .select("movieId", "title", parts.alias("_parts"), F.explode(F.array_distinct(parts)).alias("genre"))
+        .select(
+            "movieId",
+            "title",
+            "genre",
+            F.size(F.filter("_parts", lambda part: part == F.col("genre"))).cast("bigint").alias("weight"),
+        )
     )
 
 
