@@ -57,3 +57,11 @@ def test_matches_duckdb(spark, duck, key):
     o_idx = [o_cols.index(c) for c in s_cols]
     o_rows = [tuple(r[i] for i in o_idx) for r in o_rows]
     assert _digest(s_rows, order) == _digest(o_rows, order)
+
+
+def test_schemas_do_not_depend_on_scale(spark):
+    writers = {"scan_movies", "scan_ratings", "scan_tags", "sink_csv_roundtrip", "save_tables", "export_summaries"}
+    for key, fn in E.queries().items():
+        if key in writers or key in ROWS_ONLY:
+            continue
+        assert fn(spark, SMALL).schema == fn(spark, "/root/testdata/sf0.01").schema, key
