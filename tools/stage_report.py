@@ -44,7 +44,8 @@ def main() -> None:
         "local[8]", shuffle_partitions=16, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + log_dir}
     )
     spark.sparkContext.setLogLevel("ERROR")
-    t = MovieTables.from_driver_tables(spark, sf_dir).reuse("persist", ("movies", "ratings", "tags", "genre_rows"), spread_to=8)
+    how = os.environ.get("REUSE", "persist")
+    t = MovieTables.from_driver_tables(spark, sf_dir).reuse(how, ("movies", "ratings", "tags", "genre_rows"), spread_to=8)
     for df in (t.movies, t.ratings, t.tags, t.genre_rows):
         df.write.format("noop").mode("overwrite").save()
     registry.pin_tables(spark, sf_dir, t)
