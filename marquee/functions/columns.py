@@ -67,6 +67,17 @@ def year_of_date_text(date_text: str | Column) -> Column:
     return F.substring(col_of(date_text), 1, 4)
 
 
+def histogram_edge(i: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Edge ``i`` of ``bins`` equal bins over ``[lo, hi]``: ``i * ((hi - lo) / bins) + lo``, the last edge ``hi``
+    (the same arithmetic as numpy's ``linspace``)."""
+    return F.when(i >= F.lit(bins), hi).otherwise(i * ((hi - lo) / F.lit(bins)) + lo)
+
+
 def histogram_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Bin index in ``[0, bins)`` of equal-width bins over ``[lo, hi]``; the top edge belongs to the last bin."""
-    return F.least(F.floor((x - lo) * F.lit(bins) / (hi - lo)), F.lit(bins - 1)).cast("int")
+    """Bin index in ``[0, bins)`` of equal-width bins over ``[lo, hi]``, as numpy's ``histogram`` assigns it: the
+    index from ``(x - lo) / (hi - lo) * bins`` (the top value in the last bin), then moved down when ``x`` lies
+    below its bin's start edge, or up when it reaches the next edge, so a value on an edge opens the upper bin."""
+    base = F.least(F.floor((x - lo) / (hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
+    down = x < histogram_edge(base, lo, hi, bins)
+    up = (base != F.lit(bins - 1)) & (x >= histogram_edge(base + 1, lo, hi, bins))
+    return F.when(down, base - 1).when(up, base + 1).otherwise(base)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import histogram_bin
+from marquee.functions.columns import histogram_bin, histogram_edge
 from marquee.operators.model import row_weight
 from marquee.operators.profile import genre_stats, weighted_mean
 
@@ -50,11 +50,12 @@ def equal_width_histogram(
         .groupBy(key, "bin")
         .agg(F.sum("_n").alias(count_name))
     )
+    lo, hi = F.col("_lo"), F.col("_hi")
     edges = ranges.select(key, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_lo", "_hi").select(
         key,
         "bin",
-        (F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / F.lit(bins)).alias("bin_start"),
-        (F.col("_lo") + (F.col("bin") + 1) * (F.col("_hi") - F.col("_lo")) / F.lit(bins)).alias("bin_end"),
+        histogram_edge(F.col("bin"), lo, hi, bins).alias("bin_start"),
+        histogram_edge(F.col("bin") + 1, lo, hi, bins).alias("bin_end"),
     )
     return (
         edges.join(counts, [key, "bin"], "left")

@@ -152,13 +152,20 @@ rng AS (
   SELECT k, CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
             CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi
   FROM vals WHERE v IS NOT NULL GROUP BY k),
-cnt AS (
-  SELECT vals.k, least(CAST(floor((vals.v - rng.lo) * {bins} / (rng.hi - rng.lo)) AS BIGINT), {bins - 1}) AS b,
-         count(*) AS n
-  FROM vals JOIN rng ON vals.k = rng.k WHERE vals.v IS NOT NULL GROUP BY 1, 2),
+base AS (
+  SELECT vals.k, vals.v, rng.lo, rng.hi,
+         CAST(least(floor((vals.v - rng.lo) / (rng.hi - rng.lo) * {bins}), {bins - 1}) AS INTEGER) AS b0
+  FROM vals JOIN rng ON vals.k = rng.k WHERE vals.v IS NOT NULL),
+placed AS (
+  SELECT k, CASE WHEN v < b0 * ((hi - lo) / {bins}) + lo THEN b0 - 1
+                 WHEN b0 <> {bins - 1} AND v >= (CASE WHEN b0 + 1 >= {bins} THEN hi
+                                                 ELSE (b0 + 1) * ((hi - lo) / {bins}) + lo END) THEN b0 + 1
+                 ELSE b0 END AS b
+  FROM base),
+cnt AS (SELECT k, b, count(*) AS n FROM placed GROUP BY 1, 2),
 edges AS (
-  SELECT rng.k, t.b, rng.lo + t.b * (rng.hi - rng.lo) / {bins} AS bin_start,
-         rng.lo + (t.b + 1) * (rng.hi - rng.lo) / {bins} AS bin_end
+  SELECT rng.k, t.b, t.b * ((rng.hi - rng.lo) / {bins}) + rng.lo AS bin_start,
+         CASE WHEN t.b + 1 >= {bins} THEN rng.hi ELSE (t.b + 1) * ((rng.hi - rng.lo) / {bins}) + rng.lo END AS bin_end
   FROM rng, range({bins}) t(b))
 SELECT edges.k AS {key_name}, CAST(edges.b AS INTEGER) AS bin, edges.bin_start, edges.bin_end,
        coalesce(cnt.n, 0) AS num_users
