@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,3 +63,43 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def keep_rows(docs: DataFrame, text_col: str, judge: Callable[[], Callable[[pa.RecordBatch, str], list[bool]]]) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that a judge keeps. ``judge()`` runs once a task and gives a
+    function of (record batch, text column) to one boolean a row. No shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judged = judge()
+        for block in blocks(batches, text_col):
+            yield block.filter(pa.array(judged(block, text_col), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+_CHUNK = 1 << 13
+
+
+def vector_chunks(vector: np.ndarray) -> pa.RecordBatch:
+    """The non-zero chunks of a task's counts as rows (chunk, counts)."""
+    parts = [(k, vector[s : s + _CHUNK]) for k, s in enumerate(range(0, len(vector), _CHUNK))]
+    parts = [(k, c.astype(np.int64).tobytes()) for k, c in parts if c.any()]
+    return pa.RecordBatch.from_pydict({"chunk": pa.array([k for k, _ in parts], pa.int32()), "counts": pa.array([c for _, c in parts], pa.binary())})
+
+
+def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, raw in zip(column_list(batch, "chunk"), column_list(batch, "counts")):
+            counts = np.frombuffer(raw, np.int64)
+            totals[k] = totals[k] + counts if k in totals else counts
+    yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(totals), pa.int32()), "counts": pa.array([c.tobytes() for c in totals.values()], pa.binary())})
+
+
+def summed_vector(chunks: DataFrame, size: int) -> np.ndarray:
+    """Sum of the counts of all tasks: added up in Spark by chunk, one vector of a fixed size at the end."""
+    out = np.zeros(size, np.int64)
+    for r in chunks.repartition("chunk").mapInArrow(_add_chunks, "chunk int, counts binary").collect():
+        part = np.frombuffer(r["counts"], np.int64)
+        out[r["chunk"] * _CHUNK : r["chunk"] * _CHUNK + len(part)] = part
+    return out

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import token_codec, token_counts
+from marquee.llm import (
+    chat_template,
+    decontaminate,
+    language,
+    license_scan,
+    ngram_join,
+    order_minhash,
+    token_codec,
+    token_counts,
+    toxicity,
+    url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,9 +25,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_codec": token_codec.op1,
+        "op2_language_id": language.op2,
+        "op3_url_rules": url_rules.op3,
+        "op4_toxicity": toxicity.op4,
+        "op5_decontaminate": decontaminate.op5,
+        "op6_order_minhash": order_minhash.op6,
         "op7_token_counts": token_counts.op7,
+        "op8_chat_format": chat_template.op8,
+        "op9_ngram_join": ngram_join.op9,
+        "op10_license_scan": license_scan.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_decontaminate": decontaminate.ORACLE,
+        "op8_chat_format": chat_template.ORACLE,
+        "op9_ngram_join": ngram_join.ORACLE,
+        "op10_license_scan": license_scan.oracle(),
+    }
