@@ -281,7 +281,9 @@ def fold(tree):
             branches.append((test, fold(body)))
             if test[0] == "const":
                 break
-        return branches[0][1] if branches and branches[0][0][0] == "const" else ("if", branches)
+        if not branches:
+            return ("block", [])
+        return branches[0][1] if branches[0][0][0] == "const" else ("if", branches)
     if kind == "block":
         nodes: list = []
         for node in tree[1]:

@@ -15,7 +15,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -146,15 +145,10 @@ def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     })
 
 
-def _least_overlap(total_size, percent: int):
-    """Smallest intersection with Jaccard >= percent / 100 when both sizes sum to ``total_size`` (ceiling)."""
-    t = Fraction(percent, 100 + percent)
-    return -(-total_size * t.numerator // t.denominator)
-
-
 _ENTRY = T.StructType([
     T.StructField("gram", T.LongType()),
     T.StructField("salt", T.IntegerType()),
+    T.StructField("salted", T.BooleanType()),
     T.StructField("key", T.LongType()),
     T.StructField("n", T.IntegerType()),
     T.StructField("pos", T.IntegerType()),
@@ -187,6 +181,7 @@ def _entries(ngram: int, percent: int, sketch):
                 [
                     pa.array(_signed(gram)),
                     pa.array((key.view(np.uint64) % salts.astype(np.uint64)).astype(np.int32)),
+                    pa.array(salts > 1),
                     pa.array(key),
                     pa.array(np.concatenate(sizes)),
                     pa.array(np.concatenate(places)),
@@ -275,7 +270,7 @@ class NgramJoin:
             .withColumn("high", F.max("key").over(group))
         )
         # a salted group may have its other classes under other salts
-        kept = found.where((F.col("low") != F.col("high")) | (F.col("salt") > 0)).select(*_ENTRY.names, F.col("low").alias("centre"))
+        kept = found.where((F.col("low") != F.col("high")) | F.col("salted")).select("gram", "key", "n", "pos", F.col("low").alias("centre"))
         return written(kept, "ngram-entries")
 
     def _candidates(self, pairs: DataFrame, done: DataFrame | None) -> DataFrame:

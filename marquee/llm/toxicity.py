@@ -22,7 +22,7 @@ from marquee.llm.common import blocks, column_list, fold, keep_rows, table
 #: Hash slots of terms, about how many labelled rows of each label are learnt from, terms that may get weights.
 BITS, SAMPLE_TOXIC, SAMPLE_OTHER, MAX_TERMS, MIN_DOCS = 24, 4000, 8000, 1024, 3
 #: Factors of a term, penalties of weights and factors, steps and their size.
-FACTORS, L2_WEIGHT, L2_FACTOR, STEPS, RATE = 8, 0.002, 0.01, 400, 0.05
+FACTORS, L2_WEIGHT, L2_FACTOR, STEPS, RATE = 8, 0.00005, 0.1, 400, 0.05
 #: Labels are learnt from documents whose fold of FOLDS is not HELD_OUT.
 FOLDS, HELD_OUT = 5, 0
 
@@ -138,7 +138,11 @@ def fit(sets: list[np.ndarray], y: np.ndarray, bias_shift: float = 0.0) -> Model
             if t in row:
                 x[k, row[t]] = 1.0
     rng = np.random.default_rng(0)
-    parts = [np.array([np.log(y.mean() / (1 - y.mean()))]), np.zeros(len(terms)), rng.normal(0, 0.05, (len(terms), FACTORS))]
+    # start where each term alone, and their absence, score what the rows say; the steps fit them together
+    log_odds = lambda ones, all_rows: np.log((ones + 0.5) / (all_rows - ones + 0.5))
+    bare = x.sum(axis=1) == 0
+    start = log_odds(y[bare].sum(), bare.sum())
+    parts = [np.array([start]), log_odds(x.T @ y, x.sum(axis=0)) - start, rng.normal(0, 0.05, (len(terms), FACTORS))]
     first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     for t in range(1, STEPS + 1):
         bias, w, v = parts
