@@ -113,11 +113,11 @@ clean AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\
 unit AS (
   SELECT doc_id, unnest(generate_series(0, len(string_split(clean, chr(10))) - 1)) AS line, string_split(clean, chr(10)) AS lines FROM clean),
 words AS (
-  SELECT doc_id, line, list_filter(string_split(lines[line + 1], ' '), x -> x <> '') AS w FROM unit
+  SELECT doc_id, line, list_filter(string_split(lines[line + 1], ' '), lambda x: x <> '') AS w FROM unit
   UNION ALL
-  SELECT doc_id, -1, list_filter(string_split(replace(clean, chr(10), ' '), ' '), x -> x <> '') FROM clean WHERE contains(clean, chr(10))),
+  SELECT doc_id, -1, list_filter(string_split(replace(clean, chr(10), ' '), ' '), lambda x: x <> '') FROM clean WHERE contains(clean, chr(10))),
 grams AS (
-  SELECT doc_id, line, list_distinct(list_transform(generate_series(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1])) AS g FROM words WHERE len(w) > 1),
+  SELECT doc_id, line, list_distinct(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM words WHERE len(w) > 1),
 dice AS (
   SELECT doc_id, line, license, 2.0 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
   FROM grams, template WHERE 2 * least(len(g), len(grams)) >= {min_dice} * (len(g) + len(grams))),
