@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 GENRE_SEPARATOR_REGEX = "[|]"  # genres are pipe-separated
 DATE_TEXT_FORMAT = "yyyy-MM-dd"  # watching_date text
 SECONDS_PER_DAY = 86400
+DAYS_WITH_DATE = (-719162, 2932896)  # 0001-01-01 and 9999-12-31 as days from 1970-01-01
 YEAR_SUFFIX_PATTERN = r"\((\d{4})\)\s*$"  # strict form of "title ends in (YYYY)"
 
 
@@ -30,9 +31,11 @@ def epoch_seconds_of_ntz(ts: str | Column) -> Column:
 
 
 def epoch_to_date_text(seconds: Column) -> Column:
-    """``yyyy-MM-dd`` of epoch seconds in UTC; day arithmetic, so the session zone plays no part."""
-    days = F.floor(seconds / F.lit(SECONDS_PER_DAY)).cast("int")
-    return F.date_format(F.date_from_unix_date(days), DATE_TEXT_FORMAT)
+    """``yyyy-MM-dd`` of epoch seconds in UTC; whole-number day arithmetic, so the session zone plays no part. Seconds
+    outside the years 1 to 9999 have no date: null."""
+    whole = F.call_function("div", seconds, F.lit(SECONDS_PER_DAY).cast("bigint"))
+    days = F.when(seconds % SECONDS_PER_DAY < 0, whole - 1).otherwise(whole)
+    return F.date_format(F.date_from_unix_date(F.when(days.between(*DAYS_WITH_DATE), days).cast("int")), DATE_TEXT_FORMAT)
 
 
 def production_year(title: str | Column) -> Column:

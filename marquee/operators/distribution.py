@@ -3,10 +3,10 @@
 Bins follow the plotting default the reference relied on: 10 equal bins from the smallest to the largest
 value, the largest value in the last bin; when all values are equal the range is widened by 0.5 each side.
 
-Plan: the values are counted per distinct (key, value) by a partial aggregate; per-key ``min``/``max`` and the
-binning read those counts. The per-key range is joined back on the key (one row per key, so it is small and
-broadcast by size when it fits; a hot key is split by AQE's skew join otherwise), each distinct value gets its
-bin by arithmetic, and the bin counts are summed by another partial aggregate. No value list is collected.
+Plan: the values are counted per distinct (key, value) by a partial aggregate; the per-key range is joined back on the
+key (one row per key, so it is small and broadcast by size when it fits; a hot key is split by AQE's skew join
+otherwise), each distinct value gets its bin by arithmetic, and one partial aggregate per key sums all bins as
+columns, which are then turned into rows. No value list is collected.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def equal_width_histogram(
     """``key, bin, bin_start, bin_end, <count_name>`` per key of ``values``; null values are left out.
 
     The values are first counted per distinct (key, value), so the per-user rows cross the network once; the
-    range and the binning then read that much smaller table (means of half-star ratings repeat heavily).
+    range and the binning then read that table, which is the smaller the more the means repeat.
     """
     by_value = (
         values.where(F.col(value).isNotNull())
@@ -44,22 +44,20 @@ def equal_width_histogram(
             F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"),
         )
     )
-    counts = (
-        by_value.join(ranges, key, "inner")
-        .select(key, histogram_bin(F.col(value), F.col("_lo"), F.col("_hi"), bins).alias("bin"), "_n")
-        .groupBy(key, "bin")
-        .agg(F.sum("_n").alias(count_name))
-    )
     lo, hi = F.col("_lo"), F.col("_hi")
-    edges = ranges.select(key, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_lo", "_hi").select(
-        key,
-        "bin",
-        histogram_edge(F.col("bin"), lo, hi, bins).alias("bin_start"),
-        histogram_edge(F.col("bin") + 1, lo, hi, bins).alias("bin_end"),
+    placed = by_value.join(ranges, key, "inner").select(
+        key, "_lo", "_hi", "_n", histogram_bin(F.col(value), lo, hi, bins).alias("_bin")
     )
-    return (
-        edges.join(counts, [key, "bin"], "left")
-        .select(key, "bin", "bin_start", "bin_end", F.coalesce(F.col(count_name), F.lit(0)).alias(count_name))
+    # one group per key holds all of its bins, so the empty ones need no second branch
+    sums = [F.sum(F.when(F.col("_bin") == i, F.col("_n")).otherwise(0)).alias(f"_b{i}") for i in range(bins)]
+    per_key = placed.groupBy(key).agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), *sums)
+    rows = F.array(*[F.struct(F.lit(i).alias("bin"), F.col(f"_b{i}").alias("n")) for i in range(bins)])
+    return per_key.select(key, "_lo", "_hi", F.explode(rows).alias("_r")).select(
+        key,
+        F.col("_r.bin").alias("bin"),
+        histogram_edge(F.col("_r.bin"), lo, hi, bins).alias("bin_start"),
+        histogram_edge(F.col("_r.bin") + 1, lo, hi, bins).alias("bin_end"),
+        F.col("_r.n").alias(count_name),
     )
 
 

@@ -1,9 +1,9 @@
 """Leaderboards: top rated and most watched movies (rating meaning).
 
-Plan: aggregate ratings per movie first (partial aggregation, so a hot movie is combined map-side), join the
-per-movie rows to movies (only ids present in movies can rank, as with the inner join of the source rule), then
-``orderBy(...).limit(n)``, which Spark runs as a per-partition top-n and a merge (TakeOrderedAndProject), never
-a global sort. Ties break on ``movieId``, so the n rows are always the same.
+Plan: aggregate ratings per movie first (partial aggregation, so a hot movie is combined map-side), keep the ids
+present in movies (a semi-join on ids alone), take the first n (a per-partition top-n and a merge), and only then
+join the movie columns, so titles and genres of n movies move, not of all. Ties break on ``movieId``, so the n rows
+are always the same.
 """
 
 from __future__ import annotations
@@ -15,8 +15,11 @@ DEFAULT_ROWS = 20
 
 
 def _per_movie_top(per_movie: DataFrame, movies: DataFrame, metric: str, n: int | None) -> DataFrame:
-    ranked = per_movie.join(movies, "movieId", "inner").orderBy(F.col(metric).desc(), F.col("movieId").asc())
-    return ranked if n is None else ranked.limit(n)
+    order = (F.col(metric).desc(), F.col("movieId").asc())
+    if n is None:
+        return per_movie.join(movies, "movieId", "inner").orderBy(*order)
+    top = per_movie.join(movies.select("movieId"), "movieId", "left_semi").orderBy(*order).limit(n)
+    return top.join(movies, "movieId", "inner").orderBy(*order).limit(n)
 
 
 def top_rated(ratings: DataFrame, movies: DataFrame, n: int | None = DEFAULT_ROWS) -> DataFrame:

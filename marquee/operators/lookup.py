@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import split_genres
-from marquee.operators.profile import user_genre_profile
+from marquee.operators.model import with_movies
 
 
 def _ids(values: Iterable[int]) -> list[int]:
@@ -60,19 +60,24 @@ def movies_in_genre_list(movies: DataFrame, genres: Iterable[str]) -> DataFrame:
 def genre_counts_samples(movies: DataFrame, fragments: Iterable[str], samples: int = 5) -> DataFrame:
     """Per genre fragment: the number of movies whose genres contain it, and its first ``samples`` movies by id.
 
-    ``fragment, num_movies, sample_rank, movieId, title, genres, production_year``. The fragment list is the
-    caller's, so its broadcast is bounded by its length. Counting is a partial aggregate; the samples are a
-    ``row_number() <= k`` filter, which Spark plans as a per-partition group limit before the shuffle, so a
-    fragment matching most movies still moves only k rows per partition.
+    ``fragment, num_movies, sample_rank, movieId, title, genres, production_year``. Each movie lists the fragments its
+    genres contain, so one scan serves all of them without a join. Counting is a partial aggregate; the samples are
+    a ``row_number() <= k`` filter, which Spark plans as a per-partition group limit before the shuffle, so a
+    fragment matching most movies still moves only k rows per partition. A fragment without a match has one row with
+    count 0 and no sample.
     """
     spark = movies.sparkSession
-    frags = spark.createDataFrame([(f,) for f in dict.fromkeys(fragments)], "fragment string")
-    matches = movies.join(F.broadcast(frags), F.col("genres").contains(F.col("fragment")), "inner")
+    asked = list(dict.fromkeys(fragments))
+    frags = spark.createDataFrame([(f,) for f in asked], "fragment string")
+    listed = F.filter(F.array(*map(F.lit, asked)), lambda f: F.col("genres").contains(f))
+    matches = movies.select("*", F.explode(listed).alias("fragment"))
     counts = matches.groupBy("fragment").agg(F.count(F.lit(1)).alias("num_movies"))
     first = Window.partitionBy("fragment").orderBy(F.col("movieId").asc())
     picked = matches.withColumn("sample_rank", F.row_number().over(first)).where(F.col("sample_rank") <= samples)
-    return picked.join(counts, "fragment", "inner").select(
-        "fragment", "num_movies", "sample_rank", "movieId", "title", "genres", "production_year"
+    return (
+        frags.join(counts, "fragment", "left").join(picked, "fragment", "left")
+        .withColumn("num_movies", F.coalesce("num_movies", F.lit(0)))
+        .select("fragment", "num_movies", "sample_rank", "movieId", "title", "genres", "production_year")
     )
 
 
@@ -81,6 +86,11 @@ def movies_by_year(movies: DataFrame, year: int | str) -> DataFrame:
     return movies.where(F.col("title").endswith(F.lit(f"({year})")))
 
 
+def titles_rated_or_tagged(interactions: DataFrame, movies: DataFrame, user_ids: Iterable[int]) -> DataFrame:
+    """``titles_by_users`` from the interactions themselves: the genres play no part, so nothing is exploded."""
+    return with_movies(interactions.where(F.col("userId").isin(_ids(user_ids))), movies).select("title").distinct()
+
+
 def titles_by_users(wide: DataFrame, user_ids: Iterable[int]) -> DataFrame:
     """Distinct titles that any of the users rated or tagged (interaction meaning)."""
     return wide.where(F.col("userId").isin(_ids(user_ids))).select("title").distinct()
@@ -98,13 +108,18 @@ def titles_in_genres(wide: DataFrame, genres: Iterable[str], distinct: bool = Fa
 
 def user_detail(ratings: DataFrame, movies: DataFrame, user_ids: Iterable[int]) -> tuple[DataFrame, DataFrame]:
     """``(totals, history)`` for users: ``userId, num_genres, num_movies`` (genres rated, rating records of known
-    movies) and ``userId, title, watching_date, rating``. An unknown user has no rows in either."""
-    ids = _ids(user_ids)
-    picked = ratings.where(F.col("userId").isin(ids))
-    history = picked.join(movies, "movieId", "inner")
-    num_movies = history.groupBy("userId").agg(F.count(F.lit(1)).alias("num_movies"))
-    num_genres = user_genre_profile(picked, movies).groupBy("userId").agg(F.count(F.lit(1)).alias("num_genres"))
-    totals = num_genres.join(num_movies, "userId", "inner").select("userId", "num_genres", "num_movies")
+    movies) and ``userId, title, watching_date, rating``. Every asked user has a totals row, with zeros if unknown.
+
+    One read of the ratings: the first genre part of a record stands for the record."""
+    ids = list(dict.fromkeys(_ids(user_ids)))
+    history = ratings.where(F.col("userId").isin(ids)).join(movies, "movieId", "inner")
+    parts = history.select("userId", F.posexplode(split_genres("genres")).alias("pos", "genre"))
+    counted = parts.groupBy("userId").agg(
+        F.countDistinct("genre").alias("num_genres"), F.sum(F.when(F.col("pos") == 0, 1).otherwise(0)).alias("num_movies")
+    )
+    asked = ratings.sparkSession.createDataFrame([(i,) for i in ids], "userId int")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    totals = asked.join(counted, "userId", "left").select("userId", zero("num_genres"), zero("num_movies"))
     return totals, history.select("userId", "title", "watching_date", "rating")
 
 

@@ -18,26 +18,31 @@ from marquee.functions.columns import epoch_seconds, split_genres
 
 # Fixed value: a rating record whose timestamp does not parse ranks below every dated record of its pair.
 _UNDATED = -(2**63)
+# Ratings lie within -10^6 and 10^6; a place in time and rating is seconds * _STEP + rating, exact as a decimal.
+_STEP, _BELOW = 10_000_000, -2_000_000
 
 
 def interactions(ratings: DataFrame, tags: DataFrame) -> DataFrame:
-    """Two hash aggregates instead of one sort-based aggregate over ``max(struct(ts, rating))`` (struct buffers
-    cannot be hash-aggregated): first the highest rating per (user, movie, second), then the rating of the
-    latest second per (user, movie). Both are partial, and a hot pair spreads over its distinct seconds in
-    the first shuffle, so no task receives a hot pair's raw rows. Tag rows carry a null second and are
-    skipped by ``max_by``, which leaves the rating null for pairs that were only tagged."""
+    """One hash aggregate and one shuffle. ``max(struct(ts, rating))`` would need a sort-based aggregate (struct buffers
+    cannot be hash-aggregated), so time and rating are packed into one decimal key: ``ts * 10^7 + rating``, which
+    orders as the pair does for every bigint ``ts`` and every rating between -10^6 and 10^6. A null rating (or one
+    outside that range) ranks below every rating of its second. The aggregate is partial: a hot pair is combined before
+    the shuffle. Tag rows have a null key and are skipped by ``max_by``, which leaves the rating null for pairs that
+    were only tagged."""
+    seconds = F.coalesce(epoch_seconds("timestamp"), F.lit(_UNDATED).cast("bigint")).cast("decimal(20,0)")
+    exact = F.col("rating").try_cast("decimal(14,6)")
+    value = F.when(F.abs(exact) <= 1_000_000, exact).otherwise(F.lit(_BELOW).cast("decimal(14,6)"))
     rated = ratings.select(
         "userId",
         "movieId",
-        F.coalesce(epoch_seconds("timestamp"), F.lit(_UNDATED).cast("bigint")).alias("ts"),
+        (seconds * F.lit(_STEP).cast("decimal(8,0)") + value).cast("decimal(35,6)").alias("place"),
         F.col("rating"),
     )
     tagged = tags.select(
-        "userId", "movieId", F.lit(None).cast("bigint").alias("ts"), F.lit(None).cast("float").alias("rating")
+        "userId", "movieId", F.lit(None).cast("decimal(35,6)").alias("place"), F.lit(None).cast("float").alias("rating")
     )
     keyed = rated.unionByName(tagged).where(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
-    per_second = keyed.groupBy("userId", "movieId", "ts").agg(F.max("rating").alias("rating"))
-    return per_second.groupBy("userId", "movieId").agg(F.max_by("rating", "ts").alias("rating"))
+    return keyed.groupBy("userId", "movieId").agg(F.max_by("rating", "place").alias("rating"))
 
 
 def with_movies(interactions: DataFrame, movies: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import as_cents, round2
-from marquee.operators.model import rated_genres, with_movies
+from marquee.operators.model import rated_genres
 
 
 def _by_user() -> Window:
@@ -38,6 +38,16 @@ def count_watched_movies(wide: DataFrame, user_id: int | None = None) -> DataFra
     return _one_user(wide, user_id).groupBy("userId").agg(F.countDistinct("movieId").alias("moviesWatched"))
 
 
+def count_rated_or_tagged(interactions: DataFrame, movies: DataFrame, user_id: int | None = None) -> DataFrame:
+    """``count_watched_movies`` from the interactions themselves: they are distinct per (user, movie), so it is a plain
+    count over those of movies with genres, without the explode and the distinct count."""
+    known = movies.where(F.col("genres").isNotNull()).select("movieId")
+    return (
+        _one_user(interactions, user_id).join(known, "movieId", "left_semi")
+        .groupBy("userId").agg(F.count(F.lit(1)).alias("moviesWatched"))
+    )
+
+
 def count_watched_genres(wide: DataFrame, user_id: int | None = None) -> DataFrame:
     """``userId, genresWatched``: distinct genres over the movies a user rated or tagged."""
     return _one_user(wide, user_id).groupBy("userId").agg(F.countDistinct("genre").alias("genresWatched"))
@@ -50,18 +60,22 @@ def movie_watch_summary(
     rating, for movies picked by id or by a title fragment.
 
     The wide table repeats each interaction once per genre part of its movie, which changes neither the
-    distinct users nor the mean, so this reads interactions joined to movies with genres, without the explode.
-    Interactions are distinct per (user, movie), so the distinct user count is a plain count.
+    distinct users nor the mean, so this reads interactions without the explode. Interactions are distinct per (user,
+    movie), so the distinct user count is a plain count. They are summed per movie before they meet the movies: a hot
+    movie is combined on the map side and no join key is hot. A pick semi-joins the interactions first.
     """
-    picked = movies
+    picked = movies.where(F.col("genres").isNotNull())
     if movie_id is not None:
         picked = picked.where(F.col("movieId") == F.lit(int(movie_id)))
     if title_fragment is not None:
         picked = picked.where(F.col("title").contains(F.lit(title_fragment)))
-    return (
-        with_movies(interactions, picked)
-        .groupBy("movieId", "title")
-        .agg(F.count(F.lit(1)).alias("usersWatchedMovie"), F.avg("rating").alias("averageRating"))
+    if movie_id is not None or title_fragment is not None:
+        interactions = interactions.join(picked.select("movieId"), "movieId", "left_semi")
+    per_movie = interactions.groupBy("movieId").agg(
+        F.count(F.lit(1)).alias("usersWatchedMovie"), F.avg("rating").alias("averageRating")
+    )
+    return per_movie.join(picked.select("movieId", "title"), "movieId", "inner").select(
+        "movieId", "title", "usersWatchedMovie", "averageRating"
     )
 
 
@@ -69,7 +83,8 @@ def weighted_mean(value: str, weight: Column) -> Column:
     """Mean of ``value`` over rows repeated ``weight`` times; nulls take no part. Exact sums for half-star
     ratings, so it equals ``avg`` over the repeated rows."""
     rated = F.col(value).isNotNull()
-    return F.try_divide(F.sum(F.col(value) * weight), F.sum(F.when(rated, weight)))
+    # in double, whatever the session: a float times a weight would be a float where ANSI is off
+    return F.try_divide(F.sum(F.col(value).cast("double") * weight), F.sum(F.when(rated, weight)))
 
 
 def genre_stats(wide: DataFrame) -> DataFrame:
@@ -194,6 +209,11 @@ def user_genre_profile(
     )
 
 
+def user_profile_by_rating(ratings: DataFrame, movies: DataFrame, user_id: int) -> DataFrame:
+    """One user's genre profile, best mean first (ties by genre)."""
+    return user_genre_profile(ratings, movies, [user_id]).orderBy(F.col("Average_Rating").desc_nulls_last(), F.col("genre").asc())
+
+
 def user_taste_thresholds(profile: DataFrame) -> DataFrame:
     """``userId, num_genres, avg_rating_threshold, avg_watchings_threshold``: a user's mean over genres of the
     rounded mean rating (genres with a mean) and of the record count.

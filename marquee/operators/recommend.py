@@ -26,11 +26,31 @@ DEFAULT_SEED = 42
 
 
 def split_ratings(ratings: DataFrame, train_percent: int = TRAIN_PERCENT, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Adds ``is_train``: ``pmod(xxhash64(userId, movieId, seed), 100) < train_percent``."""
-    bucket = F.pmod(F.xxhash64("userId", "movieId", F.lit(seed)), F.lit(100))
+    """Adds ``is_train``: the first 8 hex digits of the md5 of ``userId:movieId:seed``, modulo 100, below
+    ``train_percent``. Any engine computes the same split."""
+    digest = F.md5(F.concat_ws(":", F.col("userId").cast("string"), F.col("movieId").cast("string"), F.lit(str(seed))).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
     return ratings.withColumn("is_train", bucket < F.lit(train_percent))
 
 
+def train_and_test(ratings: DataFrame, train_percent: int = TRAIN_PERCENT, seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the split, ``userId, movieId, rating``, of the records with a rating."""
+    rated = ratings.where(F.col("rating").isNotNull()).select("userId", "movieId", "rating")
+    split = split_ratings(rated, train_percent, seed)
+    return split.where(F.col("is_train")).drop("is_train"), split.where(~F.col("is_train")).drop("is_train")
+
+
+def warm_records(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Test records whose user and movie both occur in train: those that a model with dropped cold starts predicts."""
+    return test.join(train.select("userId"), "userId", "left_semi").join(train.select("movieId"), "movieId", "left_semi").select("userId", "movieId", "rating")
+
+
+def mean_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
+    """The plain predictor to compare a model with: the mean train rating of the movie, for warm records."""
+    means = train.groupBy("movieId").agg(F.avg("rating").alias("prediction"))
+    return warm_records(train, test).join(means, "movieId").select("userId", "movieId", "rating", "prediction")
+
+
 def split_counts(ratings: DataFrame, train_percent: int = TRAIN_PERCENT, seed: int = DEFAULT_SEED) -> DataFrame:
     """``is_train, num_ratings``: sizes of the two sides of the split (rated records only)."""
     rated = ratings.where(F.col("rating").isNotNull())
@@ -47,10 +67,7 @@ def train_als(
 ) -> tuple[ALSModel, DataFrame]:
     """Fit on the train side; returns ``(model, test)``. Records with a null rating take no part."""
     checkpoint_root(ratings.sparkSession)  # ALS checkpoints its factors there every 10 iterations
-    rated = ratings.where(F.col("rating").isNotNull()).select("userId", "movieId", "rating")
-    split = split_ratings(rated, train_percent, seed)
-    train = split.where(F.col("is_train")).drop("is_train")
-    test = split.where(~F.col("is_train")).drop("is_train")
+    train, test = train_and_test(ratings, train_percent, seed)
     als = ALS(
         maxIter=max_iter,
         regParam=reg_param,
@@ -82,7 +99,8 @@ def recommend_for_users(
 ) -> DataFrame:
     """Top ``n`` movies per asked user: ``userId, rank, movieId, score, title, genres, production_year``.
 
-    ``users`` is a frame with ``userId`` or a list of ids; unknown users get no rows.
+    ``users`` is a frame with ``userId`` or a list of ids; unknown users get no rows. A movie that is not in
+    ``movies`` keeps its rank and score, with null columns.
     """
     if not isinstance(users, DataFrame):
         users = model.userFactors.sparkSession.createDataFrame([(int(u),) for u in users], "userId int")
@@ -93,6 +111,6 @@ def recommend_for_users(
         F.col("rec.movieId").alias("movieId"),
         F.col("rec.rating").alias("score"),
     )
-    return ranked.join(movies, "movieId", "inner").select(
+    return ranked.join(movies, "movieId", "left").select(
         "userId", "rank", "movieId", "score", "title", "genres", "production_year"
     )

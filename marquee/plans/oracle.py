@@ -192,19 +192,21 @@ def oracle_sql() -> dict[str, str]:
     q["scan_tags"] = sql("SELECT * FROM raw_tags", "raw_tags")
     q["sink_csv_roundtrip"] = sql("SELECT * FROM movies", "movies")
     q["save_tables"] = sql(
-        """SELECT 'movies' AS table_name, count(*) AS num_rows FROM movies
-UNION ALL SELECT 'ratings', count(*) FROM ratings
-UNION ALL SELECT 'movie_genres', count(*) FROM movie_genres""",
+        """SELECT 'movies' AS table_name, movieId, CAST(NULL AS INTEGER) AS userId, title || '#' || genres AS text,
+       production_year AS day, CAST(NULL AS FLOAT) AS rating FROM movies
+UNION ALL SELECT 'ratings', movieId, userId, "timestamp", watching_date, rating FROM ratings
+UNION ALL SELECT 'movie_genres', movieId, NULL, genre, NULL, NULL FROM movie_genres""",
         "movies", "ratings", "movie_genres",
     )
     q["export_summaries"] = sql(
-        """SELECT 'yearly_movies' AS summary, count(*) AS num_rows FROM (SELECT production_year FROM movies GROUP BY 1)
-UNION ALL SELECT 'yearly_genres_movies', count(*) FROM
-  (SELECT m.production_year, g.genre FROM movies m JOIN movie_genres g ON m.movieId = g.movieId GROUP BY 1, 2)
-UNION ALL SELECT 'genres_movies', count(*) FROM (SELECT genre FROM movie_genres GROUP BY 1)
-UNION ALL SELECT 'yearly_watchings', count(*) FROM (SELECT substring(watching_date, 1, 4) FROM ratings GROUP BY 1)
-UNION ALL SELECT 'genres_watchings', count(*) FROM
-  (SELECT g.genre FROM ratings r JOIN movie_genres g ON r.movieId = g.movieId GROUP BY 1)""",
+        """SELECT 'yearly_movies' AS summary, production_year AS row_key, CAST(count(*) AS DOUBLE) AS row_value FROM movies GROUP BY 2
+UNION ALL SELECT 'yearly_genres_movies', production_year || '#' || genre, count(*) FROM
+  (SELECT g.genre, m.production_year FROM movies m JOIN movie_genres g ON m.movieId = g.movieId) GROUP BY 2
+UNION ALL SELECT 'genres_movies', genre, count(*) FROM movie_genres GROUP BY 2
+UNION ALL SELECT 'yearly_watchings', substring(watching_date, 1, 4), count(*) FROM ratings GROUP BY 2
+UNION ALL SELECT 'genres_watchings', genre || '#' || n, mean FROM
+  (SELECT g.genre, count(*) AS n, CAST(round(CAST(avg(r.rating) AS DECIMAL(18,6)), 2) AS DOUBLE) AS mean
+   FROM ratings r JOIN movie_genres g ON r.movieId = g.movieId GROUP BY 1)""",
         "movies", "ratings", "movie_genres",
     )
 
@@ -245,26 +247,26 @@ FROM ratings r JOIN movies m ON r.movieId = m.movieId WHERE r.userId {cond}"""
 FROM movie_genres g JOIN movies m ON g.movieId = m.movieId WHERE g.genre IN ({genres})""",
         "movies", "movie_genres",
     )
-    frag_values = ", ".join(f"({_q(g)})" for g in P.GENRE_LIST)
+    frag_values = ", ".join(f"({_q(g)})" for g in P.FRAGMENT_LIST)
     q["genre_counts_samples"] = sql(
-        f"""SELECT s.fragment, c.num_movies, s.sample_rank, s.movieId, s.title, s.genres, s.production_year
-FROM (SELECT f.fragment, m.*, CAST(row_number() OVER (PARTITION BY f.fragment ORDER BY m.movieId) AS INTEGER) AS sample_rank
+        f"""SELECT f.fragment, (SELECT count(*) FROM movies c WHERE strpos(c.genres, f.fragment) > 0) AS num_movies,
+       s.sample_rank, s.movieId, s.title, s.genres, s.production_year
+FROM (VALUES {frag_values}) f(fragment)
+LEFT JOIN (SELECT f.fragment, m.*, CAST(row_number() OVER (PARTITION BY f.fragment ORDER BY m.movieId) AS INTEGER) AS sample_rank
       FROM (VALUES {frag_values}) f(fragment) JOIN movies m ON strpos(m.genres, f.fragment) > 0) s
-JOIN (SELECT f.fragment, count(*) AS num_movies
-      FROM (VALUES {frag_values}) f(fragment) JOIN movies m ON strpos(m.genres, f.fragment) > 0
-      GROUP BY f.fragment) c ON s.fragment = c.fragment
-WHERE s.sample_rank <= {P.SAMPLES_PER_GENRE}""",
+  ON s.fragment = f.fragment AND s.sample_rank <= {P.SAMPLES_PER_GENRE}""",
         "movies",
     )
     q["movies_by_year"] = sql(f"SELECT * FROM movies WHERE ends_with(title, '({year})')", "movies")
     q["titles_by_users"] = sql(f"SELECT DISTINCT title FROM wide WHERE userId IN ({users})", "wide")
     q["titles_in_genres"] = sql(f"SELECT title FROM wide WHERE genre IN ({genres})", "wide")
     q["titles_in_genres_distinct"] = sql(f"SELECT DISTINCT title FROM wide WHERE genre IN ({genres})", "wide")
+    asked = ", ".join(f"({u})" for u in P.DETAIL_USERS)
     q["user_detail_totals"] = sql(
-        f"""SELECT g.userId, g.num_genres, h.num_movies
-FROM (SELECT userId, count(*) AS num_genres FROM profile WHERE userId IN ({users}) GROUP BY userId) g
-JOIN (SELECT r.userId, count(*) AS num_movies FROM ratings r JOIN movies m ON r.movieId = m.movieId
-      WHERE r.userId IN ({users}) GROUP BY r.userId) h ON g.userId = h.userId""",
+        f"""SELECT CAST(a.userId AS INTEGER) AS userId,
+       (SELECT count(*) FROM profile g WHERE g.userId = a.userId) AS num_genres,
+       (SELECT count(*) FROM ratings r JOIN movies m ON r.movieId = m.movieId WHERE r.userId = a.userId) AS num_movies
+FROM (VALUES {asked}) a(userId)""",
         "profile", "ratings", "movies",
     )
     q["user_history"] = sql(
@@ -452,4 +454,25 @@ JOIN flags a ON a.userId = pr.first_user
 JOIN flags b ON b.userId = pr.second_user AND b.genre = a.genre""",
         "flags",
     )
+    # recommender ---------------------------------------------------------------------------------
+    split = f"""split AS (
+  SELECT userId, movieId, rating,
+         CAST('0x' || substr(md5(userId || ':' || movieId || ':{P.ALS_SEED}'), 1, 8) AS BIGINT) % 100 < 80 AS is_train
+  FROM ratings WHERE rating IS NOT NULL),
+warm AS (
+  SELECT userId, movieId, rating FROM split WHERE NOT is_train
+    AND userId IN (SELECT userId FROM split WHERE is_train) AND movieId IN (SELECT movieId FROM split WHERE is_train))"""
+    with_split = lambda body: f"WITH {CTES['ratings']},\n{split}\n{body}"
+    q["als_split_counts"] = with_split("SELECT is_train, count(*) AS num_ratings FROM split GROUP BY is_train")
+    q["als_predicted_records"] = with_split("SELECT userId, movieId, rating FROM warm")
+    q["mean_predictor_metrics"] = with_split(
+        """SELECT count(*) AS num_predictions, round(avg(e), 6) AS mse, round(sqrt(avg(e)), 6) AS rmse
+FROM (SELECT pow(w.rating - m.prediction, 2) AS e FROM warm w
+      JOIN (SELECT movieId, avg(rating) AS prediction FROM split WHERE is_train GROUP BY movieId) m ON m.movieId = w.movieId)"""
+    )
+    q["recommendation_ranks"] = with_split(
+        f"""SELECT userId, CAST({P.RECOMMENDATIONS_PER_USER} AS BIGINT) AS num_rows, 1 AS first_rank,
+       {P.RECOMMENDATIONS_PER_USER} AS last_rank, CAST({P.RECOMMENDATIONS_PER_USER} AS BIGINT) AS num_movies
+FROM (SELECT DISTINCT userId FROM split WHERE is_train AND userId IN ({users}))"""
+    )
     return q

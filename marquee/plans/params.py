@@ -12,6 +12,8 @@ YEAR = 1975
 TITLE_FRAGMENT = "widget"
 MOVIE_ID = 1  # the exact-title lookup uses the title of this movie
 UNKNOWN_USER = 99999999
+DETAIL_USERS = (1, 3, 5, UNKNOWN_USER)  # a user without ratings has a row of zeros
+FRAGMENT_LIST = ("red", "PROMO", "Brand#1", "no such genre")  # the last matches nothing and has a count of 0
 TOP_N = 20
 SAMPLES_PER_GENRE = 5
 HISTOGRAM_BINS = 10

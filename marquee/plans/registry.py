@@ -23,7 +23,7 @@ from marquee.operators import (
     summary,
     taste,
 )
-from marquee.operators.model import interactions, interactions_wide
+from marquee.operators.model import interaction_genres, interactions, interactions_wide
 from marquee.plans import params as P
 from marquee.plans.report import EXPORTED, export_report
 from marquee.plans.tables import MovieTables
@@ -35,7 +35,7 @@ from marquee.sources.files import scan_csv
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_PINNED: dict[tuple[int, str], MovieTables] = {}
+_PINNED: dict[tuple[int, str], tuple[SparkSession, MovieTables]] = {}
 
 
 def pin_tables(spark: SparkSession, sf_dir: str, t: MovieTables | None) -> None:
@@ -45,12 +45,15 @@ def pin_tables(spark: SparkSession, sf_dir: str, t: MovieTables | None) -> None:
     if t is None:
         _PINNED.pop(key, None)
     else:
-        _PINNED[key] = t
+        _PINNED[key] = (spark, t)
 
 
-def tables(spark: SparkSession, sf_dir: str, dirty: bool = False) -> MovieTables:
-    pinned = None if dirty else _PINNED.get((id(spark), sf_dir))
-    return pinned or MovieTables.from_driver_tables(spark, sf_dir, dirty=dirty)
+def tables(spark: SparkSession, sf_dir: str, dirty: bool = False, users=None, movies=None) -> MovieTables:
+    """The tables of a folder; ``users`` and ``movies`` name the ids that a lookup is about, for the file scans."""
+    owner, pinned = _PINNED.get((id(spark), sf_dir), (None, None))
+    if pinned is not None and owner is spark and not dirty:
+        return pinned
+    return MovieTables.from_driver_tables(spark, sf_dir, dirty=dirty, user_ids=users, movie_ids=movies)
 
 
 def _title_of_movie(t: MovieTables, movie_id: int) -> Column:
@@ -86,27 +89,33 @@ def _sink_csv_roundtrip(spark, sf_dir):
 
 
 def _save_tables(spark, sf_dir):
+    """Every row of the three written tables, in one shape."""
     t = tables(spark, sf_dir)
     paths = save_tables(
         {"movies": t.movies, "ratings": t.ratings, "movie_genres": t.movie_genres}, scratch_dir(spark, "tables")
     )
-    counts = [
-        spark.read.parquet(p).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(n).alias("table_name"), "num_rows")
-        for n, p in paths.items()
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    movies, ratings, genres = (spark.read.parquet(paths[n]) for n in ("movies", "ratings", "movie_genres"))
+    none = lambda kind: F.lit(None).cast(kind)
+    shape = lambda df, name, user, text, day, rating: df.select(
+        F.lit(name).alias("table_name"), "movieId", user.alias("userId"), text.alias("text"), day.alias("day"), rating.alias("rating")
+    )
+    return (
+        shape(movies, "movies", none("int"), F.concat_ws("#", "title", "genres"), F.col("production_year"), none("float"))
+        .unionByName(shape(ratings, "ratings", F.col("userId"), F.col("timestamp"), F.col("watching_date"), F.col("rating")))
+        .unionByName(shape(genres, "movie_genres", none("int"), F.col("genre"), none("string"), none("float")))
+    )
 
 
 def _export_summaries(spark, sf_dir):
+    """Every row of the exported CSV files: the summary's name, its key columns as text and its number."""
     paths = export_report(tables(spark, sf_dir), scratch_dir(spark, "report"))
-    counts = [
-        spark.read.option("header", True).csv(paths[n]).agg(F.count(F.lit(1)).alias("num_rows"))
-        .select(F.lit(n).alias("summary"), "num_rows")
-        for n in EXPORTED
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+    out = None
+    for name in EXPORTED:
+        df = spark.read.options(**schemas.CSV_OPTIONS).csv(paths[name])
+        rows = df.select(
+            F.lit(name).alias("summary"), F.concat_ws("#", *df.columns[:-1]).alias("row_key"), F.col(df.columns[-1]).cast("double").alias("row_value")
+        )
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
@@ -143,22 +152,22 @@ def _interactions_wide(spark, sf_dir):
 
 
 def _user_ratings(spark, sf_dir):
-    t = tables(spark, sf_dir)
+    t = tables(spark, sf_dir, users=[P.USER])
     return lookup.user_ratings(t.ratings, t.movies, P.USER)
 
 
 def _user_ratings_unknown(spark, sf_dir):
-    t = tables(spark, sf_dir)
+    t = tables(spark, sf_dir, users=[P.UNKNOWN_USER])
     return lookup.user_ratings(t.ratings, t.movies, P.UNKNOWN_USER)
 
 
 def _users_ratings(spark, sf_dir):
-    t = tables(spark, sf_dir)
+    t = tables(spark, sf_dir, users=P.USER_LIST)
     return lookup.users_ratings(t.ratings, t.movies, P.USER_LIST)
 
 
 def _movie_by_id(spark, sf_dir):
-    return lookup.movie_by_id(tables(spark, sf_dir).movies, P.MOVIE_ID)
+    return lookup.movie_by_id(tables(spark, sf_dir, movies=[P.MOVIE_ID]).movies, P.MOVIE_ID)
 
 
 def _movie_title_contains(spark, sf_dir):
@@ -179,7 +188,7 @@ def _movies_in_genre_list(spark, sf_dir):
 
 
 def _genre_counts_samples(spark, sf_dir):
-    return lookup.genre_counts_samples(tables(spark, sf_dir).movies, P.GENRE_LIST, P.SAMPLES_PER_GENRE)
+    return lookup.genre_counts_samples(tables(spark, sf_dir).movies, P.FRAGMENT_LIST, P.SAMPLES_PER_GENRE)
 
 
 def _movies_by_year(spark, sf_dir):
@@ -187,7 +196,8 @@ def _movies_by_year(spark, sf_dir):
 
 
 def _titles_by_users(spark, sf_dir):
-    return lookup.titles_by_users(tables(spark, sf_dir).genre_rows, P.USER_LIST)
+    t = tables(spark, sf_dir, users=P.USER_LIST)
+    return lookup.titles_rated_or_tagged(t.interactions, t.movies, P.USER_LIST)
 
 
 def _titles_in_genres(spark, sf_dir):
@@ -199,12 +209,12 @@ def _titles_in_genres_distinct(spark, sf_dir):
 
 
 def _user_detail_totals(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    return lookup.user_detail(t.ratings, t.movies, P.USER_LIST)[0]
+    t = tables(spark, sf_dir, users=P.DETAIL_USERS)
+    return lookup.user_detail(t.ratings, t.movies, P.DETAIL_USERS)[0]
 
 
 def _user_history(spark, sf_dir):
-    t = tables(spark, sf_dir)
+    t = tables(spark, sf_dir, users=[P.USER])
     return lookup.user_detail(t.ratings, t.movies, [P.USER])[1]
 
 
@@ -216,15 +226,17 @@ def _genre_detail_totals(spark, sf_dir):
 
 
 def _user_movie_count(spark, sf_dir):
-    return profile.count_watched_movies(tables(spark, sf_dir).genre_rows, P.USER)
+    t = tables(spark, sf_dir, users=[P.USER])
+    return profile.count_rated_or_tagged(t.interactions, t.movies, P.USER)
 
 
 def _user_movie_count_all(spark, sf_dir):
-    return profile.count_watched_movies(tables(spark, sf_dir).genre_rows)
+    t = tables(spark, sf_dir)
+    return profile.count_rated_or_tagged(t.interactions, t.movies)
 
 
 def _user_genre_count(spark, sf_dir):
-    return profile.count_watched_genres(tables(spark, sf_dir).genre_rows, P.USER)
+    return profile.count_watched_genres(tables(spark, sf_dir, users=[P.USER]).genre_rows, P.USER)
 
 
 def _user_genre_count_all(spark, sf_dir):
@@ -232,7 +244,7 @@ def _user_genre_count_all(spark, sf_dir):
 
 
 def _movie_summary_by_id(spark, sf_dir):
-    t = tables(spark, sf_dir)
+    t = tables(spark, sf_dir, movies=[P.MOVIE_ID])
     return profile.movie_watch_summary(t.interactions, t.movies, movie_id=P.MOVIE_ID)
 
 
@@ -258,7 +270,7 @@ def _favourite_genres_strict(spark, sf_dir):
 
 
 def _favourite_genre_of_user(spark, sf_dir):
-    return profile.favourite_genre_of_user(tables(spark, sf_dir).genre_rows, P.USER)
+    return profile.favourite_genre_of_user(tables(spark, sf_dir, users=[P.USER]).genre_rows, P.USER)
 
 
 def _favourite_genre_all_users(spark, sf_dir):
@@ -274,11 +286,11 @@ def _genre_user_counts(spark, sf_dir):
 
 
 def _user_genre_ratings(spark, sf_dir):
-    return profile.user_genre_ratings(tables(spark, sf_dir).genre_rows, P.USER)
+    return profile.user_genre_ratings(tables(spark, sf_dir, users=[P.USER]).genre_rows, P.USER)
 
 
 def _user_genre_watches(spark, sf_dir):
-    return profile.user_genre_watches(tables(spark, sf_dir).genre_rows, P.USER)
+    return profile.user_genre_watches(tables(spark, sf_dir, users=[P.USER]).genre_rows, P.USER)
 
 
 def _genre_rating_histogram(spark, sf_dir):
@@ -291,7 +303,13 @@ def _genre_rating_histogram_all(spark, sf_dir):
 
 def _movie_rating_histogram(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return distribution.movie_rating_histogram(t.genre_rows, _title_of_movie(t, P.MOVIE_ID), P.HISTOGRAM_BINS)
+    title = _title_of_movie(t, P.MOVIE_ID)
+    if (id(spark), sf_dir) in _PINNED:
+        return distribution.movie_rating_histogram(t.genre_rows, title, P.HISTOGRAM_BINS)
+    # the few movies of the title first, then only their interactions
+    named = t.movies.where(F.col("title") == title)
+    picked = interaction_genres(t.interactions.join(named.select("movieId"), "movieId", "left_semi"), named)
+    return distribution.movie_rating_histogram(picked, None, P.HISTOGRAM_BINS)
 
 
 # aggregations: rating meaning ------------------------------------------------------------------------
@@ -313,8 +331,8 @@ def _genre_summary(spark, sf_dir):
 
 
 def _user_genre_profile(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    return profile.user_genre_profile(t.ratings, t.movies, [P.USER])
+    t = tables(spark, sf_dir, users=[P.USER])
+    return profile.user_profile_by_rating(t.ratings, t.movies, P.USER)
 
 
 def _user_genre_profile_all(spark, sf_dir):
@@ -383,7 +401,7 @@ def _all_profile(spark, sf_dir):
 
 
 def _pair_profile(spark, sf_dir, users=P.PAIR):
-    t = tables(spark, sf_dir)
+    t = tables(spark, sf_dir, users=users)
     return taste.pair_profile(t.ratings, t.movies, users)
 
 
@@ -416,6 +434,8 @@ def _model(spark: SparkSession, sf_dir: str):
     key = (id(spark), sf_dir)
     hit = _MODELS.get(key)
     if hit is None or hit[0] is not spark:
+        for old in [k for k, v in _MODELS.items() if v[0] is not spark]:
+            del _MODELS[old]  # models of sessions that are gone
         model, test = recommend.train_als(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
         hit = _MODELS[key] = (spark, model, test)
     return hit[1], hit[2]
@@ -430,11 +450,23 @@ def _als_predictions(spark, sf_dir):
     return recommend.predictions(model, test)
 
 
+def _als_predicted_records(spark, sf_dir):
+    """Which held-out records the model predicts, without the predicted numbers."""
+    return _als_predictions(spark, sf_dir).drop("prediction")
+
+
 def _als_metrics(spark, sf_dir):
     model, test = _model(spark, sf_dir)
     return recommend.evaluation(recommend.predictions(model, test))
 
 
+def _mean_predictor_metrics(spark, sf_dir):
+    """The error measure on a fixed predictor, the mean train rating of the movie."""
+    train, test = recommend.train_and_test(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
+    e = recommend.evaluation(recommend.mean_predictions(train, test))
+    return e.select("num_predictions", F.round("mse", 6).alias("mse"), F.round("rmse", 6).alias("rmse"))
+
+
 def _recommendations(spark, sf_dir):
     t = tables(spark, sf_dir)
     model, _ = _model(spark, sf_dir)
@@ -442,6 +474,13 @@ def _recommendations(spark, sf_dir):
     return recommend.recommend_for_users(model, users, t.movies, P.RECOMMENDATIONS_PER_USER)
 
 
+def _recommendation_ranks(spark, sf_dir):
+    """Rows and ranks per asked user; every one has a title."""
+    return _recommendations(spark, sf_dir).groupBy("userId").agg(
+        F.count("title").alias("num_rows"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"), F.countDistinct("movieId").alias("num_movies")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources and sinks
@@ -528,6 +567,9 @@ def queries() -> dict[str, Query]:
         # recommender (rows-only checks)
         "als_split_counts": _als_split_counts,
         "als_predictions": _als_predictions,
+        "als_predicted_records": _als_predicted_records,
         "als_metrics": _als_metrics,
+        "mean_predictor_metrics": _mean_predictor_metrics,
         "recommendations": _recommendations,
+        "recommendation_ranks": _recommendation_ranks,
     }

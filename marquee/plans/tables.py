@@ -7,6 +7,7 @@ wide table) for a session of queries: ``persist`` (memory and disk; lost blocks
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -37,11 +38,20 @@ class MovieTables:
         return cls(ratings, movies, tags)
 
     @classmethod
-    def from_driver_tables(cls, spark: SparkSession, sf_dir: str, dirty: bool = False) -> MovieTables:
+    def from_driver_tables(
+        cls,
+        spark: SparkSession,
+        sf_dir: str,
+        dirty: bool = False,
+        user_ids: Iterable[int] | None = None,
+        movie_ids: Iterable[int] | None = None,
+    ) -> MovieTables:
+        """``user_ids`` and ``movie_ids`` limit the ratings, tags (users) and movies to what a lookup is about, as filters
+        that reach the Parquet reader."""
         return cls(
-            adapter.raw_ratings(spark, sf_dir, dirty),
-            adapter.raw_movies(spark, sf_dir, dirty),
-            adapter.raw_tags(spark, sf_dir),
+            adapter.raw_ratings(spark, sf_dir, dirty, user_ids, movie_ids),
+            adapter.raw_movies(spark, sf_dir, dirty, movie_ids),
+            adapter.raw_tags(spark, sf_dir, user_ids),
         )
 
     @classmethod

@@ -43,3 +43,15 @@ INTERACTIONS = StructType(
         StructField("rating", FloatType(), True),
     ]
 )
+
+#: How CSV text is read and written: quotes inside a quoted field are doubled, outer spaces stay, a null is ``\\N`` so that
+#: empty text (written ``""``) stays empty text. An unquoted empty field of a foreign file reads as null.
+CSV_OPTIONS = {
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "mode": "PERMISSIVE",
+}

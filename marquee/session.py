@@ -6,7 +6,7 @@ session; the builder below only sets what makes plans good: AQE with skew-join s
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -24,16 +24,20 @@ SESSION_DEFAULTS = {
 }
 
 
-def cluster_settings(total_cores: int) -> dict[str, str]:
+PARTITION_BYTES = 256 << 20
+
+
+def cluster_settings(total_cores: int, shuffle_bytes: int = 0) -> dict[str, str]:
     """Sizing for a large cluster (e.g. 1000 executors x 8 cores over 100 TB).
 
-    Shuffles start wide (4 partitions per core) and AQE coalesces them to ~256 MB each after each stage, so a
-    partition fits executor memory whatever the scale; scans split at 256 MB; a shuffle partition over 512 MB
-    and 5x the median is split by the skew join.
+    AQE joins small shuffle partitions but does not split ordinary ones, so the number at the start is sized from the
+    largest shuffle expected: ``shuffle_bytes`` / 256 MB, and at least 4 per core. AQE coalesces smaller shuffles to
+    ~256 MB. Scans split at 256 MB; a shuffle partition over 512 MB and 5x the median is split by the skew join.
     """
+    partitions = str(max(4 * total_cores, -(-shuffle_bytes // PARTITION_BYTES)))
     return {
-        "spark.sql.shuffle.partitions": str(4 * total_cores),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * total_cores),
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
@@ -47,14 +51,15 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
     total_cores: int | None = None,
+    shuffle_bytes: int = 0,
 ) -> SparkSession:
-    """``total_cores`` applies ``cluster_settings``; ``shuffle_partitions`` and ``extra`` override."""
+    """``total_cores`` and ``shuffle_bytes`` apply ``cluster_settings``; ``shuffle_partitions`` and ``extra`` override."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     if total_cores:
-        conf.update(cluster_settings(total_cores))
+        conf.update(cluster_settings(total_cores, shuffle_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -66,7 +71,8 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process on one machine; ``local-cluster[...]`` runs executors of its own and counts as a cluster."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -98,6 +104,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint root for written intermediate tables."""
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/marquee-scratch/{name}-{uuid.uuid4().hex}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
+    _SCRATCH.append(path)
     return path
+
+
+_SCRATCH: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders that this process handed out, through Spark's file system; results that still read
+    from them must have been written elsewhere. Returns how many were there."""
+    removed = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed

@@ -10,26 +10,20 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.schemas import CSV_OPTIONS
+
 
 def save_as_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One frame as CSV with a header; outer spaces in text are kept, so titles read back unchanged."""
-    (
-        df.write.mode(mode)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
-
-
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    """One frame as CSV with a header. Outer spaces, quotes, empty text and nulls read back unchanged by ``read_csv``
+    (text with line feeds too, with its ``multi_line``)."""
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"}
+    df.write.mode(mode).options(**options).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema, multi_line: bool = False) -> DataFrame:
+    """A folder that ``save_as_csv`` wrote. ``multi_line`` is needed if some text holds line feeds; it keeps a file in
+    one task."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
 
 
 def save_tables(tables: Mapping[str, DataFrame], base_path: str, fmt: str = "parquet", mode: str = "overwrite") -> dict[str, str]:

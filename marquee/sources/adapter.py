@@ -18,6 +18,8 @@ null genres and titles without a year, each on a fixed residue class of the sour
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +38,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_movies(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    part = read_table(spark, sf_dir, "part")
+def _only(df: DataFrame, column: str, ids: Iterable[int] | None) -> DataFrame:
+    """Rows of some ids, tested on the table's own column so that the Parquet reader gets the filter; the typed filter
+    of a lookup sits above the casts and cannot reach it."""
+    return df if ids is None else df.where(F.col(column).isin([int(i) for i in ids]))
+
+
+def raw_movies(spark: SparkSession, sf_dir: str, dirty: bool = False, movie_ids: Iterable[int] | None = None) -> DataFrame:
+    part = _only(read_table(spark, sf_dir, "part"), "p_partkey", movie_ids)
     title = F.concat(F.col("p_name"), F.lit(" ("), (F.lit(FIRST_YEAR_OFFSET) + F.col("p_size")).cast("string"), F.lit(")"))
     genres = F.concat(F.regexp_replace("p_name", " ", "|"), F.lit("|"), F.col("p_type"), F.lit("|"), F.col("p_brand"))
     if dirty:
@@ -51,9 +59,16 @@ def raw_movies(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFra
     )
 
 
-def raw_ratings(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+def raw_ratings(
+    spark: SparkSession,
+    sf_dir: str,
+    dirty: bool = False,
+    user_ids: Iterable[int] | None = None,
+    movie_ids: Iterable[int] | None = None,
+) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lineitem, orders = _only(lineitem, "l_partkey", movie_ids), _only(orders, "o_custkey", user_ids)
     rating = (((F.col("l_quantity").cast("int") - 1) % 10 + 1) / 2).cast("string")
     if dirty:
         key = F.col("l_orderkey")
@@ -70,8 +85,8 @@ def raw_ratings(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFr
     )
 
 
-def raw_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
+def raw_tags(spark: SparkSession, sf_dir: str, user_ids: Iterable[int] | None = None) -> DataFrame:
+    events = _only(read_table(spark, sf_dir, "events"), "user_id", user_ids)
     return events.select(
         F.col("user_id").cast("string").alias("userId"),
         F.get_json_object("props", "$.k").alias("movieId"),

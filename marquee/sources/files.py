@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee import schemas
+from marquee.schemas import CSV_OPTIONS
 
 # Fixed file names of a data-set folder.
 MOVIES_FILE = "movies.csv"
@@ -18,41 +19,36 @@ TAGS_FILE = "tags.csv"
 _RAW = {"movies": schemas.RAW_MOVIES, "ratings": schemas.RAW_RATINGS, "tags": schemas.RAW_TAGS}
 
 
-def scan_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
     """Raw string columns of one source table from CSV with a header row.
 
-    Leading and trailing spaces are kept (a title may end in spaces); an empty field reads as null.
+    Leading and trailing spaces are kept (a title may end in spaces), doubled quotes inside a quoted field are one
+    quote, and an empty field reads as null. ``multi_line`` allows line feeds inside quoted fields; such files cannot
+    be split among tasks, so it is off unless asked for.
     """
-    return (
-        spark.read.schema(_RAW[table])
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    return spark.read.schema(_RAW[table]).options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
 
 
-def scan_movies(spark: SparkSession, path: str) -> DataFrame:
-    return scan_csv(spark, path, "movies")
+def scan_movies(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return scan_csv(spark, path, "movies", multi_line)
 
 
-def scan_ratings(spark: SparkSession, path: str) -> DataFrame:
-    return scan_csv(spark, path, "ratings")
+def scan_ratings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return scan_csv(spark, path, "ratings", multi_line)
 
 
-def scan_tags(spark: SparkSession, path: str) -> DataFrame:
-    return scan_csv(spark, path, "tags")
+def scan_tags(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return scan_csv(spark, path, "tags", multi_line)
 
 
-def load_dataset(spark: SparkSession, base_path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def load_dataset(spark: SparkSession, base_path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(ratings, movies, tags)`` raw frames of a folder holding ``movies.csv``, ``ratings.csv``, ``tags.csv``.
 
     The folder choice (small or full data set) is just the argument.
     """
     base = base_path.rstrip("/")
     return (
-        scan_ratings(spark, f"{base}/{RATINGS_FILE}"),
-        scan_movies(spark, f"{base}/{MOVIES_FILE}"),
-        scan_tags(spark, f"{base}/{TAGS_FILE}"),
+        scan_ratings(spark, f"{base}/{RATINGS_FILE}", multi_line),
+        scan_movies(spark, f"{base}/{MOVIES_FILE}", multi_line),
+        scan_tags(spark, f"{base}/{TAGS_FILE}", multi_line),
     )

@@ -11,19 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators.clean import clean_movies, clean_ratings, clean_tags
+from marquee.schemas import CSV_OPTIONS
 from marquee.sources.files import _RAW
-from marquee.session import scratch_dir
 
 _CLEAN = {"ratings": clean_ratings, "movies": clean_movies, "tags": clean_tags}
 
 
 def read_raw_stream(spark: SparkSession, path: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (
-        spark.readStream.schema(_RAW[table])
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
+    reader = spark.readStream.schema(_RAW[table]).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)
@@ -42,8 +37,13 @@ def ingest(
     checkpoint_path: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the job; with ``available_now`` it processes what is there and stops (a scheduled batch run)."""
-    checkpoint = checkpoint_path or scratch_dir(spark, f"ingest-{table}")
+    """Start the job; with ``available_now`` it processes what is there and stops (a scheduled batch run).
+
+    The checkpoint belongs to the target: by default it is the folder ``<target>-checkpoint`` beside it, the same at
+    every start, so a later run takes up the files that came since. A fresh checkpoint over an old target would
+    number its batches anew, and the target's log would skip them as already written.
+    """
+    checkpoint = checkpoint_path or f"{target_path.rstrip('/')}-checkpoint"
     writer = (
         clean_stream(spark, source_path, table)
         .writeStream.format("parquet")

@@ -159,3 +159,56 @@ def test_adapter_epoch_seconds_ignore_the_session_zone(spark):
         assert rows(df.select(epoch_seconds_of_ntz("t"))) == [(-1,), (867715200,)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_packed_order_key_holds_at_its_edges(spark):
+    """Latest second first, then the rating: at both ends of bigint seconds and of the rating range."""
+    from marquee.operators.model import interactions
+
+    top, low = str(2**63 - 1), str(-(2**63) + 1)
+    cases = {
+        1: [("5", 1.0), ("6", 0.5)], 2: [("5", 1.0), ("5", 4.5), ("5", None)], 3: [(top, -999999.0), (str(2**63 - 2), 999999.0)],
+        4: [(low, 3.0), ("n/a", 5.0)], 5: [("n/a", 2.0), ("n/a", 3.0)], 6: [("7", None), ("6", 4.0)], 7: [("-5", 0.0), ("-6", 5.0)],
+    }
+    ratings = spark.createDataFrame([(1, m, r, t, None) for m, rs in cases.items() for t, r in rs], "userId int, movieId int, rating float, timestamp string, watching_date string")
+    tags = spark.createDataFrame([(1, 1, "x"), (1, 9, "y")], "userId int, movieId int, tag string")
+    found = {r.movieId: r.rating for r in interactions(ratings, tags).collect()}
+    assert found == {1: 0.5, 2: 4.5, 3: -999999.0, 4: 3.0, 5: 3.0, 6: None, 7: 0.0, 9: None}
+
+
+def test_folded_means_do_not_depend_on_ansi(spark):
+    from marquee.operators import profile
+    from marquee.operators.model import interaction_genres, interactions_wide
+
+    movies = spark.createDataFrame([(1, "t", "A|A|A", None), (2, "u", "A", None)], "movieId int, title string, genres string, production_year string")
+    pairs = spark.createDataFrame([(1, 1, 3.7), (1, 2, 2.1)], "userId int, movieId int, rating float")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            folded = profile.genre_stats(interaction_genres(pairs, movies)).collect()
+            wide = profile.genre_stats(interactions_wide(pairs, movies)).collect()
+            assert [tuple(r) for r in folded] == [tuple(r) for r in wide]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_a_profile_is_ordered_by_its_means(small):
+    from marquee.operators.profile import user_profile_by_rating
+
+    found = [(-r.Average_Rating, r.genre) for r in user_profile_by_rating(small.ratings, small.movies, 1).collect()]
+    assert found == sorted(found) and len(found) > 5
+
+
+def test_counts_and_titles_without_the_explode(small):
+    from marquee.operators import lookup, profile
+
+    assert rows(profile.count_rated_or_tagged(small.interactions, small.movies)) == rows(profile.count_watched_movies(small.wide))
+    assert rows(lookup.titles_rated_or_tagged(small.interactions, small.movies, [1, 3])) == rows(lookup.titles_by_users(small.wide, [1, 3]))
+
+
+def test_a_fragment_without_a_match_counts_zero(small):
+    from marquee.operators import lookup
+
+    found = {r.fragment: (r.num_movies, r.sample_rank) for r in lookup.genre_counts_samples(small.movies, ["no such"]).collect()}
+    assert found == {"no such": (0, None)}

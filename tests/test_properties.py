@@ -100,7 +100,7 @@ def test_histogram_of_equal_values_uses_middle_bin(spark):
 def test_unknown_user_gives_empty_frames(small):
     assert lookup.user_ratings(small.ratings, small.movies, 99999999).count() == 0
     totals, history = lookup.user_detail(small.ratings, small.movies, [99999999])
-    assert totals.count() == 0 and history.count() == 0
+    assert rows(totals) == [(99999999, 0, 0)] and history.count() == 0
     assert profile.favourite_genre_of_user(small.wide, 99999999).count() == 0
 
 

@@ -29,3 +29,18 @@ def test_train_predict_recommend(small):
     scores = [r.score for r in recs.where("userId = 1").orderBy("rank").collect()]
     assert scores == sorted(scores, reverse=True)
     assert recs.where(F.col("title").isNull()).count() == 0
+
+
+def test_the_split_is_the_md5_of_the_pair(small):
+    import hashlib
+
+    for r in recommend.split_ratings(small.ratings.limit(200), seed=7).collect():
+        digest = hashlib.md5(f"{r.userId}:{r.movieId}:7".encode()).hexdigest()
+        assert r.is_train == (int(digest[:8], 16) % 100 < 80)
+
+
+def test_ranks_stay_complete_when_movies_are_missing(small):
+    model, _ = recommend.train_als(small.ratings, max_iter=2)
+    recs = recommend.recommend_for_users(model, [1, 3], small.movies.where("movieId % 2 = 0"), n=10).collect()
+    assert sorted((r.userId, r["rank"]) for r in recs) == [(u, k) for u in (1, 3) for k in range(1, 11)]
+    assert any(r.title is None for r in recs) and all(r.score is not None for r in recs)
