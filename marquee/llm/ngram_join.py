@@ -31,10 +31,11 @@ NGRAM, PERCENT = 5, 75
 SLOT_BITS, CHUNK = 20, 1 << 14
 #: Entries of a hash, by the sketch, beyond which its group is salted.
 SALT_ROWS = 4096
-#: Hash ranges of the suffix filter; most bits of the filter that picks the sets to send for verification.
-RANGES, MAX_PICK_BITS = 64, 26
+#: Hash ranges of the suffix filter; most bits of the filter that picks the sets to send for verification (beyond some
+#: millions of candidate classes it lets more and more sets pass that no pair needs, which costs time but loses nothing).
+RANGES, MAX_PICK_BITS = 64, 22
 #: Pairs across components that are tried at once, as a multiple of the entries, and rounds by centres before.
-PAIRS_PER_ENTRY, CENTRE_ROUNDS = 8, 6
+PAIRS_PER_ENTRY, CENTRE_ROUNDS = 64, 3
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _WORDS_KEPT = 400_000
@@ -262,15 +263,17 @@ class NgramJoin:
         self.entries = self._shared_entries(self.spark.sparkContext.broadcast(sketch))
 
     def _shared_entries(self, sketch) -> DataFrame:
-        """Prefix entries of the n-grams that more than one class has in its prefix, with the centre of their group."""
+        """Prefix entries of the n-grams that more than one class has in its prefix, with the centre of their group: the
+        class with the fewest rarer n-grams, which among copies with different edits is the least edited one."""
         group = Window.partitionBy("gram", "salt")
         found = (
             self.docs.mapInArrow(_entries(self.ngram, self.percent, sketch), _ENTRY)
             .withColumn("low", F.min("key").over(group))
             .withColumn("high", F.max("key").over(group))
+            .withColumn("centre", F.min(F.struct("pos", "key")).over(group))
         )
         # a salted group may have its other classes under other salts
-        kept = found.where((F.col("low") != F.col("high")) | F.col("salted")).select("gram", "key", "n", "pos", F.col("low").alias("centre"))
+        kept = found.where((F.col("low") != F.col("high")) | F.col("salted")).select("gram", "salted", "key", "n", "pos", "centre")
         return written(kept, "ngram-entries")
 
     def _candidates(self, pairs: DataFrame, done: DataFrame | None) -> DataFrame:
@@ -290,10 +293,9 @@ class NgramJoin:
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets reach the threshold. Sets go only of classes that a pair names."""
         used = pairs.select(F.col("x").alias("key")).union(pairs.select(F.col("y").alias("key"))).distinct().join(self.classes.select("key", "first_id"), "key").select("first_id").where("first_id is not null")
-        slots = 1 << min(MAX_PICK_BITS, max(10, (16 * used.count()).bit_length()))
+        slots = 1 << min(MAX_PICK_BITS, max(10, (32 * pairs.count()).bit_length()))
         bits = np.zeros(slots, bool)
-        mixed = used.mapInArrow(_slots_of(slots), "slot long").distinct()
-        bits[[r["slot"] for r in mixed.collect()]] = True  # at most 2 ** MAX_PICK_BITS slots
+        bits[used.mapInArrow(_slots_of(slots), "slot long").distinct().toPandas()["slot"].to_numpy(np.int64)] = True
         sets = self.docs.mapInArrow(_sets(self.ngram, self.spark.sparkContext.broadcast(bits)), _SET)
         sets = written(sets, "ngram-sets").groupBy("key").agg(F.first("grams").alias("grams"))
         both = (
@@ -306,26 +308,27 @@ class NgramJoin:
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Links that connect all components, and (key, component) of the classes with links."""
         e = self.entries
-        centres = e.where("key = centre").select("gram", "key").join(e.groupBy("gram").agg(F.min("key").alias("top")), "gram")
-        pairs = e.select(F.col("centre").alias("a"), F.col("key").alias("b")).union(centres.where("key != top").select(F.col("top").alias("a"), F.col("key").alias("b")))
+        pairs = e.select(F.col("centre.key").alias("a"), F.col("key").alias("b"))
+        parts = e.where("salted").select("gram", "centre").distinct()
+        tops = parts.groupBy("gram").agg(F.min("centre").alias("top"))
+        pairs = pairs.union(parts.join(tops, "gram").select(F.col("top.key").alias("a"), F.col("centre.key").alias("b")))
         tried = written(self._candidates(pairs, None), "ngram-pairs")
         links = written(self._verified(tried), "ngram-links")
         label = components(links, "x", "y")
         for turn in range(CENTRE_ROUNDS + 1):
-            open_groups = written(self._open_entries(label), "ngram-open")
-            pairs = self._pairs_across(open_groups, all_pairs=False, turn=turn)
-            if turn == CENTRE_ROUNDS or self._pair_count(open_groups) <= PAIRS_PER_ENTRY * open_groups.count():
-                pairs = self._pairs_across(open_groups, all_pairs=True, turn=turn)
-                turn = CENTRE_ROUNDS
-            more = written(self._candidates(pairs, tried), "ngram-pairs")
-            if more.isEmpty():
-                if turn == CENTRE_ROUNDS:
-                    break
-                continue
-            tried = tried.union(more)
-            links = links.union(written(self._verified(more), "ngram-links"))
-            label = components(links, "x", "y")
-            if turn == CENTRE_ROUNDS:
+            still_open = written(self._open_entries(label), "ngram-open")
+            entries = still_open.count()
+            if not entries:
+                break
+            last = turn == CENTRE_ROUNDS or self._pair_count(still_open) <= PAIRS_PER_ENTRY * entries
+            more = written(self._candidates(self._pairs_across(still_open, last, turn), tried), "ngram-pairs")
+            if not more.isEmpty():
+                tried = tried.union(more)
+                found = written(self._verified(more), "ngram-links")
+                if not found.isEmpty():
+                    links = links.union(found)
+                    label = components(links, "x", "y")
+            if last:
                 break
         return links, label
 
@@ -342,9 +345,9 @@ class NgramJoin:
 
     def _pairs_across(self, e: DataFrame, all_pairs: bool, turn: int) -> DataFrame:
         """Pairs of classes of one n-gram in different components: all that pass the length and positional filters,
-        or each class with one centre of its group, another one in each turn."""
+        or each class with one centre of its group, from another component in each turn."""
         if not all_pairs:
-            centre = e.groupBy("gram").agg(F.min_by(F.struct("key", "component"), F.xxhash64("key", F.lit(turn))).alias("c"))
+            centre = e.groupBy("gram").agg(F.min(F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), "pos", "key", "component")).alias("c"))
             return e.join(centre, "gram").where(F.col("component") != F.col("c.component")).select(F.col("c.key").alias("a"), F.col("key").alias("b"))
         x = e.select("gram", F.col("key").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
         y = e.select("gram", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
