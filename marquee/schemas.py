@@ -1,6 +1,6 @@
 """StructTypes of the raw (all string, as read from CSV with a header) and the typed tables."""
 
-from pyspark.sql.types import FloatType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 
 def _strings(*names: str) -> StructType:
@@ -19,30 +19,6 @@ MOVIES = StructType(
         StructField("production_year", StringType(), True),
     ]
 )
-RATINGS = StructType(
-    [
-        StructField("userId", IntegerType(), True),
-        StructField("movieId", IntegerType(), True),
-        StructField("rating", FloatType(), True),
-        StructField("timestamp", StringType(), True),
-        StructField("watching_date", StringType(), True),
-    ]
-)
-TAGS = StructType(
-    [
-        StructField("userId", IntegerType(), True),
-        StructField("movieId", IntegerType(), True),
-        StructField("tag", StringType(), True),
-    ]
-)
-MOVIE_GENRES = StructType([StructField("movieId", IntegerType(), True), StructField("genre", StringType(), True)])
-INTERACTIONS = StructType(
-    [
-        StructField("userId", IntegerType(), True),
-        StructField("movieId", IntegerType(), True),
-        StructField("rating", FloatType(), True),
-    ]
-)
 
 #: How CSV text is read and written: quotes inside a quoted field are doubled, outer spaces stay, a null is ``\\N`` so that
 #: empty text (written ``""``) stays empty text. An unquoted empty field of a foreign file reads as null.

@@ -1,6 +1,8 @@
 """Print the physical operators that matter at scale for every registered query.
 
-    python tools/plan_audit.py [sf_dir]
+    python tools/plan_audit.py [sf_dir] [--no-broadcast]
+
+``--no-broadcast`` sets both broadcast thresholds to -1, so every join is planned as with sides too large to send.
 
 Counts shuffles (Exchange), join strategies, aggregate kinds and windows in the executed (AQE final) plan,
 and flags the shapes that must not appear: Cartesian products, sort-based aggregates, Python UDFs.
@@ -14,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from marquee.plans import registry  # noqa: E402
 from marquee.session import build_session  # noqa: E402
 
 WATCH = [
@@ -24,6 +26,7 @@ WATCH = [
     "InMemoryTableScan", "ReusedExchange", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
 ]
 BAD = ("CartesianProduct", "SortAggregate", "BatchEvalPython")
+MODEL = {"als_predictions", "als_predicted_records", "als_metrics", "recommendations", "recommendation_ranks"}
 SKIP_WRITERS = {"scan_movies", "scan_ratings", "scan_tags", "sink_csv_roundtrip", "save_tables", "export_summaries"}
 
 
@@ -44,11 +47,15 @@ def final_only(plan: str) -> str:
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=8)
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    extra = {}
+    if "--no-broadcast" in sys.argv:
+        extra = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
-    for key, fn in E.queries().items():
-        if key in SKIP_WRITERS or key.startswith("als_") or key == "recommendations":
+    for key, fn in registry.queries().items():
+        if key in SKIP_WRITERS or key in MODEL:
             continue
         df = fn(spark, sf_dir)
         df.collect()  # runs this frame's own QueryExecution, so its AQE plan is final
