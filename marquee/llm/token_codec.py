@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from marquee.llm.bpe import load_byte_level
-from marquee.llm.common import blocks, column_bytes, column_list
+from marquee.llm.common import blocks, column_list
 
 #: Words kept in a worker's cache, and bytes beyond which a word is worked out alone and not kept.
 CACHE_WORDS, LONG_WORD = 250_000, 64
