@@ -14,7 +14,8 @@ from marquee.llm.common import fold, table, written
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows, with a calibrated score of at least one half; the others go."""
+    """Documents in a language that the model tells clearly better than by guessing; the others go, as do those without
+    letters."""
     model = language.train(docs, fold("doc_id", language.FOLDS) != language.HELD_OUT)
     return language.keep_identified(docs, model)
 

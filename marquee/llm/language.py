@@ -25,6 +25,8 @@ ALPHA, BETA, L1, L2, PASSES, FIT_PART = 1.0, 1.0, 0.02, 0.05, 4, 4
 #: Languages are learnt from documents whose fold of FOLDS is not HELD_OUT.
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
+#: A text is kept while its best language stands clearly above guessing: this many times an even share.
+ABOVE_EVEN_SHARE = 1.4
 
 
 class NgramCounter:
@@ -187,9 +189,13 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, whose language is known with at least ``min_score``."""
+def keep_identified(docs: DataFrame, model: Model, min_score: float | None = None, text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, whose language is known with at least ``min_score``; by default
+    ``ABOVE_EVEN_SHARE`` times the even share of the learned languages (at most one half), so short clean texts stay and
+    only those go that have no letters or leave the model guessing."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    if min_score is None:
+        min_score = min(0.5, ABOVE_EVEN_SHARE / max(1, len(model.languages)))
 
     def judge():
         counter = NgramCounter()
