@@ -54,7 +54,9 @@ def kmers(text: str) -> np.ndarray:
         order = at[np.argsort(plain[at], kind="stable")]
         starts = np.concatenate([[True], plain[order][1:] != plain[order][:-1]])
         first = np.maximum.accumulate(np.where(starts, np.arange(len(order)), 0))
-        plain[order] = _mix(plain[order] + (np.arange(len(order)) - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        number = (np.arange(len(order)) - first).astype(np.uint64)
+        # number 0 hashes alike whether or not the k-mer comes again, so a hash depends on nothing further on in the text
+        plain[order] = np.where(number > 0, _mix(plain[order] + number * np.uint64(0x9E3779B97F4A7C15)), plain[order])
     return plain
 
 

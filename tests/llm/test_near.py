@@ -135,6 +135,21 @@ def test_signatures_equal_the_plain_form(monkeypatch):
         assert O.as_text(own) == O.as_text(O.fingerprint(text)) and O.as_text(changed) == O.as_text(O.fingerprint(edited))
 
 
+def test_first_occurrences_are_the_same_element_with_and_without_repeats():
+    import numpy as np
+
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(200))
+    once, twice = O.kmers(text), O.kmers(text + text)
+    assert np.array_equal(once, twice[: len(once)]) and len(np.unique(twice)) == len(twice)
+    # k-mers of the head come again in the replaced quarter of the text only, or of the edited one only
+    for whole, following in ((text + text[:66], "z" * 100), (text + "z" * 66, text)):
+        edited, same = O.edited_with_next(whole, following)
+        own, changed = O.fingerprints(whole, edited, same)
+        assert O.as_text(own) == O.as_text(O.fingerprint(whole)) and O.as_text(changed) == O.as_text(O.fingerprint(edited))
+        assert np.array_equal(O.kmers(whole)[: same - O.KMER + 1], O.kmers(edited)[: same - O.KMER + 1])
+
+
 def test_order_matters():
     parts = ["the quick brown fox jumps", "over the lazy dog again and", "while nobody looks at it", "for a very long time indeed"]
     text, turned = " ".join(parts * 3), " ".join(parts[::-1] * 3)
