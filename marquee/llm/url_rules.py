@@ -68,15 +68,15 @@ def listed_rule(host: Column, path: Column, rules=LISTED) -> Column:
 
 
 def labelled_urls(pages: DataFrame, labels: DataFrame, page_col: str = "url") -> DataFrame:
-    """(tokens, blocked) of the distinct token sets of pages whose document has a label.
+    """(tokens, blocked) of the pages whose document has a label, one row a distinct URL.
 
     A page shows the document named by the last number of its path. Labels say "block" where any row of the document has
-    quality 0 or marks it toxic. Equal token sets with equal labels count once, so copied URLs carry no weight.
+    quality 0 or marks it toxic. Exact copies of a URL count once; URLs that differ in numbers alone are pages of their own.
     """
     number = F.regexp_extract(F.col("url"), r"(?s)^.*?://[^/?#]*[^?#]*?([0-9]+)[^0-9?#]*(?:[?#].*)?$", 1).try_cast("long")
-    urls = pages.select(F.col(page_col).cast("string").alias("url")).where("url is not null").select(number.alias("doc"), tokens_of(F.col("url")).alias("tokens")).where("doc is not null")
+    urls = pages.select(F.col(page_col).cast("string").alias("url")).where("url is not null").select("url", number.alias("doc")).where("doc is not null")
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc")).agg(F.max((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("blocked"))
-    return urls.join(known, "doc").select(F.array_sort("tokens").alias("tokens"), "blocked").distinct()
+    return urls.join(known, "doc").select("url", "blocked").distinct().select(F.array_sort(tokens_of(F.col("url"))).alias("tokens"), "blocked")
 
 
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:

@@ -59,6 +59,19 @@ def test_mined_rules_equal_counting(spark):
         assert (r.verdict, r.confidence) == (("block", max(sure)) if sure else ("allow", None))
 
 
+def test_support_and_confidence_count_pages(spark):
+    """A host with 39 of 40 pages blocked, whose pages differ in their numbers alone; copies of a URL count once."""
+    urls = [f"http://{'bad' if k < 40 else 'fine'}.org/page/{k}" for k in range(80)]
+    pages = spark.createDataFrame([*enumerate(urls), *[(100 + k, urls[39]) for k in range(50)]], "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(k >= 39), 0) for k in range(80)], "doc_id long, quality int, toxic int")
+    labelled = U.labelled_urls(pages, labels)
+    assert labelled.count() == 80
+    (rule,) = U.mine_rules(labelled).collect()
+    assert (rule.tokens, rule.confidence, rule.support) == (["h:bad"], pytest.approx(39 / 40), pytest.approx(39 / 80))
+    verdicts = {r.page_id: r.verdict for r in U.judge_urls(pages, U.mine_rules(labelled), listed=()).collect()}
+    assert all(verdicts[k] == ("block" if k < 40 or k >= 100 else "allow") for k in verdicts)
+
+
 def test_url_query(spark):
     pages = {r.page_id: r.url for r in table(spark, SMALL, "pages", "page_id", "url").collect()}
     rows = U.op3(spark, SMALL).collect()
