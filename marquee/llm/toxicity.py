@@ -2,13 +2,13 @@
 
 A document is the set of its hashed lower-cased words. Terms that separate the labels beyond chance get a weight and a
 short vector; products of the vectors score pairs of terms, which single weights cannot (an insult that is one only
-beside a mention of a group). Learnt from a bounded sample of labelled rows of which near copies are left out.
+beside a mention of a group). Pairs that tell more than their terms alone also get a weight of their own. Learnt from a bounded sample of labelled rows of which near copies are left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,18 +40,20 @@ def slot(word: bytes) -> int:
 
 @dataclass
 class Model:
-    """``term``: hash slot to row of ``weights`` and ``factors``."""
+    """``term``: hash slot to row of ``weights`` and ``factors``; ``pairs``: weights of pairs of rows, by row and row."""
 
     term: dict[int, int]
     bias: float
     weights: np.ndarray
     factors: np.ndarray
+    pairs: dict[int, dict[int, float]] = field(default_factory=dict)
 
     def score(self, rows: list[int]) -> float:
         at = np.array(rows, np.int64)
         v = self.factors[at]
         total = v.sum(axis=0)
         x = self.bias + self.weights[at].sum() + 0.5 * float((total * total).sum() - (v * v).sum())
+        x += sum(self.pairs[a].get(b, 0.0) for a in rows if a in self.pairs for b in rows)
         return float(1 / (1 + np.exp(-np.clip(x, -40, 40))))
 
 
@@ -107,22 +109,82 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, sample: tuple[
     return fit(sets, np.array(y, np.float64), float(np.log(share[0] / share[1])))
 
 
-def _chosen_terms(sets: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Terms whose log-likelihood ratio with the label is beyond what the best of as many chance terms would reach."""
+def _ratio(both, with_a, with_b, n):
+    """Log-likelihood ratio of the table of two marks on ``n`` rows: on both, on either, on none."""
+    def part(k, total, p):
+        e = total * p
+        return np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / np.maximum(e, 1e-9)), 0.0)
+
+    p = with_b / n
+    return 2 * (part(both, with_a, p) + part(with_a - both, with_a, 1 - p) + part(with_b - both, n - with_a, p) + part(n - with_a - with_b + both, n - with_a, 1 - p))
+
+
+def _chosen(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms whose log-likelihood ratio with the label, alone or in a pair, is beyond what the best of as many chance
+    terms or pairs would reach; and those pairs of the terms, as two columns of places among them."""
     flat, of = np.concatenate(sets), np.repeat(y, [len(s) for s in sets])
     terms, at = np.unique(flat, return_inverse=True)
     with_term, toxic = np.bincount(at), np.bincount(at, weights=of)
     n, n1 = len(y), y.sum()
+    bound = 2 * np.log(max(2, (with_term >= MIN_DOCS).sum())) + 4
+    alone = _ratio(toxic, with_term, n1, n)
+    alone[(with_term < MIN_DOCS) | (alone < bound)] = 0
+    ratio, pairs = _telling_pairs(sets, y, terms, with_term, toxic, bound)
+    g = alone.copy()
+    for column in pairs.T:
+        np.maximum.at(g, column, ratio)
+    order = np.lexsort((terms, -g))
+    order = order[g[order] > 0][:MAX_TERMS]
+    place = np.full(len(terms), -1)
+    place[order] = np.arange(len(order))
+    pairs = place[pairs[np.lexsort((*pairs.T, -ratio))]]
+    return terms[order], pairs[(pairs >= 0).all(axis=1)][:MAX_TERMS]
 
-    def part(k, total, p):
-        e = total * p
-        return np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / np.maximum(e, 1e-9)), 0.0)
 
-    p = n1 / n
-    g = 2 * (part(toxic, with_term, p) + part(with_term - toxic, with_term, 1 - p) + part(n1 - toxic, n - with_term, p) + part(n - with_term - n1 + toxic, n - with_term, 1 - p))
-    enough = (with_term >= MIN_DOCS) & (g >= 2 * np.log(max(2, (with_term >= MIN_DOCS).sum())) + 4)
-    order = np.lexsort((terms, -g))
-    return terms[order[enough[order]][:MAX_TERMS]]
+def _telling_pairs(sets: list[np.ndarray], y: np.ndarray, terms: np.ndarray, with_term: np.ndarray, toxic: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ratios of the pairs of terms beyond chance, and the pairs as two columns of places in ``terms``.
+
+    A pair tells what its second term adds among the rows of the first, or the other way round, whichever is less: a
+    neutral term beside a telling one adds nothing. Pairs count that come together often enough to reach the bound, and
+    the bound grows with their number. Pairs are counted term by term from the rows that have it, so a pair costs only
+    where it occurs.
+    """
+    per_row = 2 * np.log(len(y) / min(y.sum(), len(y) - y.sum()))  # most that a row of the rarer label can add
+    fewest = max(MIN_DOCS, int(np.ceil(bound / per_row)))
+    often = np.flatnonzero(with_term >= fewest)
+    if len(often) < 2:
+        return np.zeros(0), np.zeros((0, 2), np.int64)
+    place = np.full(len(terms), -1, np.int64)
+    place[often] = np.arange(len(often))
+    # toxic rows first, so that one cut of a term's rows parts the labels
+    turn = np.argsort(-y, kind="stable")
+    rows = [r[r >= 0] for r in (place[np.searchsorted(terms, sets[k])] for k in turn)]
+    n1, sizes = int(y.sum()), np.array([len(r) for r in rows])
+    of_row, of_term = np.repeat(np.arange(len(rows)), sizes), np.concatenate(rows)
+    by_term = of_row[np.argsort(of_term, kind="stable")]
+    ends = np.cumsum(with_term[often])
+    c, t = with_term[often], toxic[often]
+    together = np.zeros(len(y) + 1, np.int64)
+    found = []  # (ratio, rows together, a, b)
+    for a in range(len(often) - 1):
+        mine = by_term[ends[a] - c[a] : ends[a]]
+        cut = np.searchsorted(mine, n1)
+        count = lambda ks: np.bincount(np.concatenate([rows[k] for k in ks]), minlength=len(often))[a + 1 :] if len(ks) else np.zeros(len(often) - a - 1, np.int64)
+        ones = count(mine[:cut])
+        both = ones + count(mine[cut:])
+        b = np.flatnonzero(both >= fewest)
+        both, ones, b = both[b], ones[b], b + a + 1
+        together += np.bincount(both, minlength=len(together))
+        ratio = np.minimum(_ratio(ones, both, t[a], c[a]), _ratio(ones, both, t[b], c[b]))
+        ok = ratio >= bound
+        found.append((ratio[ok], both[ok], np.full(ok.sum(), a), b[ok]))
+    ratio, both, a, b = (np.concatenate(x) for x in zip(*found))
+    # the least number of rows whose pairs could still reach the bound for as many pairs
+    as_often = np.cumsum(together[::-1])[::-1]
+    limits = 2 * np.log(np.maximum(as_often, 2)) + 4
+    least = int(np.argmax(np.arange(len(limits)) * per_row >= limits))
+    ok = (both >= least) & (ratio >= max(bound, limits[least]))
+    return ratio[ok], often[np.column_stack([a[ok], b[ok]])]
 
 
 def fit(sets: list[np.ndarray], y: np.ndarray, bias_shift: float = 0.0) -> Model:
@@ -130,32 +192,38 @@ def fit(sets: list[np.ndarray], y: np.ndarray, bias_shift: float = 0.0) -> Model
     if not len(y) or y.min() == y.max():
         constant = 0.0 if not len(y) else 4.0 * (2 * float(y[0]) - 1)
         return Model({}, constant, np.zeros(0), np.zeros((0, FACTORS)))
-    terms = _chosen_terms(sets, y)
+    terms, pairs = _chosen(sets, y)
     row = {int(t): k for k, t in enumerate(terms)}
     x = np.zeros((len(y), len(terms)), np.float32)
     for k, s in enumerate(sets):
         for t in s.tolist():
             if t in row:
                 x[k, row[t]] = 1.0
+    z = x[:, pairs[:, 0]] * x[:, pairs[:, 1]]
     rng = np.random.default_rng(0)
     # start where each term alone, and their absence, score what the rows say; the steps fit them together
     log_odds = lambda ones, all_rows: np.log((ones + 0.5) / (all_rows - ones + 0.5))
     bare = x.sum(axis=1) == 0
     start = log_odds(y[bare].sum(), bare.sum())
     parts = [np.array([start]), log_odds(x.T @ y, x.sum(axis=0)) - start, rng.normal(0, 0.05, (len(terms), FACTORS))]
+    parts.append(log_odds(z.T @ y, z.sum(axis=0)) - start - parts[1][pairs].sum(axis=1))
     first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     for t in range(1, STEPS + 1):
-        bias, w, v = parts
+        bias, w, v, u = parts
         xv = x @ v
-        score = bias + x @ w + 0.5 * ((xv * xv).sum(axis=1) - x @ (v * v).sum(axis=1))
+        score = bias + x @ w + z @ u + 0.5 * ((xv * xv).sum(axis=1) - x @ (v * v).sum(axis=1))
         error = (1 / (1 + np.exp(-np.clip(score, -40, 40))) - y) / len(y)
         ex = x.T @ error
         grads = [np.array([error.sum()]), ex + L2_WEIGHT * w / max(1, len(terms)), x.T @ (error[:, None] * xv) - ex[:, None] * v + L2_FACTOR * v / max(1, len(terms))]
+        grads.append(z.T @ error + L2_WEIGHT * u / max(1, len(terms)))
         for k, g in enumerate(grads):
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
             parts[k] = parts[k] - RATE * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
-    return Model(row, float(parts[0][0]) - bias_shift, parts[1], parts[2])
+    weights: dict[int, dict[int, float]] = {}
+    for (a, b), u in zip(pairs.tolist(), parts[3].tolist()):
+        weights.setdefault(a, {})[b] = u
+    return Model(row, float(parts[0][0]) - bias_shift, parts[1], parts[2], weights)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

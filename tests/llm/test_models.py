@@ -83,6 +83,25 @@ def test_pairs_of_terms_that_single_weights_miss():
     assert score(b"insult", b"mention") > 0.5 > max(score(b"insult"), score(b"mention"), score())
 
 
+def test_pairs_of_terms_that_say_nothing_alone():
+    """4,000 + 8,000 rows of which a third of those with either term are toxic, as of all rows, and all with both are."""
+    rng = np.random.default_rng(3)
+    insult, mention, filler = X.slot(b"insult"), X.slot(b"mention"), [X.slot(f"w{k}".encode()) for k in range(300)]
+    sets, y = [], []
+    for k in range(12000):
+        toxic = k < 4000
+        # 16 rows with both, all toxic; alone 64 toxic and 144 harmless rows with each, so 80 of 224
+        at = k if toxic else k - 4000
+        found = [insult] * (at < (80 if toxic else 144)) + [mention] * (64 <= at < 144 if toxic else 144 <= at < 288)
+        sets.append(np.unique(np.array([*found, *rng.choice(filler, 12, replace=False)], "<u4")))
+        y.append(float(toxic))
+    y = np.array(y)
+    model = X.fit(sets, y)
+    assert {insult, mention} <= model.term.keys() and len(model.term) < 10  # chance terms stay out
+    score = lambda *slots: model.score([model.term[s] for s in slots if s in model.term])
+    assert score(insult, mention) > 0.5 > max(score(insult), score(mention), score())
+
+
 def test_toxicity_of_odd_rows(spark, make_docs, odd, no_docs):
     docs = make_docs([(k, ("you idiot " if k % 3 == 0 else "fine ") + f"word{k} and more text number {k}") for k in range(60)])
     labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)] + [(None, 1), (7, None), (900, 1)], "doc_id long, toxic int")
