@@ -13,6 +13,7 @@ from marquee.llm import (
     license_scan,
     ngram_join,
     order_minhash,
+    periodic_runs,
     token_codec,
     token_counts,
     toxicity,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op8_chat_format": chat_template.op8,
         "op9_ngram_join": ngram_join.op9,
         "op10_license_scan": license_scan.op10,
+        "op13_periodic_runs": periodic_runs.op13,
     }
 
 
