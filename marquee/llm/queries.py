@@ -14,6 +14,7 @@ from marquee.llm import (
     ngram_join,
     order_minhash,
     periodic_runs,
+    token_align,
     token_codec,
     token_counts,
     toxicity,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op8_chat_format": chat_template.op8,
         "op9_ngram_join": ngram_join.op9,
         "op10_license_scan": license_scan.op10,
+        "op11_token_align": token_align.op11,
         "op13_periodic_runs": periodic_runs.op13,
     }
 
