@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.llm import (
     chat_template,
     decontaminate,
+    hidden_markov,
     language,
     license_scan,
     ngram_join,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op9_ngram_join": ngram_join.op9,
         "op10_license_scan": license_scan.op10,
         "op11_token_align": token_align.op11,
+        "op12_markov_score": hidden_markov.op12,
         "op13_periodic_runs": periodic_runs.op13,
     }
 
