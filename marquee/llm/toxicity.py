@@ -1,14 +1,15 @@
 """Op 4, toxicity: a factorisation machine over hashed terms.
 
-A document is the set of its hashed lower-cased words. Terms that separate the labels beyond chance get a weight and a
-short vector; products of the vectors score pairs of terms, which single weights cannot (an insult that is one only
-beside a mention of a group). Pairs that tell more than their terms alone also get a weight of their own. Learnt from a bounded sample of labelled rows of which near copies are left out.
+A document is the set of its hashed lower-cased words. Terms that separate the labels beyond chance, alone or in a pair,
+get a weight and a short vector of factors; products of the vectors score pairs of terms, which single weights cannot (an
+insult that is one only beside a mention of a group). A score is made of the weights and the factors alone. Learnt from a
+bounded sample of labelled rows of which near copies are left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from marquee.llm.common import blocks, column_list, fold, keep_rows, table
 #: Hash slots of terms, about how many labelled rows of each label are learnt from, terms that may get weights.
 BITS, SAMPLE_TOXIC, SAMPLE_OTHER, MAX_TERMS, MIN_DOCS = 24, 4000, 8000, 1024, 3
 #: Factors of a term, penalties of weights and factors, steps and their size.
-FACTORS, L2_WEIGHT, L2_FACTOR, STEPS, RATE = 8, 0.00005, 0.1, 400, 0.05
+FACTORS, L2_WEIGHT, L2_FACTOR, STEPS, RATE = 8, 0.00005, 0.0001, 400, 0.05
 #: Labels are learnt from documents whose fold of FOLDS is not HELD_OUT.
 FOLDS, HELD_OUT = 5, 0
 
@@ -40,20 +41,18 @@ def slot(word: bytes) -> int:
 
 @dataclass
 class Model:
-    """``term``: hash slot to row of ``weights`` and ``factors``; ``pairs``: weights of pairs of rows, by row and row."""
+    """``term``: hash slot to row of ``weights`` and ``factors``."""
 
     term: dict[int, int]
     bias: float
     weights: np.ndarray
     factors: np.ndarray
-    pairs: dict[int, dict[int, float]] = field(default_factory=dict)
 
     def score(self, rows: list[int]) -> float:
         at = np.array(rows, np.int64)
         v = self.factors[at]
         total = v.sum(axis=0)
         x = self.bias + self.weights[at].sum() + 0.5 * float((total * total).sum() - (v * v).sum())
-        x += sum(self.pairs[a].get(b, 0.0) for a in rows if a in self.pairs for b in rows)
         return float(1 / (1 + np.exp(-np.clip(x, -40, 40))))
 
 
@@ -119,9 +118,9 @@ def _ratio(both, with_a, with_b, n):
     return 2 * (part(both, with_a, p) + part(with_a - both, with_a, 1 - p) + part(with_b - both, n - with_a, p) + part(n - with_a - with_b + both, n - with_a, 1 - p))
 
 
-def _chosen(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chosen(sets: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Terms whose log-likelihood ratio with the label, alone or in a pair, is beyond what the best of as many chance
-    terms or pairs would reach; and those pairs of the terms, as two columns of places among them."""
+    terms or pairs would reach."""
     flat, of = np.concatenate(sets), np.repeat(y, [len(s) for s in sets])
     terms, at = np.unique(flat, return_inverse=True)
     with_term, toxic = np.bincount(at), np.bincount(at, weights=of)
@@ -134,11 +133,7 @@ def _chosen(sets: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for column in pairs.T:
         np.maximum.at(g, column, ratio)
     order = np.lexsort((terms, -g))
-    order = order[g[order] > 0][:MAX_TERMS]
-    place = np.full(len(terms), -1)
-    place[order] = np.arange(len(order))
-    pairs = place[pairs[np.lexsort((*pairs.T, -ratio))]]
-    return terms[order], pairs[(pairs >= 0).all(axis=1)][:MAX_TERMS]
+    return terms[order[g[order] > 0][:MAX_TERMS]]
 
 
 def _telling_pairs(sets: list[np.ndarray], y: np.ndarray, terms: np.ndarray, with_term: np.ndarray, toxic: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
@@ -187,43 +182,40 @@ def _telling_pairs(sets: list[np.ndarray], y: np.ndarray, terms: np.ndarray, wit
     return ratio[ok], often[np.column_stack([a[ok], b[ok]])]
 
 
+def gradients(x: np.ndarray, y: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Of the mean log loss of the machine, with its penalties, by bias, weights and factors. ``x`` is 0 or 1."""
+    xv = x @ v
+    score = bias + x @ w + 0.5 * ((xv * xv).sum(axis=1) - x @ (v * v).sum(axis=1))
+    error = (1 / (1 + np.exp(-np.clip(score, -40, 40))) - y) / len(y)
+    ex, n = x.T @ error, max(1, len(w))
+    return error.sum(), ex + L2_WEIGHT * w / n, x.T @ (error[:, None] * xv) - ex[:, None] * v + L2_FACTOR * v / n
+
+
 def fit(sets: list[np.ndarray], y: np.ndarray, bias_shift: float = 0.0) -> Model:
     """Full-batch gradient steps with per-weight step sizes on the log loss of the machine."""
     if not len(y) or y.min() == y.max():
         constant = 0.0 if not len(y) else 4.0 * (2 * float(y[0]) - 1)
         return Model({}, constant, np.zeros(0), np.zeros((0, FACTORS)))
-    terms, pairs = _chosen(sets, y)
+    terms = _chosen(sets, y)
     row = {int(t): k for k, t in enumerate(terms)}
     x = np.zeros((len(y), len(terms)), np.float32)
     for k, s in enumerate(sets):
         for t in s.tolist():
             if t in row:
                 x[k, row[t]] = 1.0
-    z = x[:, pairs[:, 0]] * x[:, pairs[:, 1]]
     rng = np.random.default_rng(0)
     # start where each term alone, and their absence, score what the rows say; the steps fit them together
     log_odds = lambda ones, all_rows: np.log((ones + 0.5) / (all_rows - ones + 0.5))
     bare = x.sum(axis=1) == 0
     start = log_odds(y[bare].sum(), bare.sum())
-    parts = [np.array([start]), log_odds(x.T @ y, x.sum(axis=0)) - start, rng.normal(0, 0.05, (len(terms), FACTORS))]
-    parts.append(log_odds(z.T @ y, z.sum(axis=0)) - start - parts[1][pairs].sum(axis=1))
+    parts = [np.array([start]), log_odds(x.T @ y, x.sum(axis=0)) - start, rng.normal(0, 0.1, (len(terms), FACTORS))]
     first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     for t in range(1, STEPS + 1):
-        bias, w, v, u = parts
-        xv = x @ v
-        score = bias + x @ w + z @ u + 0.5 * ((xv * xv).sum(axis=1) - x @ (v * v).sum(axis=1))
-        error = (1 / (1 + np.exp(-np.clip(score, -40, 40))) - y) / len(y)
-        ex = x.T @ error
-        grads = [np.array([error.sum()]), ex + L2_WEIGHT * w / max(1, len(terms)), x.T @ (error[:, None] * xv) - ex[:, None] * v + L2_FACTOR * v / max(1, len(terms))]
-        grads.append(z.T @ error + L2_WEIGHT * u / max(1, len(terms)))
-        for k, g in enumerate(grads):
+        for k, g in enumerate(gradients(x, y, *parts)):
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
             parts[k] = parts[k] - RATE * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
-    weights: dict[int, dict[int, float]] = {}
-    for (a, b), u in zip(pairs.tolist(), parts[3].tolist()):
-        weights.setdefault(a, {})[b] = u
-    return Model(row, float(parts[0][0]) - bias_shift, parts[1], parts[2], weights)
+    return Model(row, float(parts[0][0]) - bias_shift, parts[1], parts[2])
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

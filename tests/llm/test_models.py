@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from dataclasses import replace
 
 import numpy as np
 from conftest import SMALL
@@ -81,6 +82,36 @@ def test_pairs_of_terms_that_single_weights_miss():
     model = X.fit(sets, np.array(y))
     score = lambda *ws: model.score([model.term[X.slot(w)] for w in ws if X.slot(w) in model.term])
     assert score(b"insult", b"mention") > 0.5 > max(score(b"insult"), score(b"mention"), score())
+    # the factors do it: without them the pair is not told
+    model = replace(model, factors=0 * model.factors)
+    assert score(b"insult", b"mention") < 0.5
+
+
+def test_score_is_the_sum_over_terms_and_pairs():
+    rng = np.random.default_rng(2)
+    model = X.Model({}, 0.3, rng.normal(size=7), rng.normal(size=(7, X.FACTORS)))
+    for rows in ([], [2], [0, 3, 4], list(range(7))):
+        z = 0.3 + sum(model.weights[a] for a in rows) + sum(model.factors[a] @ model.factors[b] for a in rows for b in rows if a < b)
+        assert abs(model.score(rows) - 1 / (1 + np.exp(-z))) < 1e-12
+
+
+def test_gradients_against_differences():
+    rng = np.random.default_rng(3)
+    x, y = (rng.random((40, 6)) < 0.5).astype(float), (rng.random(40) < 0.4).astype(float)
+    bias, w, v = 0.2, rng.normal(size=6), rng.normal(size=(6, X.FACTORS))
+
+    def loss(bias, w, v):
+        z = np.array([bias + r @ w + sum(r[a] * r[b] * (v[a] @ v[b]) for a in range(6) for b in range(a)) for r in x])
+        return np.mean(np.log1p(np.exp(-z)) * y + np.log1p(np.exp(z)) * (1 - y)) + (X.L2_WEIGHT * (w @ w) + X.L2_FACTOR * (v * v).sum()) / 12
+
+    g0, gw, gv = X.gradients(x, y, bias, w, v)
+    e = 1e-6
+    assert abs((loss(bias + e, w, v) - loss(bias - e, w, v)) / (2 * e) - g0) < 1e-7
+    for k in range(6):
+        d = e * np.eye(6)[k]
+        assert abs((loss(bias, w + d, v) - loss(bias, w - d, v)) / (2 * e) - gw[k]) < 1e-7
+        d = d[:, None] * np.eye(X.FACTORS)[0]
+        assert abs((loss(bias, w, v + d) - loss(bias, w, v - d)) / (2 * e) - gv[k, 0]) < 1e-7
 
 
 def test_pairs_of_terms_that_say_nothing_alone():
@@ -100,6 +131,9 @@ def test_pairs_of_terms_that_say_nothing_alone():
     assert {insult, mention} <= model.term.keys() and len(model.term) < 10  # chance terms stay out
     score = lambda *slots: model.score([model.term[s] for s in slots if s in model.term])
     assert score(insult, mention) > 0.5 > max(score(insult), score(mention), score())
+    assert np.abs(model.factors).max() > 0.1
+    model = replace(model, factors=0 * model.factors)
+    assert score(insult, mention) < 0.5
 
 
 def test_toxicity_of_odd_rows(spark, make_docs, odd, no_docs):
