@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -17,6 +18,22 @@ from marquee.session import scratch_dir
 # Executors get the package's functions by value, so they need no copy of this repository.
 cloudpickle.register_pickle_by_value(marquee.llm)
 
+
+class Shared:
+    """A value sent once to every executor, with the code of its class: a plain broadcast names classes by module, which
+    executors without this repository cannot import. ``get()`` gives a task its own copy."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        return pickle.loads(self.sent.value)
+
+    def drop(self) -> None:
+        """Frees the copies on the executors; the driver's stays, for tasks that run again."""
+        self.sent.unpersist()
+
+
 #: Bytes of text that a Python task handles at once; only a single longer text exceeds it.
 BLOCK_BYTES = 4 << 20
 

@@ -4,8 +4,8 @@ Each block of training documents (bounded by bytes) becomes one shard: its words
 over the places where a benchmark window can start. Every benchmark suffix of window length is looked up in each
 shard by binary search, which gives all its verbatim occurrences; neighbouring hits on one diagonal add up to the
 longest match. Words outside the benchmark's vocabulary end a suffix, so places before them are left out: no window
-can match there. The benchmark travels to the tasks in blocks of a checked size, one pass over the rows for each
-block inside the same stage. No shuffle.
+can match there. The benchmark travels to the tasks in parts of a checked size, one at a time; between two parts the rows
+are written to the shared folder. No shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import blocks, column_bytes, column_list, keep_rows, table
+from marquee.llm.common import Shared, blocks, column_bytes, column_list, keep_rows, table, written
 
 #: Words of a window, and bytes of benchmark text that one pass sends to the tasks.
 WINDOW, BENCHMARK_BLOCK = 10, 16 << 20
@@ -164,32 +164,36 @@ def find_overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id
     counts for hits but is not listed. Items of equal words share their windows and are all listed. Repeated document
     rows are judged row by row. Other columns are not read.
     """
-    parts = _benchmark_parts(benchmark, window, item_col, item_text_col, block_bytes)
     rows = docs.select(
         docs[id_col].cast("long").alias("doc_id"),
         docs[text_col].cast("string").alias("text"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in _FOUND],
     )
-    for k, index in enumerate(parts):
-        last = k == len(parts) - 1
+    for index, last in _benchmark_parts(benchmark, window, item_col, item_text_col, block_bytes):
         schema = T.StructType([T.StructField("doc_id", T.LongType()), *([] if last else [T.StructField("text", T.StringType())]), *_FOUND])
         rows = rows.mapInArrow(_pass(index, last), schema)
+        if not last:
+            rows = written(rows, "benchmark-part")
+            index.drop()
     return rows
 
 
-def _benchmark_parts(benchmark: DataFrame, window: int, item_col: str, text_col: str, block_bytes: int) -> list:
-    """Broadcast indexes of the benchmark, each over about ``block_bytes`` of its text (its size is counted first)."""
-    context = benchmark.sparkSession.sparkContext
+def _benchmark_parts(benchmark: DataFrame, window: int, item_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[Shared, bool]]:
+    """Indexes of the benchmark, each over about ``block_bytes`` of its text (its size is counted first), and whether it is
+    the last. One at a time: the caller ends a part's work before it asks for the next, so neither the driver nor a task
+    ever holds more than one."""
+    spark = benchmark.sparkSession
     items = benchmark.select(benchmark[item_col].cast("string").alias("item"), benchmark[text_col].cast("binary").alias("raw")).where("raw is not null").distinct()
     size = items.agg(F.sum(F.octet_length("raw") + 16).alias("size")).first()["size"] or 0
     parts = max(1, -(-size // block_bytes))
     of_part = lambda k: items.where(F.pmod(F.xxhash64("raw"), F.lit(parts)) == k) if parts > 1 else items
-    return [context.broadcast(Benchmark([(r["item"], bytes(r["raw"])) for r in of_part(k).collect()], window)) for k in range(parts)]
+    for k in range(parts):
+        yield Shared(spark, Benchmark([(r["item"], bytes(r["raw"])) for r in of_part(k).collect()], window)), k == parts - 1
 
 
 def _pass(index, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        benchmark = index.value
+        benchmark = index.get()
         for block in blocks(batches, "text"):
             found = match_block(benchmark, column_bytes(block, "text"))
             before = zip(column_list(block, "hit_spans"), column_list(block, "items"), column_list(block, "longest_match"))
@@ -206,15 +210,23 @@ def _pass(index, last: bool):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BENCHMARK_BLOCK) -> DataFrame:
     """The documents, all columns and rows as they are, without those that hold a benchmark window.
 
-    Judged row by row like ``find_overlap``; null texts stay. The rows pass through one stage without a shuffle.
+    Judged row by row like ``find_overlap``; null, empty and word-less texts stay, repeated rows are judged alike. No shuffle;
+    a benchmark of several parts has its documents written between them.
     """
-    for index in _benchmark_parts(benchmark, window, item_col, item_text_col, block_bytes):
+    for index, last in _benchmark_parts(benchmark, window, item_col, item_text_col, block_bytes):
         docs = keep_rows(docs, text_col, _clean_rows(index))
+        if not last:
+            docs = written(docs, "benchmark-part")
+            index.drop()
     return docs
 
 
-def _clean_rows(index):
-    return lambda: lambda block, column: [not spans for _, spans, _, _ in match_block(index.value, column_bytes(block, column))]
+def _clean_rows(index: Shared):
+    def judge():
+        benchmark = index.get()
+        return lambda block, column: [not spans for _, spans, _, _ in match_block(benchmark, column_bytes(block, column))]
+
+    return judge
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

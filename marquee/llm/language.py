@@ -7,7 +7,7 @@ penalties from a bounded sample per language, and a temperature is fitted on the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import blocks, column_list, fold, keep_rows, summed_vector, table, vector_chunks
+from marquee.llm.common import Shared, blocks, column_list, fold, keep_rows, summed_vector, table, vector_chunks
 
 #: Hashed features, n-gram sizes, and about how many documents of each language the weights are learnt from.
 BITS, SIZES, SAMPLE_PER_LANGUAGE = 15, (1, 2, 3), 600
@@ -27,6 +27,9 @@ FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 #: A text is kept while its best language stands clearly above guessing: this many times an even share.
 ABOVE_EVEN_SHARE = 1.4
+#: Evidence that a text is in a learned language at all: its n-grams may be rarer than those of any sample row kept apart by
+#: this share of how far those rows reach above their median. Short texts count as if they had so many usual n-grams more.
+RARER, USUAL_NGRAMS = 0.6, 20
 
 
 class NgramCounter:
@@ -65,15 +68,33 @@ class Model:
     idf: np.ndarray
     weights: np.ndarray
     temperature: float
+    usual: float = 0.0
+    rarest: float = np.inf
 
-    def predict(self, counter: NgramCounter, text: str | None) -> tuple[str, float]:
+    def rarity(self, at: np.ndarray, counts: np.ndarray) -> float:
+        """Mean inverse document frequency of a text's n-grams: low where the training documents share them."""
+        return float(((counts * self.idf[at]).sum() + USUAL_NGRAMS * self.usual) / (counts.sum() + USUAL_NGRAMS))
+
+    def identified(self, counter: NgramCounter, text: str | None, min_score: float, languages: frozenset[str] | None) -> bool:
+        """Whether a text is in a learned language (one of ``languages``, if given): its n-grams are as usual there as
+        those of known rows, and the model does better than guess."""
         at, counts = counter.counts(text)
-        if not len(at) or not self.languages:
-            return UNKNOWN, 0.0
+        if not len(at) or not self.languages or self.rarity(at, counts) > self.rarest:
+            return False
+        language, score = self._best(at, counts)
+        return score >= min_score and (languages is None or language in languages)
+
+    def _best(self, at: np.ndarray, counts: np.ndarray) -> tuple[str, float]:
         p = _softmax(_weighted(at, counts, self.idf) @ self.weights[at] / self.temperature)
         best = int(p.argmax())
         return self.languages[best], float(p[best])
 
+    def predict(self, counter: NgramCounter, text: str | None) -> tuple[str, float]:
+        at, counts = counter.counts(text)
+        if not len(at) or not self.languages:
+            return UNKNOWN, 0.0
+        return self._best(at, counts)
+
 
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
@@ -160,46 +181,58 @@ def train(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     picked = rows.withColumn("h", F.xxhash64("id", "text", "lang")).where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).dropDuplicates(["h"])
     languages = sorted(sizes)
     found = sorted((r["lang"], bytes(r["at"]), bytes(r["counts"])) for r in picked.select("lang", "text").mapInArrow(_vectors, "lang string, at binary, counts binary").collect())
-    vectors, labels = [], []
+    vectors, labels, raw = [], [], []
     for lang, at, counts in found:
         if at:
             places = np.frombuffer(at, "<u4").astype(np.int64)
-            vectors.append((places, _weighted(places, np.frombuffer(counts, "<u4"), idf)))
+            raw.append((places, np.frombuffer(counts, "<u4").astype(np.int64)))
+            vectors.append((places, _weighted(*raw[-1], idf)))
             labels.append(languages.index(lang))
     apart = [k % FIT_PART == FIT_PART - 1 for k in range(len(vectors))]
     weights = learn_weights([v for v, x in zip(vectors, apart) if not x], [y for y, x in zip(labels, apart) if not x], len(languages))
     logits = np.array([x @ weights[at] for (at, x), kept in zip(vectors, apart) if kept]).reshape(-1, len(languages))
-    return Model(languages, idf.astype(np.float32), weights, fit_temperature(logits, np.array([y for y, x in zip(labels, apart) if x], np.int64)))
+    model = Model(languages, idf.astype(np.float32), weights, fit_temperature(logits, np.array([y for y, x in zip(labels, apart) if x], np.int64)))
+    held = [r for r, kept in zip(raw, apart) if kept]
+    if held:
+        model.usual = float(np.median([(n * model.idf[at]).sum() / n.sum() for at, n in held]))
+        rare = [model.rarity(at, n) for at, n in held]
+        model.rarest = max(rare) + RARER * (max(rare) - model.usual)
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, lang_pred, score (the calibrated probability).
+    """One row per input row: doc_id, lang_pred, score (the calibrated probability; of equal ones the first name in order).
 
-    A null text or one without letters gets ``und`` with score 0, as does any text if nothing could be learnt.
+    A null text or one without letters gets ``und`` with score 0, as does any text if nothing could be learnt. Repeated
+    rows are judged alike; ids may be null; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = NgramCounter()
+        counter, model = NgramCounter(), shared.get()
         for block in blocks(batches, "text"):
-            found = [shared.value.predict(counter, t) for t in column_list(block, "text")]
+            found = [model.predict(counter, t) for t in column_list(block, "text")]
             yield pa.RecordBatch.from_pydict({"doc_id": block.column(0), "lang_pred": pa.array([x for x, _ in found], pa.string()), "score": pa.array([s for _, s in found], pa.float64())})
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     return rows.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float | None = None, text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, whose language is known with at least ``min_score``; by default
-    ``ABOVE_EVEN_SHARE`` times the even share of the learned languages (at most one half), so short clean texts stay and
-    only those go that have no letters or leave the model guessing."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def keep_identified(docs: DataFrame, model: Model, min_score: float | None = None, text_col: str = "text", languages: Iterable[str] | None = None) -> DataFrame:
+    """The documents, all columns and rows as they are, that are in a learned language (one of ``languages``, if given).
+
+    A text goes if it is null or has no letter, if its n-grams are rarer than those of known rows can be (another language,
+    code, random letters), or if its best language has less than ``min_score``; by default ``ABOVE_EVEN_SHARE`` times the
+    even share of the learned languages (at most one half), so short clean texts stay. Without learned languages all go.
+    """
+    shared = Shared(docs.sparkSession, model)
     if min_score is None:
         min_score = min(0.5, ABOVE_EVEN_SHARE / max(1, len(model.languages)))
+    wanted = None if languages is None else frozenset(languages)
 
     def judge():
-        counter = NgramCounter()
-        return lambda block, column: [lang != UNKNOWN and score >= min_score for lang, score in (shared.value.predict(counter, t) for t in column_list(block, column))]
+        counter, model = NgramCounter(), shared.get()
+        return lambda block, column: [model.identified(counter, t, min_score, wanted) for t in column_list(block, column)]
 
     return keep_rows(docs, text_col, judge)
 

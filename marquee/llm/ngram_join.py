@@ -94,6 +94,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 _SUMMARY = T.StructType([
     T.StructField("doc_id", T.LongType()),
+    T.StructField("mark", T.LongType()),
     T.StructField("n", T.LongType()),
     T.StructField("key", T.LongType()),
     T.StructField("ranges", T.ArrayType(T.IntegerType())),
@@ -113,6 +114,7 @@ def _summaries(ngram: int):
             sketch += np.bincount(np.concatenate(sets) >> np.uint64(64 - SLOT_BITS), minlength=len(sketch)).astype(np.uint32)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": block.column(0),
+                "mark": block.column(2),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "key": pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                 "ranges": pa.array([np.bincount(s >> np.uint64(58), minlength=RANGES).astype(np.int32) for s in sets], pa.list_(pa.int32())),
@@ -124,6 +126,7 @@ def _summaries(ngram: int):
             n = len(parts)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.nulls(n, pa.int64()),
+                "mark": pa.nulls(n, pa.int64()),
                 "n": pa.nulls(n, pa.int64()),
                 "key": pa.nulls(n, pa.int64()),
                 "ranges": pa.nulls(n, pa.list_(pa.int32())),
@@ -250,11 +253,13 @@ def _verify(percent: int):
 class NgramJoin:
     """The join over one frame of documents; ``components()`` is what queries use."""
 
-    def __init__(self, docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", marked: bool = False):
+        """``marked``: rows keep a hash of their text, to be told from others of the same id."""
         self.spark, self.ngram, self.percent = docs.sparkSession, ngram, percent
         self.docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-        both = written(self.docs.mapInArrow(_summaries(ngram), _SUMMARY), "ngram-summaries")
-        self.summaries = both.where("chunk is null").select("doc_id", "n", "key", "ranges")
+        rows = self.docs.withColumn("mark", F.xxhash64("text") if marked else F.lit(None).cast("long"))
+        both = written(rows.mapInArrow(_summaries(ngram), _SUMMARY), "ngram-summaries")
+        self.summaries = both.where("chunk is null").select("doc_id", "mark", "n", "key", "ranges")
         self.classes = self.summaries.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
         chunks = both.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(_add_chunks, "chunk int, counts binary").collect()
         sketch = np.zeros(1 << SLOT_BITS, np.uint32)
@@ -360,6 +365,12 @@ class NgramJoin:
             .select("a", "b")
         )
 
+    def components_of_rows(self) -> DataFrame:
+        """One row per document row with n-grams: doc_id, mark, n_shingles, component (a key)."""
+        _, label = self.links()
+        of_class = self.classes.select("key").join(label, "key", "left").select("key", F.coalesce("component", "key").alias("component"))
+        return self.summaries.join(of_class, "key").select("doc_id", "mark", F.col("n").alias("n_shingles"), "component")
+
     def components(self) -> DataFrame:
         """One row per document row: doc_id, n_shingles, component_id."""
         _, label = self.links()
@@ -410,20 +421,35 @@ def near_duplicates(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT,
     return NgramJoin(docs, ngram, percent, id_col, text_col).components()
 
 
+def _unused(name: str, names: list[str]) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name.lower() in {n.lower() for n in names}:
+        name += "_"
+    return name
+
+
 def keep_one(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, with one of each component: the one whose id names it.
+    """The documents, all columns as they are, with one of each component: the one of the smallest id (of several texts
+    under that id, the one with the smallest hash).
 
-    Of equal rows (id and text) one stays; documents without n-grams or without an id all stay.
+    A row is known by its id and a 64-bit hash of its text, so an id that repeats under different texts loses none that is
+    unique. Of rows equal in both, one stays. Documents without n-grams or without an id all stay.
     """
-    found = near_duplicates(docs, ngram, percent, id_col, text_col)
-    gone = found.where("n_shingles > 0 and doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    names, rank = docs.columns, "_copy"
-    while rank in names:
-        rank += "_"
-    kept = docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
-    copies = Window.partitionBy(id_col, text_col).orderBy(F.lit(0))
-    single = docs[id_col].isNull() | ~F.coalesce(docs[text_col].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return kept.withColumn(rank, F.row_number().over(copies)).where((F.col(rank) == 1) | single).select(*names)
+    join = NgramJoin(docs, ngram, percent, id_col, text_col, marked=True)
+    found = join.components_of_rows().where("n_shingles > 0 and doc_id is not null")
+    stays = found.groupBy("component").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
+    # one row a component on the other side, so a hot component is split like any skewed join
+    gone = found.join(stays, "component").where((F.col("doc_id") != F.col("one.doc_id")) | (F.col("mark") != F.col("one.mark"))).select("doc_id", "mark").distinct()
+    names = docs.columns
+    of_id, mark, rank, alone = (_unused(n, names) for n in ("_id", "_mark", "_rank", "_alone"))
+    gone = gone.select(F.col("doc_id").alias(of_id), F.col("mark").alias(mark))
+    rows = docs.withColumns({of_id: docs[id_col].cast("long"), mark: F.xxhash64(docs[text_col].cast("string"))})
+    kept = rows.join(gone, [of_id, mark], "left_anti")
+    # rows that all stay are numbered, so that none of them meet in the window
+    single = docs[id_col].isNull() | ~F.coalesce(docs[text_col].cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = kept.withColumn(alone, F.when(single, F.monotonically_increasing_id()))
+    copies = Window.partitionBy(of_id, mark, alone).orderBy(F.lit(0))
+    return kept.withColumn(rank, F.row_number().over(copies)).where(F.col(rank) == 1).select(*names)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import blocks, column_list, fold, keep_rows, table
+from marquee.llm.common import Shared, blocks, column_list, fold, keep_rows, table
 
 #: Hash slots of terms, about how many labelled rows of each label are learnt from, terms that may get weights.
 BITS, SAMPLE_TOXIC, SAMPLE_OTHER, MAX_TERMS, MIN_DOCS = 24, 4000, 8000, 1024, 3
@@ -220,11 +220,11 @@ def fit(sets: list[np.ndarray], y: np.ndarray, bias_shift: float = 0.0) -> Model
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, score (0 to 1), predicted (1 from 0.5 on). Null and empty texts have no terms and
-    score as the bias says."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    score as the bias says. Repeated rows score alike; ids may be null; other columns are not read."""
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(shared.get())
         for block in blocks(batches, "text"):
             scores = [scorer.score(t) for t in column_list(block, "text")]
             yield pa.RecordBatch.from_pydict({"doc_id": block.column(0), "score": pa.array(scores, pa.float64()), "predicted": pa.array([int(s >= 0.5) for s in scores], pa.int32())})
@@ -234,11 +234,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_harmless(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, that the model does not call toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """The documents, all columns and rows as they are, that the model scores below 0.5. Null and empty texts score as the
+    bias says, so they stay unless most documents are toxic."""
+    shared = Shared(docs.sparkSession, model)
 
     def judge():
-        scorer = Scorer(shared.value)
+        scorer = Scorer(shared.get())
         return lambda block, column: [scorer.score(t) < 0.5 for t in column_list(block, column)]
 
     return keep_rows(docs, text_col, judge)

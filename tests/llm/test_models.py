@@ -47,6 +47,61 @@ def test_language_of_odd_rows(spark, make_docs, odd, no_docs):
     assert kept.columns == odd.columns and not {1, 2, 3} & {r.doc_id for r in kept.collect()}
 
 
+def test_texts_in_no_learned_language_go(spark, make_docs):
+    """Other languages, code and random letters have n-grams that no training row has; short clean texts stay."""
+    docs = table(spark, MIDDLE, "documents", "doc_id", "text", "lang")
+    model = L.train(docs, fold("doc_id", L.FOLDS) != L.HELD_OUT)
+    rng = random.Random(0)
+    bad = [
+        "все люди рождаются свободными и равными в своем достоинстве и правах",
+        "人人生而自由在尊严和权利上一律平等",
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem",
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)),
+        "qzx" * 400,
+        "1234 5678 %%%",
+    ]
+    kept = L.keep_identified(make_docs(list(enumerate(bad))), model)
+    assert kept.count() == 0
+    clean = docs.where((fold("doc_id", L.FOLDS) == L.HELD_OUT) & F.col("lang").isNotNull())
+    found = L.keep_identified(clean, model)
+    assert found.count() >= 0.995 * clean.count()
+    only = L.keep_identified(clean, model, languages=["en"]).groupBy("lang").count().collect()
+    assert {r["lang"] for r in only if r["count"] > 5} == {"en"}
+
+
+def plain_learner(rows, labels, n):
+    """Follow the regularised leader, weight by weight, with the sums kept in dicts."""
+    z, q = {}, {}
+
+    def weight(i, c):
+        zs = z.get((i, c), 0.0)
+        return 0.0 if abs(zs) <= L.L1 else -(zs - np.sign(zs) * L.L1) / ((L.BETA + q.get((i, c), 0.0) ** 0.5) / L.ALPHA + L.L2)
+
+    for turn in range(L.PASSES):
+        for k in np.random.default_rng(turn).permutation(len(rows)):
+            at, x = rows[k]
+            w = {(i, c): weight(i, c) for i in at for c in range(n)}
+            score = [sum(float(v) * w[i, c] for i, v in zip(at, x)) for c in range(n)]
+            top = max(score)
+            total = sum(np.exp(s - top) for s in score)
+            for c in range(n):
+                error = np.exp(score[c] - top) / total - (labels[k] == c)
+                for i, v in zip(at, x):
+                    g, before = float(v) * error, q.get((i, c), 0.0)
+                    q[i, c] = before + g * g
+                    z[i, c] = z.get((i, c), 0.0) + g - (q[i, c] ** 0.5 - before**0.5) / L.ALPHA * w[i, c]
+    return {(i, c): weight(i, c) for i, c in z}
+
+
+def test_weights_against_a_plain_learner():
+    rng = np.random.default_rng(1)
+    rows = [(np.sort(rng.choice(12, 4, replace=False)), rng.random(4).astype(np.float32)) for _ in range(60)]
+    labels = [int(at[0] % 3) for at, _ in rows]
+    got, want = L.learn_weights(rows, labels, 3), plain_learner(rows, labels, 3)
+    assert all(abs(got[i, c] - w) < 1e-5 for (i, c), w in want.items())
+    assert np.count_nonzero(got) == sum(w != 0 for w in want.values()) > 0
+
+
 def test_temperature_finds_the_least_loss():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 3, 4000)

@@ -96,6 +96,19 @@ def test_one_of_each_group_stays(make_docs):
     assert sorted(named) == sorted([*groups, *[d[0] for d in alone]])
 
 
+def test_one_of_each_group_where_ids_repeat(spark):
+    """Ids name several texts; a unique text is never lost, rows without an id or without words all stay, and columns may
+    have any name."""
+    a, b = "one two three four five six seven eight", "quite another text of some more words than that"
+    names = "doc_id long, text string, _id string, _mark int, _rank int, _alone int, _gone int, component int, key int, n int"
+    rows = [(1, a), (5, a), (5, b), (5, b), (6, b.upper()), (7, None), (7, None), (None, a), (None, a), (8, " "), (8, " "), (9, "solo"), (9, "solo"), (9, "other")]
+    docs = spark.createDataFrame([(*r, "x", *[k] * 7) for k, r in enumerate(rows)], names)
+    kept = J.keep_one(docs)
+    assert kept.columns == docs.columns and kept.schema == docs.schema
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, a), (5, b), (7, None), (7, None), (None, a), (None, a), (8, " "), (8, " "), (9, "solo"), (9, "other")], key=repr)
+
+
 def test_odd_and_empty(odd, no_docs):
     found = {r.doc_id: r for r in J.near_duplicates(odd).collect()}
     assert [found[k].n_shingles for k in (1, 2, 3, 4, 5)] == [0, 0, 0, 1, 1]
