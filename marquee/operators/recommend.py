@@ -16,6 +16,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators import fold_in, inner_product
 from marquee.session import checkpoint_root
 
 # Fixed values of the reference model.
@@ -114,3 +115,29 @@ def recommend_for_users(
     return ranked.join(movies, "movieId", "left").select(
         "userId", "rank", "movieId", "score", "title", "genres", "production_year"
     )
+
+
+def recommend_for_all_users(model: ALSModel, movies: DataFrame, n: int = 10) -> DataFrame:
+    """Top ``n`` movies of every user of the model: the columns of ``recommend_for_users``, with the score as a double.
+
+    An exact search by inner product (``operators.inner_product``): items in blocks of falling norm, and a user is done
+    when no later item can enter its list. Ties go to the smaller movie id.
+    """
+    found = inner_product.ranked(inner_product.search(model.userFactors, model.itemFactors, n))
+    rows = found.select(F.col("user").cast("int").alias("userId"), "rank", F.col("item").cast("int").alias("movieId"), "score")
+    return rows.join(movies, "movieId", "left").select("userId", "rank", "movieId", "score", "title", "genres", "production_year")
+
+
+def split_new_users(ratings: DataFrame, percent: int = TRAIN_PERCENT, seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(old, known, asked)``: all rated records of the users that a model learns from, and of the others (a hash of the
+    user, ``percent`` of 100 learn) the records that are known about them and those that are asked for."""
+    rated = ratings.where(F.col("rating").isNotNull()).select("userId", "movieId", "rating")
+    bucket = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("user"), F.col("userId").cast("string"), F.lit(str(seed))).cast("binary")), 1, 8), 16, 10).cast("bigint") % 100
+    old, new = rated.where(bucket < percent), split_ratings(rated.where(bucket >= percent), percent, seed)
+    return old, new.where("is_train").drop("is_train"), new.where(~F.col("is_train")).drop("is_train")
+
+
+def predict_new_users(model: ALSModel, known: DataFrame, asked: DataFrame, reg_param: float = REG_PARAM) -> DataFrame:
+    """``userId, movieId, rating, prediction`` for users that the model has not seen, from their ``known`` records: users and
+    movies without any factors are left out, as in ``predictions``."""
+    return fold_in.predict_with(fold_in.fold_in(known, model.itemFactors, model.rank, reg_param), model.itemFactors, asked)

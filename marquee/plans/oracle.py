@@ -475,4 +475,29 @@ FROM (SELECT pow(w.rating - m.prediction, 2) AS e FROM warm w
        {P.RECOMMENDATIONS_PER_USER} AS last_rank, CAST({P.RECOMMENDATIONS_PER_USER} AS BIGINT) AS num_movies
 FROM (SELECT DISTINCT userId FROM split WHERE is_train AND userId IN ({users}))"""
     )
+    q["recommend_all_ranks"] = with_split(
+        f"""SELECT userId, CAST({P.RECOMMENDATIONS_PER_USER} AS BIGINT) AS num_rows, 1 AS first_rank,
+       {P.RECOMMENDATIONS_PER_USER} AS last_rank, CAST({P.RECOMMENDATIONS_PER_USER} AS BIGINT) AS num_movies
+FROM (SELECT DISTINCT userId FROM split WHERE is_train)"""
+    )
+    sides = lambda key, other: ", ".join(f"sum(CASE WHEN {other} % 4 = {k} THEN 2.0 * rating ELSE 0 END) AS {key}{k}" for k in range(4))
+    dot = " + ".join(f"u{k} * v{k}" for k in range(4))
+    q["top_inner_products"] = sql(
+        f"""SELECT userId, rank, movieId, score FROM (
+  SELECT userId, movieId, score, CAST(row_number() OVER (PARTITION BY userId ORDER BY score DESC, movieId) AS INTEGER) AS rank
+  FROM (SELECT userId, movieId, CAST({dot} AS DOUBLE) AS score
+        FROM (SELECT userId, {sides("u", "movieId")} FROM ratings GROUP BY userId),
+             (SELECT movieId, {sides("v", "userId")} FROM ratings GROUP BY movieId)))
+WHERE rank <= {P.RECOMMENDATIONS_PER_USER}""",
+        "ratings",
+    )
+    q["fold_in_vectors"] = sql(
+        f"""SELECT userId, n AS num_ratings, round((t0 * a11 - t1 * a01) / (a00 * a11 - a01 * a01), 6) AS factor_0,
+       round((a00 * t1 - a01 * t0) / (a00 * a11 - a01 * a01), 6) AS factor_1
+FROM (SELECT userId, count(*) AS n, count(*) * (1 + {P.FOLD_IN_REG}) AS a00, sum(x) AS a01, sum(x * x) + {P.FOLD_IN_REG} * count(*) AS a11,
+             sum(rating) AS t0, sum(x * rating) AS t1
+      FROM (SELECT userId, CAST(rating AS DOUBLE) AS rating, CAST((movieId % 7) / 8.0 AS DOUBLE) AS x FROM ratings WHERE rating IS NOT NULL)
+      GROUP BY userId)""",
+        "ratings",
+    )
     return q

@@ -19,3 +19,4 @@ SAMPLES_PER_GENRE = 5
 HISTOGRAM_BINS = 10
 RECOMMENDATIONS_PER_USER = 10
 ALS_SEED = 42
+FOLD_IN_REG = 0.25

@@ -16,6 +16,8 @@ from marquee import schemas
 from marquee.operators import (
     clean,
     distribution,
+    fold_in,
+    inner_product,
     leaderboard,
     lookup,
     profile,
@@ -476,11 +478,53 @@ def _recommendations(spark, sf_dir):
 
 def _recommendation_ranks(spark, sf_dir):
     """Rows and ranks per asked user; every one has a title."""
-    return _recommendations(spark, sf_dir).groupBy("userId").agg(
+    return _ranks(_recommendations(spark, sf_dir))
+
+
+def _ranks(rows):
+    return rows.groupBy("userId").agg(
         F.count("title").alias("num_rows"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"), F.countDistinct("movieId").alias("num_movies")
     )
 
 
+def _recommend_all_users(spark, sf_dir):
+    """Top lists of every user of the model."""
+    model, _ = _model(spark, sf_dir)
+    return recommend.recommend_for_all_users(model, tables(spark, sf_dir).movies, P.RECOMMENDATIONS_PER_USER)
+
+
+def _recommend_all_ranks(spark, sf_dir):
+    """Rows and ranks of every user of the model; every movie has a title."""
+    return _ranks(_recommend_all_users(spark, sf_dir))
+
+
+def _top_inner_products(spark, sf_dir):
+    """The search behind the top lists, on vectors that SQL can build: sums of ratings by a class of the other side."""
+    ratings = tables(spark, sf_dir).ratings
+
+    def vectors(key, other):
+        sums = [F.sum(F.when(F.col(other) % 4 == k, 2 * F.col("rating").cast("double")).otherwise(0.0)) for k in range(4)]
+        return ratings.groupBy(F.col(key).alias("id")).agg(F.array(*sums).alias("features"))
+
+    found = inner_product.search(vectors("userId", "movieId"), vectors("movieId", "userId"), P.RECOMMENDATIONS_PER_USER)
+    return inner_product.ranked(found).select(F.col("user").cast("int").alias("userId"), "rank", F.col("item").cast("int").alias("movieId"), "score")
+
+
+def _fold_in_vectors(spark, sf_dir):
+    """Factors of every user from all its ratings, on item vectors of two numbers that SQL can build."""
+    t = tables(spark, sf_dir)
+    items = t.movies.select(F.col("movieId").alias("id"), F.array(F.lit(1.0), (F.col("movieId") % 7) / F.lit(8.0)).alias("features"))
+    found = fold_in.fold_in(t.ratings, items, 2, P.FOLD_IN_REG)
+    return found.select("userId", "num_ratings", *[F.round(F.col("features")[k], 6).alias(f"factor_{k}") for k in range(2)])
+
+
+def _cold_start_predictions(spark, sf_dir):
+    """A model that a fifth of the users is kept from predicts held-out records of just those users."""
+    old, known, asked = recommend.split_new_users(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
+    model, _ = recommend.train_als(old, seed=P.ALS_SEED, train_percent=100)
+    return recommend.predict_new_users(model, known, asked)
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources and sinks
@@ -572,4 +616,9 @@ def queries() -> dict[str, Query]:
         "mean_predictor_metrics": _mean_predictor_metrics,
         "recommendations": _recommendations,
         "recommendation_ranks": _recommendation_ranks,
+        "recommend_all_users": _recommend_all_users,
+        "recommend_all_ranks": _recommend_all_ranks,
+        "top_inner_products": _top_inner_products,
+        "fold_in_vectors": _fold_in_vectors,
+        "cold_start_predictions": _cold_start_predictions,
     }

@@ -12,7 +12,7 @@ from conftest import SMALL
 from marquee.plans import oracle, registry
 
 DRIVER_TABLES = ("part", "orders", "lineitem", "events")
-ROWS_ONLY = {"als_predictions", "als_metrics", "recommendations"}
+ROWS_ONLY = {"als_predictions", "als_metrics", "recommendations", "recommend_all_users", "cold_start_predictions"}
 
 
 def _norm(v):
