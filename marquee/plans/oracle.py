@@ -500,4 +500,13 @@ FROM (SELECT userId, count(*) AS n, count(*) * (1 + {P.FOLD_IN_REG}) AS a00, sum
       GROUP BY userId)""",
         "ratings",
     )
+    # the same rows by other ways
+    q["indexed_title_contains"], q["indexed_genre_contains"] = q["movie_title_contains"], q["genre_contains"]
+    q["indexed_movies_by_year"], q["saved_user_ratings"] = q["movies_by_year"], q["user_ratings"]
+    q["report_one_pass"] = q["export_summaries"] + """
+UNION ALL SELECT 'yearly_active_users', substring(watching_date, 1, 4), count(*) FROM (SELECT DISTINCT userId, watching_date FROM ratings) GROUP BY 2
+UNION ALL SELECT 'totals', 'num_users', count(DISTINCT userId) FROM ratings
+UNION ALL SELECT 'totals', 'num_movies', count(DISTINCT movieId) FROM movies
+UNION ALL SELECT 'totals', 'num_genres', count(DISTINCT genre) FROM movie_genres
+UNION ALL SELECT 'totals', 'num_ratings', count(*) FROM ratings"""
     return q

@@ -24,10 +24,11 @@ from marquee.operators import (
     recommend,
     summary,
     taste,
+    text_index,
 )
 from marquee.operators.model import interaction_genres, interactions, interactions_wide
 from marquee.plans import params as P
-from marquee.plans.report import EXPORTED, export_report
+from marquee.plans.report import EXPORTED, export_report, report_rows
 from marquee.plans.tables import MovieTables
 from marquee.session import scratch_dir
 from marquee.sinks import read_csv, save_as_csv, save_tables
@@ -185,6 +186,33 @@ def _genre_contains(spark, sf_dir):
     return lookup.genre_contains(tables(spark, sf_dir).movies, P.GENRE_FRAGMENT)
 
 
+def _saved_tables(spark, sf_dir, *indexes):
+    """The tables saved for lookups and read again, and the folders of all that was written."""
+    base = scratch_dir(spark, "lookup-tables")
+    paths = tables(spark, sf_dir).save_for_lookups(base, indexes=indexes)
+    return MovieTables.from_clean_tables(spark, base), paths
+
+
+def _indexed_title_contains(spark, sf_dir):
+    t, paths = _saved_tables(spark, sf_dir, "title")
+    return text_index.contains(t.movies, "movieId", "title", paths["title_index"], P.TITLE_FRAGMENT)
+
+
+def _indexed_genre_contains(spark, sf_dir):
+    t, paths = _saved_tables(spark, sf_dir, "genres")
+    return text_index.contains(t.movies, "movieId", "genres", paths["genres_index"], P.GENRE_FRAGMENT)
+
+
+def _indexed_movies_by_year(spark, sf_dir):
+    t, paths = _saved_tables(spark, sf_dir, "title")
+    return text_index.ends_with(t.movies, "movieId", "title", paths["title_index"], f"({P.YEAR})")
+
+
+def _saved_user_ratings(spark, sf_dir):
+    t, _ = _saved_tables(spark, sf_dir)
+    return lookup.user_ratings(t.ratings, t.movies, P.USER)
+
+
 def _movies_in_genre_list(spark, sf_dir):
     return lookup.movies_in_genre_list(tables(spark, sf_dir).movies, P.GENRE_LIST)
 
@@ -376,6 +404,11 @@ def _ratings_per_genre(spark, sf_dir):
     return summary.ratings_per_genre(t.ratings, t.movies)
 
 
+def _report_one_pass(spark, sf_dir):
+    """Every row of every part of the report, from one pass over the ratings and one over the movies."""
+    return report_rows(tables(spark, sf_dir))
+
+
 def _dataset_totals(spark, sf_dir):
     t = tables(spark, sf_dir)
     return summary.dataset_totals(t.ratings, t.movies)
@@ -552,6 +585,10 @@ def queries() -> dict[str, Query]:
         "movies_in_genre_list": _movies_in_genre_list,
         "genre_counts_samples": _genre_counts_samples,
         "movies_by_year": _movies_by_year,
+        "indexed_title_contains": _indexed_title_contains,
+        "indexed_genre_contains": _indexed_genre_contains,
+        "indexed_movies_by_year": _indexed_movies_by_year,
+        "saved_user_ratings": _saved_user_ratings,
         "titles_by_users": _titles_by_users,
         "titles_in_genres": _titles_in_genres,
         "titles_in_genres_distinct": _titles_in_genres_distinct,
@@ -593,6 +630,7 @@ def queries() -> dict[str, Query]:
         "active_users_per_year": _active_users_per_year,
         "ratings_per_genre": _ratings_per_genre,
         "dataset_totals": _dataset_totals,
+        "report_one_pass": _report_one_pass,
         # top-k
         "top_rated": _top_rated,
         "top_watched": _top_watched,

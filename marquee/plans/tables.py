@@ -14,10 +14,11 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.operators import text_index
 from marquee.operators.clean import clean_movies, clean_ratings, clean_tags, movie_genres
 from marquee.operators.model import interaction_genres, interactions, interactions_wide
 from marquee.session import checkpoint_root
-from marquee.sinks import save_tables
+from marquee.sinks import save_by_id, save_tables
 from marquee.sources import adapter
 from marquee.sources.files import load_dataset
 
@@ -68,6 +69,20 @@ class MovieTables:
         """Write the cleaned movies, ratings and tags as Parquet under ``base_path``."""
         return save_tables({name: getattr(self, name) for name in _SOURCE_TABLES}, base_path)
 
+    def save_for_lookups(self, base_path: str, files: int | None = None, indexes: tuple[str, ...] = ("title", "genres")) -> dict[str, str]:
+        """``save_clean`` with the tables laid out by id (ratings and tags by user, movies by movie) and trigram indexes of
+        columns of the movies beside them: ``from_clean_tables`` reads the tables, ``operators.text_index`` the indexes."""
+        base = base_path.rstrip("/")
+        paths = {
+            "movies": save_by_id(self.movies, f"{base}/movies", "movieId", files=files),
+            "ratings": save_by_id(self.ratings, f"{base}/ratings", "userId", "movieId", files=files),
+            "tags": save_by_id(self.tags, f"{base}/tags", "userId", "movieId", files=files),
+        }
+        saved = self.movies.sparkSession.read.parquet(paths["movies"])
+        for column in indexes:
+            paths[f"{column}_index"] = text_index.build(saved, "movieId", column, f"{base}/{column}_index", files)
+        return paths
+
     @cached_property
     def ratings(self) -> DataFrame:
         return clean_ratings(self.raw_ratings)

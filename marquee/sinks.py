@@ -39,6 +39,18 @@ def save_tables(tables: Mapping[str, DataFrame], base_path: str, fmt: str = "par
     return paths
 
 
+def save_by_id(df: DataFrame, path: str, key: str, *then: str, files: int | None = None, mode: str = "overwrite") -> str:
+    """A table laid out for lookups of one id: rows sorted by ``key`` (then by other columns) over all files, so a filter on
+    the id reads the few row groups and pages that span it, with a Parquet bloom filter on the key, so a file without
+    the id is not read at all. An id of very many rows spans several files if ``then`` names further columns."""
+    parts = [files] if files else []
+    rows = df.repartitionByRange(*parts, key, *then).sortWithinPartitions(key, *then)
+    # a column chunk that is all dictionary gets no bloom filter
+    options = {f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.enable.dictionary#{key}": "false"}
+    rows.write.mode(mode).options(**options).parquet(path)
+    return path
+
+
 def export_summaries(summaries: Mapping[str, DataFrame], base_path: str) -> dict[str, str]:
     """Each summary to its own CSV folder. Frames keep the order they were given (their own ``orderBy``)."""
     return save_tables(summaries, base_path, fmt="csv")
