@@ -13,10 +13,10 @@ back to the documents of the chunk. No pair list of the corpus is ever sent to a
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm import token_codec, token_counts
+from marquee.llm.bpe import load_byte_level
 from marquee.llm.common import blocks, column_list, table, written
 
 #: Bytes of text whose pairs are added up together, units kept in a worker's cache, and characters of the longest kept.
-CHUNK_BYTES, CACHE_UNITS, LONG_UNIT = 32 << 20, 150_000, 64
+CHUNK_BYTES, CACHE_UNITS, LONG_UNIT = 16 << 20, 150_000, 64
 #: Fixed value: the stand-in of a space inside pieces.
 SPACE = "▁"
 
@@ -56,8 +57,7 @@ def overlaps(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return left, np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
 
 
-@dataclass
-class Unit:
+class Unit(NamedTuple):
     """What a unit adds to its document; ``groups`` is None if one tokenizer does not give back the unit's bytes."""
 
     n_a: int
@@ -67,29 +67,39 @@ class Unit:
     pairs: np.ndarray  # id pair of each link, A id in the upper half
 
 
+_NO_PAIRS = np.zeros(0, np.int64)
+
+
+def _sizes(lists: list) -> np.ndarray:
+    return np.fromiter(map(len, lists), np.int64, len(lists))
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64)
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str, cache_units: int = CACHE_UNITS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        from marquee.llm.bpe import byte_alphabet
-
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
-        self.a.no_padding()
-        self.a.no_truncation()
+        import tiktoken
+
+        # The library below merges any two neighbours whose text is a token, where the file lists the pairs that merge. Both
+        # give the same wherever every token's own text merges into that token, which a test holds for the whole vocabulary.
+        merges, self.bytes_a, _ = load_byte_level(path_a)
+        ids = sorted(merges.ids.values(), key=lambda i: (i in merges.split, merges.rank.get(i, i)))
+        self.id_of_rank = np.array(ids, np.int64)
+        ranks = {self.bytes_a[i]: k for k, i in enumerate(ids)}
+        self.a = tiktoken.Encoding("byte level", pat_str=token_codec.WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        byte_of = byte_alphabet()
-        vocab = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = [b""] * (max(vocab.values()) + 1)
-        for token, at in vocab.items():
-            self.bytes_a[at] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        self.bytes_a = [self.bytes_a.get(i, b"") for i in range(max(self.bytes_a) + 1)]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i in range(self.b.get_piece_size()) for p in (self.b.id_to_piece(i),)]
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
         self.cache: dict[str, Unit] = {}
         self.cache_units = cache_units
+        # every id as text, with what can follow it inside its group and after its part of it
+        self.text_a = np.array([f"{i}{mark}" for i in range(len(self.bytes_a)) for mark in ",|"], object)
+        self.text_b = np.array([f"{i}{mark}" for i in range(len(self.bytes_b)) for mark in ",;"], object)
 
     def units(self, texts: list[str]) -> list[list[str]]:
         """Each text behind one added space, cut at its units; a text without characters has none."""
@@ -97,18 +107,25 @@ class Aligner:
 
     def align(self, units: list[str]) -> list[Unit]:
         """Encode distinct units by both tokenizers and align them all at once."""
-        ids_a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
+        ids_a = list(map(self.a.encode_ordinary, units))
         ids_b = self.b.encode([u[1:] for u in units], num_threads=1)  # this side adds the space itself
-        good = []
-        for unit, x, y in zip(units, ids_a, ids_b):
-            raw = unit.encode("utf-8", "surrogatepass")
-            good.append(b"".join([self.bytes_a[i] for i in x]) == raw == b"".join([self.bytes_b[i] for i in y]))
-        kept = [k for k, ok in enumerate(good) if ok]
-        out = [Unit(len(x), len(y), 0, None, np.zeros(0, np.int64)) for x, y in zip(ids_a, ids_b)]
-        if not kept:
-            return out
-        flat_a = np.fromiter((i for k in kept for i in ids_a[k]), np.int64)
-        flat_b = np.fromiter((i for k in kept for i in ids_b[k]), np.int64)
+        raw = [u.encode("utf-8", "surrogatepass") for u in units]
+        n_a, n_b, flat_a, flat_b = _sizes(ids_a), _sizes(ids_b), self.id_of_rank[_flat(ids_a)], _flat(ids_b)
+        if self._given_back(raw, n_a, flat_a, self.size_a, self.bytes_a) and self._given_back(raw, n_b, flat_b, self.size_b, self.bytes_b):
+            return self._aligned(n_a, n_b, flat_a, flat_b)
+        whole = lambda ids, table: b"".join([table[i] for i in ids])
+        good = [whole(self.id_of_rank[x], self.bytes_a) == r == whole(y, self.bytes_b) for x, y, r in zip(ids_a, ids_b, raw)]
+        ids_a, ids_b = [x for x, ok in zip(ids_a, good) if ok], [y for y, ok in zip(ids_b, good) if ok]
+        found = iter(self._aligned(_sizes(ids_a), _sizes(ids_b), self.id_of_rank[_flat(ids_a)], _flat(ids_b)) if ids_a else ())
+        return [next(found) if ok else Unit(0, 0, 0, None, _NO_PAIRS) for ok in good]
+
+    @staticmethod
+    def _given_back(raw: list[bytes], n: np.ndarray, flat: np.ndarray, size: np.ndarray, table: list[bytes]) -> bool:
+        """Whether all units' tokens make up their bytes: the ends agree, and so do the bytes of all units in a row."""
+        ends = np.concatenate([[0], np.cumsum(size[flat])])[np.cumsum(n)]
+        return np.array_equal(ends, np.cumsum(_sizes(raw))) and b"".join([table[i] for i in flat.tolist()]) == b"".join(raw)
+
+    def _aligned(self, n_a: np.ndarray, n_b: np.ndarray, flat_a: np.ndarray, flat_b: np.ndarray) -> list[Unit]:
         end_a, end_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
         start_a, start_b = end_a - self.size_a[flat_a], end_b - self.size_b[flat_b]
         # units lie end to end, so each begins a group of its own
@@ -116,27 +133,35 @@ class Aligner:
         group_a, group_b = group[: len(flat_a)], group[len(flat_a) :]
         left, right = overlaps((start_a, end_a), (start_b, end_b))
         codes = flat_a[left] << 32 | flat_b[right]
-        n_groups = int(group.max()) + 1
-        cuts_a, cuts_b = (np.searchsorted(g, np.arange(n_groups + 1)).tolist() for g in (group_a, group_b))
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        names = [",".join(text_a[p:q]) + "|" + ",".join(text_b[r:s]) for p, q, r, s in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
-        ends = np.cumsum([len(ids_a[k]) for k in kept])
+        # all ids as texts, group after group, A before B: each stands behind the tokens of the groups before its own
+        last_a, last_b = np.append(group_a[1:] != group_a[:-1], True), np.append(group_b[1:] != group_b[:-1], True)
+        texts = np.empty(len(group), object)
+        texts[np.arange(len(flat_a)) + np.searchsorted(group_b, group_a, side="left")] = self.text_a[2 * flat_a + last_a]
+        texts[np.arange(len(flat_b)) + np.searchsorted(group_a, group_b, side="right")] = self.text_b[2 * flat_b + last_b]
+        texts = texts.tolist()
+        ends = np.cumsum(n_a)
         links = np.searchsorted(left, ends).tolist()
         groups = (group_a[ends - 1] + 1).tolist()
-        for k, g0, g1, l0, l1 in zip(kept, [0, *groups], groups, [0, *links], links):
-            unit = out[k]
-            unit.n_groups, unit.groups, unit.pairs = g1 - g0, ";".join(names[g0:g1]), codes[l0:l1]
-        return out
+        tokens = np.cumsum(n_a + n_b).tolist()
+        return [
+            Unit(a, b, g1 - g0, "".join(texts[t0:t1])[:-1], codes[l0:l1])
+            for a, b, g0, g1, t0, t1, l0, l1 in zip(n_a.tolist(), n_b.tolist(), [0, *groups], groups, [0, *tokens], tokens, [0, *links], links)
+        ]
 
     def lookup(self, texts: list[list[str]]) -> dict[str, Unit]:
         """All units of some texts; the short ones are kept for later texts while there is room."""
         cache = self.cache
         wanted = set().union(*texts)
         fresh = list(wanted.difference(cache))
-        new = dict(zip(fresh, self.align(fresh))) if fresh else {}
-        room = self.cache_units - len(cache)
-        cache.update((u, new[u]) for u in [u for u in fresh if len(u) <= LONG_UNIT][: max(0, room)])
-        return {u: cache[u] for u in wanted if u not in new} | new
+        found = {u: cache[u] for u in wanted.intersection(cache)}
+        if fresh:
+            new = self.align(fresh)
+            found.update(zip(fresh, new))
+            room = self.cache_units - len(cache)
+            if room > 0:
+                # copies, so that a kept unit does not hold the pairs of its whole block
+                cache.update((u, x._replace(pairs=x.pairs.copy())) for (u, x), _ in zip(((u, x) for u, x in zip(fresh, new) if len(u) <= LONG_UNIT), range(room)))
+        return found
 
 
 _DOCUMENT = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]

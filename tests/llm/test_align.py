@@ -115,6 +115,21 @@ def test_query(spark, libraries):
     assert got == sorted((d, na, nb, ng, nl, best, total, digest(g)) for d, na, nb, ng, g, nl, best, total in want)
 
 
+def test_every_token_text_merges_into_its_token(libraries):
+    """What makes merging by token texts the same as merging by the listed pairs: run on the listed pairs alone."""
+    merges, text_of, _ = A.load_byte_level(token_codec.default_path())
+    for word, last, _ in merges.walk(sorted(merges.ids)):
+        assert last[len(word)] == merges.ids[word] and text_of[last[len(word)]] == word
+    assert sorted(merges.rank.values()) == list(range(len(merges.rank))) and merges.rank.keys() == merges.split.keys()
+
+
+def test_ids_equal_the_library(libraries):
+    rng = random.Random(8)
+    texts = [t for t in TEXTS if t] + ["".join(chr(rng.choice([rng.randrange(0x20, 0x180), rng.randrange(0x2000, 0x30FF)])) for _ in range(60)) for _ in range(400)]
+    aligner = A.Aligner(token_codec.default_path(), token_counts.default_path())
+    assert [aligner.id_of_rank[aligner.a.encode_ordinary(t)].tolist() for t in texts] == [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_cache_of_any_size_gives_the_same(libraries):
     small = A.Aligner(token_codec.default_path(), token_counts.default_path(), cache_units=3)
     full = A.Aligner(token_codec.default_path(), token_counts.default_path())
