@@ -1,6 +1,8 @@
 """URL rules and licence scans: brute force, odd rows, and plans without Python."""
 
+import random
 import re
+import textwrap
 
 import pytest
 from conftest import SMALL
@@ -82,31 +84,33 @@ def test_url_query(spark):
         assert r.verdict in ("allow", "block")
 
 
-def plain_scan(text):
-    def norm(t):
-        return re.sub(r"[^\w\n]+|_", " ", t.lower())
-
-    clean = norm(text or "")
-    units = [(k, line.split()) for k, line in enumerate(clean.split("\n"))]
-    if "\n" in clean:
-        units.append((-1, clean.split()))
-    best, matches = None, set()
-    for line, w in units:
-        g = set(zip(w, w[1:]))
-        for name, template in S.TEMPLATES:
-            t = {tuple(x.split(" ")) for x in S.template_bigrams(template)}
-            dice = 2 * len(g & t) / (len(g) + len(t)) if g else 0
-            if dice >= S.MIN_DICE:
-                matches.add(line)
-                best = max(best or (0, "", 0), (dice, name, -line))
-    return (best[1], best[0], -best[2], len(matches)) if best else (None, None, None, 0)
+def plain_scan(text, templates=S.TEMPLATES):
+    """Every window of a template's word count, from every place that has one of its bigrams."""
+    w = re.sub(r"[\W_]+", " ", (text or "").lower()).split()
+    best, names = None, set()
+    for name, template in templates:
+        m, t = len(S.template_words(template)), {tuple(x.split(" ")) for x in S.template_bigrams(template)}
+        for at in range(len(w) - 1):
+            if (w[at], w[at + 1]) in t:
+                part = w[at : at + m]
+                g = set(zip(part, part[1:]))
+                dice = 2 * len(g & t) / (len(g) + len(t))
+                if dice >= S.MIN_DICE:
+                    names.add(name)
+                    best = max(best or (0, "", 0), (dice, name, -at))
+    return (best[1], best[0], -best[2], ",".join(sorted(names))) if best else (None, None, None, "")
 
 
 def test_scans_equal_brute_force(spark, make_docs, odd, no_docs):
     notice = S.TEMPLATES[0][1]
-    mit = dict((len(t), t) for n, t in S.TEMPLATES if n == "MIT")
-    texts = [notice, notice.upper() + "!!", "x\n" + notice + "\ny", max(mit.values(), key=len).replace(", ", ",\n"), "released under MIT licence", "Released under the MIT License. and more words here that do not match it",
-             "Released under the MIT License.\nLicensed under CC BY 4.0.", "released released released", *[t for _, t in S.TEMPLATES]]
+    mit = max((t for n, t in S.TEMPLATES if n == "MIT"), key=len)
+    rng = random.Random(4)
+    texts = [notice, notice.upper() + "!!", "x\n" + notice + "\ny", mit.replace(", ", ",\n"), "released under MIT licence", "Released under the MIT License. and more words here that do not match it",
+             "Released under the MIT License.\nLicensed under CC BY 4.0.", "released released released", "of the of the in the software the software", *[t for _, t in S.TEMPLATES]]
+    for _ in range(30):  # templates with words lost, changed and added, amid other words and other templates
+        w = S.template_words(rng.choice(S.TEMPLATES)[1])
+        w = [x if rng.random() > 0.08 else rng.choice(["", "other", x + " " + x]) for x in w]
+        texts.append(" ".join(["some words"] * rng.randint(0, 5) + w + ["the software is"] * rng.randint(0, 5) + S.template_words(rng.choice(S.TEMPLATES)[1])[: rng.randint(0, 40)]))
     for docs in (make_docs([*enumerate(texts)]), odd, no_docs):
         want = sorted(((r.doc_id, *plain_scan(r.text)) for r in docs.select("doc_id", "text").collect()), key=repr)
         got = sorted((tuple(r) for r in S.scan_licenses(docs).collect()), key=repr)
@@ -114,11 +118,38 @@ def test_scans_equal_brute_force(spark, make_docs, odd, no_docs):
         assert [g[2] for g in got] == pytest.approx([w[2] for w in want])
 
 
-def test_size_bounds_lose_nothing():
+def wrapped(text, width, mark):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_licences_inside_longer_texts(make_docs):
+    """Wrapped, behind comment marks, above code, amid a line."""
+    code = "\n".join(f"int f{k}(int x) {{ return x + {k}; }}" for k in range(40))
+    mit = max((t for n, t in S.TEMPLATES if n == "MIT"), key=len)
+    bsd = max((t for n, t in S.TEMPLATES if n == "BSD-2-Clause"), key=len)
+    apache = max((t for n, t in S.TEMPLATES if n == "Apache-2.0" and t.startswith("Licensed")), key=len)
+    texts = [wrapped(mit, 80, " * ") + "\n" + code, wrapped(apache, 72, "# ") + "\n" + code, code + "\n// " + bsd + "\n" + code, "It is all there. Released under the MIT License. Use it as you like, with or without much thought about it.", code]
+    got = {r.doc_id: r.license for r in S.scan_licenses(make_docs([*enumerate(texts)])).collect()}
+    assert got == {0: "MIT", 1: "Apache-2.0", 2: "BSD-2-Clause", 3: "MIT", 4: None}
+
+
+def test_templates_of_a_folder(spark, make_docs, tmp_path):
+    body = " ".join(f"clause{k} says thing{k % 9}" for k in range(900))
+    (tmp_path / "Own-1.0.txt").write_text(body)
+    templates = S.templates_from(spark, str(tmp_path))
+    assert templates == (("Own-1.0", body),)
+    got = {r.doc_id: (r.license, r.start) for r in S.scan_licenses(make_docs([(1, "before it " + body + " after"), (2, "clause1 says no")]), templates).collect()}
+    assert got == {1: ("Own-1.0", 2), 2: (None, None)}
+
+
+def test_bounds_lose_nothing():
+    """Any set that reaches the least Dice value shares enough bigrams, and so one of the anchors."""
     for size in range(1, 60):
-        low, high = S.size_bounds(size)
+        need = S.least_shared(size)
         for n in range(1, 200):
-            assert (low <= n <= high) == (2 * min(n, size) / (n + size) >= S.MIN_DICE)
+            for c in range(1, min(n, size) + 1):
+                assert 2 * c < S.MIN_DICE * (n + size) or c >= need
+        assert len(S.anchors([f"a{k} b" for k in range(size)])) == size - need + 1
 
 
 def test_plans_have_no_python(spark):
