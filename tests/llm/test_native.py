@@ -1,8 +1,11 @@
 """URL rules and licence scans: brute force, odd rows, and plans without Python."""
 
+import itertools
+import math
 import random
 import re
 import textwrap
+from collections import Counter
 
 import pytest
 from conftest import SMALL
@@ -55,12 +58,78 @@ def test_mined_rules_equal_counting(spark):
         n = [b for t, b in rows if tokens <= t]
         assert r.confidence == pytest.approx(sum(n) / len(n)) and r.confidence >= 0.7 and r.support == pytest.approx(sum(n) / len(rows)) and r.index_token in tokens
         assert not any(o < tokens and found[o].confidence >= r.confidence for o in found)
+    judged = sorted(map(tuple, U.judge_urls(pages, rules, listed=()).collect()), key=repr)
+    assert judged == sorted(map(tuple, U.judge_urls(pages, rules, listed=(), map_rules=0).collect()), key=repr)
     for r in U.judge_urls(pages, rules, listed=()).collect():
         tokens = next((set(x.t) for x in pages.where(pages.page_id.eqNullSafe(r.page_id)).select(U.tokens_of(pages.url).alias("t")).collect()))
         sure = [o.confidence for t, o in found.items() if t <= tokens]
         assert (r.verdict, r.confidence) == (("block", max(sure)) if sure else ("allow", None))
 
 
+def plain_rules(rows, least, confidence, most_tokens=3):
+    """All rules by counting every combination: those surer than chance, without those that a smaller one implies."""
+    total, blocked = len(rows), sum(b for _, b in rows)
+    freq = Counter(t for tokens, _ in rows for t in tokens)
+    kept = {t for t, c in freq.items() if least <= c <= U.COMMON * total}
+    # tokens of the same pages count as the first of them
+    pages = {t: frozenset(k for k, (tokens, _) in enumerate(rows) if t in tokens) for t in kept}
+    name = {t: min(u for u in kept if pages[u] == pages[t]) for t in kept}
+    sets, both = Counter(), Counter()
+    for tokens, b in rows:
+        own = sorted({name[t] for t in tokens if t in kept})
+        for size in range(1, most_tokens + 1):
+            for x in itertools.combinations(own, size):
+                sets[x] += 1
+                both[x] += b
+    sets = {x: n for x, n in sets.items() if n >= least}
+    bound, p = 2 * math.log(max(2, len(sets))) + 4, blocked / total
+
+    def ratio(k, n):
+        part = lambda k, n, p: k * math.log(k / (n * p)) if k > 0 else 0.0
+        return 2 * (part(k, n, p) + part(n - k, n, 1 - p) + part(blocked - k, total - n, p) + part(total - n - blocked + k, total - n, 1 - p))
+
+    found = {x: both[x] / n for x, n in sets.items() if both[x] >= least and both[x] / n >= confidence and both[x] / n > p and ratio(both[x], n) >= bound}
+    found = {x: c for x, c in found.items() if not any(set(o) < set(x) and found[o] >= c for o in found)}
+    return found | {(t,): found[name[t],] for t in kept if (name[t],) in found}
+
+
+def test_no_rule_is_missing(spark):
+    rng = random.Random(6)
+    words = [f"t{k}" for k in range(12)]
+    rows = []
+    for k in range(400):
+        tokens = set(rng.sample(words, rng.randint(1, 5))) | ({"x", "y"} if rng.random() < 0.2 else set())
+        bad = ("t1" in tokens and "t2" in tokens) or ("x" in tokens and rng.random() < 0.9) or rng.random() < 0.15
+        rows.append((frozenset(tokens | {"everywhere"}), bad))
+    labelled = spark.createDataFrame([(sorted(t), b, 7919 * k) for k, (t, b) in enumerate(rows)], "tokens array<string>, blocked boolean, page long")
+    for least, confidence in ((5, 0.6), (20, 0.5)):
+        got = {tuple(r.tokens): r.confidence for r in U.mine_rules(labelled, least / 400, confidence).collect()}
+        want = plain_rules(rows, least, confidence)
+        assert got == pytest.approx(want) and ("t1", "t2") in got and ("x",) in got and ("y",) in got
+
+
+def test_long_urls_that_repeat_end_soon(spark):
+    """Many tokens that always come together are one item, not all subsets of them."""
+    many = [f"z{k:02d}" for k in range(60)]
+    rows = [(["a", "b"], k % 2 == 0, k) for k in range(100)] + [(many, True, 1000 + k) for k in range(12)]
+    labelled = spark.createDataFrame(rows, "tokens array<string>, blocked boolean, page long")
+    rules = U.mine_rules(labelled).collect()
+    assert sorted(t for r in rules for t in r.tokens) == many and all(r.confidence == 1 for r in rules)
+    few = spark.createDataFrame([(many, True, 2000 + k) for k in range(2)] + rows[:100], "tokens array<string>, blocked boolean, page long")
+    assert U.mine_rules(few).count() == 0  # two pages are no evidence
+
+
+def test_rules_hold_on_pages_they_were_not_mined_from(spark):
+    """Blocked pages of the other half are bad more often than all of that half."""
+    folder = SMALL.replace("sf0.001", "sf0.1")
+    pages, labels = table(spark, folder, "pages", "page_id", "url"), table(spark, folder, "labels", "doc_id", "quality", "toxic")
+    rules = U.mine_rules(U.labelled_urls(pages, labels).where("page % 2 = 0"))
+    other = U.labelled_urls(pages, labels).where("page % 2 != 0")
+    hits = other.crossJoin(rules.select(rules.tokens.alias("left"))).where("size(array_except(left, tokens)) = 0").select("page", "blocked").distinct()
+    base, found = other.selectExpr("avg(int(blocked))").first()[0], hits.selectExpr("count(*) n", "avg(int(blocked)) share").first()
+    assert found.n == 0 or found.share > base
+
+
 def test_support_and_confidence_count_pages(spark):
     """A host with 39 of 40 pages blocked, whose pages differ in their numbers alone; copies of a URL count once."""
     urls = [f"http://{'bad' if k < 40 else 'fine'}.org/page/{k}" for k in range(80)]
