@@ -200,7 +200,7 @@ _SET = T.StructType([T.StructField("key", T.LongType()), T.StructField("grams",
 
 
 def _sets(ngram: int, pick):
-    """Sets of the documents picked by id (a Bloom bitmap: others may come along), 5 bytes of each hash."""
+    """Sets of the documents picked by id (a Bloom bitmap: others may come along)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bits = NgramHasher(ngram), pick.value
@@ -215,7 +215,7 @@ def _sets(ngram: int, pick):
                 found = {set_key(s): s for s in hasher.sets(column_bytes(part, "text")) if len(s)}
                 yield pa.RecordBatch.from_pydict({
                     "key": pa.array(list(found), pa.int64()),
-                    "grams": pa.array([_short(s).tobytes() for s in found.values()], pa.binary()),
+                    "grams": pa.array([s.tobytes() for s in found.values()], pa.binary()),
                 })
 
     return run
@@ -225,24 +225,14 @@ def _slot(ids: np.ndarray, slots: int) -> np.ndarray:
     return (_mix(ids.view(np.uint64)) % np.uint64(slots)).astype(np.int64)
 
 
-def _short(grams: np.ndarray) -> np.ndarray:
-    return np.unique(grams >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]
-
-
-def _long(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    return out.view(np.uint64).ravel()
-
-
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "y_grams"):
             good, last, grams = [], None, None
             for x, gx, gy in zip(column_list(block, "x"), column_list(block, "x_grams"), column_list(block, "y_grams")):
                 if x != last:
-                    last, grams = x, _long(gx)
-                other = _long(gy)
+                    last, grams = x, np.frombuffer(gx, np.uint64)
+                other = np.frombuffer(gy, np.uint64)
                 common = len(np.intersect1d(grams, other, assume_unique=True))
                 good.append(100 * common >= percent * (len(grams) + len(other) - common))
             yield block.select([0, 1]).filter(pa.array(good, pa.bool_()))
