@@ -144,12 +144,12 @@ def oracle(templates=TEMPLATES, min_dice: float = MIN_DICE) -> str:
 WITH template(license, size, grams) AS (VALUES {values}),
 clean AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents),
 doc AS (SELECT doc_id, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM clean WHERE len(w) > 1),
-place AS (SELECT doc_id, unnest(g) AS gram, unnest(generate_series(1, len(g))) AS at FROM doc),
+place AS (SELECT doc_id, unnest(g) AS gram, unnest(generate_series(1, len(g))) AS i FROM doc),
 owner AS (SELECT license, size, grams, unnest(grams) AS gram FROM template),
 win AS (
-  SELECT p.doc_id, at, license, grams, list_distinct(list_slice(doc.g, at, at + size - 1)) AS part
+  SELECT p.doc_id, i, license, grams, list_distinct(list_slice(doc.g, i, i + size - 1)) AS part
   FROM place p JOIN owner o ON o.gram = p.gram JOIN doc ON doc.doc_id = p.doc_id),
-dice AS (SELECT doc_id, at - 1 AS start, license, 2.0 * len(list_intersect(part, grams)) / (len(part) + len(grams)) AS dice FROM win),
+dice AS (SELECT doc_id, i - 1 AS start, license, 2.0 * len(list_intersect(part, grams)) / (len(part) + len(grams)) AS dice FROM win),
 hit AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, license DESC, start) AS k FROM dice WHERE dice >= {min_dice}),
 total AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS licenses FROM (SELECT DISTINCT doc_id, license FROM hit) GROUP BY doc_id)
