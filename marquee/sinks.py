@@ -6,6 +6,8 @@ files (a sort before the write range-partitions the rows, so part-00000, part-00
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,3 +56,49 @@ def save_by_id(df: DataFrame, path: str, key: str, *then: str, files: int | None
 def export_summaries(summaries: Mapping[str, DataFrame], base_path: str) -> dict[str, str]:
     """Each summary to its own CSV folder. Frames keep the order they were given (their own ``orderBy``)."""
     return save_tables(summaries, base_path, fmt="csv")
+
+
+_MANIFESTS = "_manifests"
+
+
+def save_snapshot(tables: Mapping[str, DataFrame], base_path: str) -> int:
+    """Write named frames as one new version under ``base_path`` and return its number, from 1.
+
+    Every version has folders of its own, and its manifest (which folder holds which table) comes last, by a rename to the
+    next free number. So a reader sees the tables of one version, whole, or the version before; a write that fails
+    leaves folders that no manifest names. Two writers at once get two numbers.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    base, version = base_path.rstrip("/"), f"data/{uuid.uuid4().hex}"
+    folders = {}
+    for name, df in tables.items():
+        folders[name] = f"{version}/{name}"
+        df.write.parquet(f"{base}/{folders[name]}")
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path_of(f"{base}/{_MANIFESTS}"))
+    draft = path_of(f"{base}/{_MANIFESTS}/_{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(folders, sort_keys=True).encode()))
+    out.close()
+    number = snapshot_version(spark, base) + 1
+    while fs.exists(path_of(f"{base}/{_MANIFESTS}/{number}.json")) or not fs.rename(draft, path_of(f"{base}/{_MANIFESTS}/{number}.json")):
+        number += 1
+    return number
+
+
+def snapshot_version(spark: SparkSession, base_path: str) -> int:
+    """Number of the newest version under ``base_path``; 0 if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base_path.rstrip('/')}/{_MANIFESTS}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+    return max((int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit()), default=0)
+
+
+def read_snapshot(spark: SparkSession, base_path: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The tables of one version (the newest by default), all of the same write."""
+    base, number = base_path.rstrip("/"), version or snapshot_version(spark, base_path)
+    if not number:
+        raise FileNotFoundError(f"no snapshot under {base}")
+    text = spark.read.text(f"{base}/{_MANIFESTS}/{number}.json", wholetext=True).first()["value"]
+    return {name: spark.read.parquet(f"{base}/{folder}") for name, folder in json.loads(text).items()}

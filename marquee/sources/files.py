@@ -7,8 +7,10 @@ data. CSV files are read as text with a header, as the sources ship; Parquet cop
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee import schemas
+from marquee.operators.quarantine import CORRUPT
 from marquee.schemas import CSV_OPTIONS
 
 # Fixed file names of a data-set folder.
@@ -19,13 +21,17 @@ TAGS_FILE = "tags.csv"
 _RAW = {"movies": schemas.RAW_MOVIES, "ratings": schemas.RAW_RATINGS, "tags": schemas.RAW_TAGS}
 
 
-def scan_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """Raw string columns of one source table from CSV with a header row.
 
     Leading and trailing spaces are kept (a title may end in spaces), doubled quotes inside a quoted field are one
     quote, and an empty field reads as null. ``multi_line`` allows line feeds inside quoted fields; such files cannot
-    be split among tasks, so it is off unless asked for.
+    be split among tasks, so it is off unless asked for. ``keep_corrupt`` adds the text of lines with too few or too many
+    fields as the column that ``operators.quarantine`` reads.
     """
+    if keep_corrupt:
+        schema = StructType([*_RAW[table].fields, StructField(CORRUPT, StringType())])
+        return spark.read.schema(schema).options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line).csv(path)
     return spark.read.schema(_RAW[table]).options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
 
 
