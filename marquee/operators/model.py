@@ -22,8 +22,10 @@ _UNDATED = -(2**63)
 _STEP, _BELOW = 10_000_000, -2_000_000
 
 
-def interactions(ratings: DataFrame, tags: DataFrame) -> DataFrame:
-    """One hash aggregate and one shuffle. ``max(struct(ts, rating))`` would need a sort-based aggregate (struct buffers
+def keyed_records(ratings: DataFrame, tags: DataFrame) -> DataFrame:
+    """``userId, movieId, place, rating``: a row per record, with its place in time and rating (null of a tag).
+
+    ``max(struct(ts, rating))`` would need a sort-based aggregate (struct buffers
     cannot be hash-aggregated), so time and rating are packed into one decimal key: ``ts * 10^7 + rating``, which
     orders as the pair does for every bigint ``ts`` and every rating between -10^6 and 10^6. A null rating (or one
     outside that range) ranks below every rating of its second. The aggregate is partial: a hot pair is combined before
@@ -41,8 +43,17 @@ def interactions(ratings: DataFrame, tags: DataFrame) -> DataFrame:
     tagged = tags.select(
         "userId", "movieId", F.lit(None).cast("decimal(35,6)").alias("place"), F.lit(None).cast("float").alias("rating")
     )
-    keyed = rated.unionByName(tagged).where(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
-    return keyed.groupBy("userId", "movieId").agg(F.max_by("rating", "place").alias("rating"))
+    return rated.unionByName(tagged).where(F.col("userId").isNotNull() & F.col("movieId").isNotNull())
+
+
+def latest_of_pairs(keyed: DataFrame) -> DataFrame:
+    """``userId, movieId, place, rating`` of the greatest place of each pair; merging such rows again gives the same."""
+    return keyed.groupBy("userId", "movieId").agg(F.max("place").alias("place"), F.max_by("rating", "place").alias("rating"))
+
+
+def interactions(ratings: DataFrame, tags: DataFrame) -> DataFrame:
+    """One row per rated or tagged pair, by one hash aggregate and one shuffle over ``keyed_records``."""
+    return keyed_records(ratings, tags).groupBy("userId", "movieId").agg(F.max_by("rating", "place").alias("rating"))
 
 
 def with_movies(interactions: DataFrame, movies: DataFrame) -> DataFrame:

@@ -509,7 +509,7 @@ UNION ALL SELECT 'totals', 'num_users', count(DISTINCT userId) FROM ratings
 UNION ALL SELECT 'totals', 'num_movies', count(DISTINCT movieId) FROM movies
 UNION ALL SELECT 'totals', 'num_genres', count(DISTINCT genre) FROM movie_genres
 UNION ALL SELECT 'totals', 'num_ratings', count(*) FROM ratings"""
-    q["snapshot_tables"] = q["save_tables"]
+    q["snapshot_tables"], q["interactions_upserted"] = q["save_tables"], q["interactions"]
     first = lambda *cases: "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for r, c in cases) + " ELSE 'none' END"
     missing = lambda *names: [(f"missing {n}", f'"{n}" IS NULL') for n in names]
     bad = lambda name, kind: (f"malformed {name}", f'TRY_CAST("{name}" AS {kind}) IS NULL')

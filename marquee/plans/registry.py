@@ -36,6 +36,7 @@ from marquee.session import scratch_dir
 from marquee.sinks import read_csv, read_snapshot, save_as_csv, save_snapshot, save_tables
 from marquee.sources import adapter
 from marquee.sources.files import scan_csv
+from marquee.streaming.upsert import InteractionStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,6 +187,16 @@ def _interactions(spark, sf_dir):
     return interactions(t.ratings, t.tags)
 
 
+def _interactions_upserted(spark, sf_dir):
+    """The interactions after three batches of ratings and one of tags were merged into a store, one of them twice."""
+    t = tables(spark, sf_dir)
+    store = InteractionStore(spark, scratch_dir(spark, "interaction-store"), buckets=8)
+    store.apply("tags", 0, tags=t.tags)
+    for batch_id, part in ((0, 2), (1, 0), (1, 0), (2, 1)):
+        store.apply("ratings", batch_id, ratings=t.ratings.where(F.pmod("movieId", F.lit(3)) == part))
+    return store.interactions()
+
+
 def _interactions_wide(spark, sf_dir):
     t = tables(spark, sf_dir)
     return interactions_wide(t.interactions, t.movies)
@@ -616,6 +627,7 @@ def queries() -> dict[str, Query]:
         "movie_genres": _movie_genres,
         "interactions": _interactions,
         "interactions_wide": _interactions_wide,
+        "interactions_upserted": _interactions_upserted,
         # lookups
         "user_ratings": _user_ratings,
         "user_ratings_unknown": _user_ratings_unknown,

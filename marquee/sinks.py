@@ -74,19 +74,31 @@ def save_snapshot(tables: Mapping[str, DataFrame], base_path: str) -> int:
     for name, df in tables.items():
         folders[name] = f"{version}/{name}"
         df.write.parquet(f"{base}/{folders[name]}")
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path_of(base).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path_of(f"{base}/{_MANIFESTS}"))
-    draft = path_of(f"{base}/{_MANIFESTS}/_{uuid.uuid4().hex}")
-    out = fs.create(draft, False)
-    out.write(bytearray(json.dumps(folders, sort_keys=True).encode()))
-    out.close()
     number = snapshot_version(spark, base) + 1
-    while fs.exists(path_of(f"{base}/{_MANIFESTS}/{number}.json")) or not fs.rename(draft, path_of(f"{base}/{_MANIFESTS}/{number}.json")):
+    while not commit_manifest(spark, base, folders, number):
         number += 1
     return number
 
 
+def commit_manifest(spark: SparkSession, base_path: str, content: dict, number: int) -> bool:
+    """Make ``content`` version ``number`` by a rename; false, and nothing changed, if that number is taken."""
+    folder, path_of = f"{base_path.rstrip('/')}/{_MANIFESTS}", spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path_of(folder))
+    draft, final = path_of(f"{folder}/_{uuid.uuid4().hex}"), path_of(f"{folder}/{number}.json")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+    out.close()
+    done = not fs.exists(final) and fs.rename(draft, final)
+    if not done:
+        fs.delete(draft, False)
+    return done
+
+
+def read_manifest(spark: SparkSession, base_path: str, number: int) -> dict:
+    return json.loads(spark.read.text(f"{base_path.rstrip('/')}/{_MANIFESTS}/{number}.json", wholetext=True).first()["value"])
+
+
 def snapshot_version(spark: SparkSession, base_path: str) -> int:
     """Number of the newest version under ``base_path``; 0 if there is none."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base_path.rstrip('/')}/{_MANIFESTS}")
@@ -100,5 +112,4 @@ def read_snapshot(spark: SparkSession, base_path: str, version: int | None = Non
     base, number = base_path.rstrip("/"), version or snapshot_version(spark, base_path)
     if not number:
         raise FileNotFoundError(f"no snapshot under {base}")
-    text = spark.read.text(f"{base}/{_MANIFESTS}/{number}.json", wholetext=True).first()["value"]
-    return {name: spark.read.parquet(f"{base}/{folder}") for name, folder in json.loads(text).items()}
+    return {name: spark.read.parquet(f"{base}/{folder}") for name, folder in read_manifest(spark, base, number).items()}

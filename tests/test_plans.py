@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL
 
-WRITERS = {"scan_movies", "scan_ratings", "scan_tags", "sink_csv_roundtrip", "save_tables", "export_summaries", "snapshot_tables", "quarantine_counts", "sketched_users_per_year", "report_one_pass", "indexed_title_contains", "indexed_genre_contains", "indexed_movies_by_year", "saved_user_ratings"}
+WRITERS = {"scan_movies", "scan_ratings", "scan_tags", "sink_csv_roundtrip", "save_tables", "export_summaries", "snapshot_tables", "interactions_upserted", "quarantine_counts", "sketched_users_per_year", "report_one_pass", "indexed_title_contains", "indexed_genre_contains", "indexed_movies_by_year", "saved_user_ratings"}
 MODEL = {"als_predictions", "als_predicted_records", "als_metrics", "recommendations", "recommendation_ranks", "recommend_all_users", "recommend_all_ranks", "top_inner_products", "cold_start_predictions"}
 CORE = {k for k in E.queries() if not (k == "pipeline" or k.startswith("op") and k[2].isdigit())}
 FORBIDDEN = ("SortAggregate", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "Exchange SinglePartition, ENSURE_REQUIREMENTS")
