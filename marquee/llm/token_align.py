@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +30,7 @@ from marquee.llm.bpe import load_byte_level
 from marquee.llm.common import blocks, column_list, table, written
 
 #: Bytes of text whose pairs are added up together, units kept in a worker's cache, and characters of the longest kept.
-CHUNK_BYTES, CACHE_UNITS, LONG_UNIT = 16 << 20, 150_000, 64
+CHUNK_BYTES, CACHE_UNITS, LONG_UNIT = 8 << 20, 150_000, 64
 #: Fixed value: the stand-in of a space inside pieces.
 SPACE = "▁"
 
@@ -159,8 +159,7 @@ class Aligner:
             found.update(zip(fresh, new))
             room = self.cache_units - len(cache)
             if room > 0:
-                # copies, so that a kept unit does not hold the pairs of its whole block
-                cache.update((u, x._replace(pairs=x.pairs.copy())) for (u, x), _ in zip(((u, x) for u, x in zip(fresh, new) if len(u) <= LONG_UNIT), range(room)))
+                cache.update(islice(((u, x) for u, x in zip(fresh, new) if len(u) <= LONG_UNIT), room))
         return found
 
 
@@ -189,24 +188,26 @@ class _Chunk:
     def __init__(self, number: int):
         self.number, self.size = number, 0
         self.rows: list[tuple] = []
+        # distinct pairs of all documents in a row, how often, and how many each document has
         self.codes: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         """Document rows, then a row for each distinct pair with the number of documents that hold it. A document names
         its pairs by their place in that list, the frequent ones first, as steps from one to the next."""
-        sizes = [len(c) for c in self.codes]
+        ends = np.cumsum(np.concatenate(self.sizes)).tolist()
         codes, place, docs = np.unique(np.concatenate(self.codes), return_inverse=True, return_counts=True)
         order = np.argsort(-docs, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        at, pairs, times = 0, [], []
-        for size, n in zip(sizes, self.times):
-            mine = rank[place[at : at + size]]
-            at, turn = at + size, np.argsort(mine)
+        every, count, pairs, times = rank[place], np.concatenate(self.times), [], []
+        for start, end in zip([0, *ends], ends):
+            mine = every[start:end]
+            turn = np.argsort(mine)
             pairs.append(planes(np.diff(mine[turn], prepend=0)))
-            times.append(planes(n[turn]))
-        yield self._batch(len(sizes), {c: pa.array(x, pa.string() if c.startswith("groups") else pa.int64()) for c, x in zip([*_DOCUMENT, "groups_sha256", "groups"], zip(*self.rows))} | {"pairs": pa.array(pairs, pa.binary()), "times": pa.array(times, pa.binary())})
+            times.append(planes(count[start:end][turn]))
+        yield self._batch(len(ends), {c: pa.array(x, pa.string() if c.startswith("groups") else pa.int64()) for c, x in zip([*_DOCUMENT, "groups_sha256", "groups"], zip(*self.rows))} | {"pairs": pa.array(pairs, pa.binary()), "times": pa.array(times, pa.binary())})
         codes, docs = codes[order], docs[order]
         for k in range(0, len(codes), 1 << 16):
             part = codes[k : k + (1 << 16)]
@@ -231,29 +232,32 @@ def _chunks(path_a: str, path_b: str, chunk_bytes: int, with_groups: bool):
             place = {u: k for k, u in enumerate(units)}
             every = list(units.values())
             names = [u.groups for u in every]
-            counts = np.array([(u.n_a, u.n_b, u.n_groups, len(u.pairs)) for u in every], np.int64).reshape(-1, 4)
-            codes, code_of = np.unique(np.concatenate([u.pairs for u in every]) if every else np.zeros(0, np.int64), return_inverse=True)
+            counts = np.array([(u.n_a, u.n_b, u.n_groups, len(u.pairs), u.groups is None) for u in every], np.int64).reshape(-1, 5)
+            codes, code_of = np.unique(np.concatenate([_NO_PAIRS, *[u.pairs for u in every]]), return_inverse=True)
             begin = np.cumsum(counts[:, 3]) - counts[:, 3]
-            for doc, text, own in zip(column_list(block, "doc_id"), texts, cut):
-                at = [place[u] for u in own]
-                parts = [names[k] for k in at]
-                if not own or None in parts:
-                    chunk.rows.append((doc, 0, 0, 0, 0, "", ""))
-                    chunk.codes.append(np.zeros(0, np.int64))
-                    chunk.times.append(np.zeros(0, np.int64))
-                else:
-                    joined = ";".join(parts)
-                    at = np.array(at)
-                    chunk.rows.append((doc, *counts[at].sum(axis=0).tolist(), hashlib.sha256(joined.encode()).hexdigest(), joined if with_groups else None))
-                    many = counts[at, 3]
-                    inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                    mine, times = np.unique(code_of[np.repeat(begin[at], many) + inside], return_counts=True)
-                    chunk.codes.append(codes[mine])
-                    chunk.times.append(times)
-                chunk.size += len(text)
-                if chunk.size >= chunk_bytes:
-                    yield from chunk.batches()
-                    chunk = _Chunk(number := number + 1)
+            # all units of all documents in a row
+            own = [[place[u] for u in units] for units in cut]
+            sizes = _sizes(own)
+            at, doc_of = _flat(own), np.repeat(np.arange(len(own)), sizes)
+            sums = np.stack([np.bincount(doc_of, counts[at, k], len(own)) for k in range(5)], axis=1).astype(np.int64)
+            good = (sums[:, 4] == 0) & (sizes > 0)
+            sums[~good] = 0
+            for doc, k, ok, row in zip(column_list(block, "doc_id"), own, good.tolist(), sums[:, :4].tolist()):
+                joined = ";".join([names[x] for x in k]) if ok else ""
+                chunk.rows.append((doc, *row, hashlib.sha256(joined.encode()).hexdigest() if ok else "", joined if with_groups else None))
+            kept = good[doc_of]
+            at, doc_of = at[kept], doc_of[kept]
+            many = counts[at, 3]
+            inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            found, times = np.unique(np.repeat(doc_of, many) * len(codes) + code_of[np.repeat(begin[at], many) + inside], return_counts=True)
+            doc_of, code = np.divmod(found, max(1, len(codes)))
+            chunk.codes.append(codes[code])
+            chunk.times.append(times)
+            chunk.sizes.append(np.bincount(doc_of, minlength=len(own)))
+            chunk.size += sum(map(len, texts))
+            if chunk.size >= chunk_bytes:
+                yield from chunk.batches()
+                chunk = _Chunk(number := number + 1)
         if chunk.rows:
             yield from chunk.batches()
 
