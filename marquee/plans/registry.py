@@ -527,6 +527,11 @@ def _model(spark: SparkSession, sf_dir: str):
     return hit[1], hit[2]
 
 
+def forget_models() -> None:
+    """The next query that needs the model trains it."""
+    _MODELS.clear()
+
+
 def _als_split_counts(spark, sf_dir):
     return recommend.split_counts(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
 
