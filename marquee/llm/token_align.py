@@ -29,8 +29,9 @@ from marquee.llm import token_codec, token_counts
 from marquee.llm.bpe import load_byte_level
 from marquee.llm.common import blocks, column_list, table, written
 
-#: Bytes of text whose pairs are added up together, units kept in a worker's cache, and characters of the longest kept.
-CHUNK_BYTES, CACHE_UNITS, LONG_UNIT = 8 << 20, 150_000, 64
+#: Bytes of text whose pairs are added up together, and that are aligned at once; units kept in a worker's cache, and
+#: characters of the longest kept.
+CHUNK_BYTES, ALIGN_BYTES, CACHE_UNITS, LONG_UNIT = 8 << 20, 1 << 20, 150_000, 64
 #: Fixed value: the stand-in of a space inside pieces.
 SPACE = "▁"
 
@@ -225,7 +226,7 @@ def _chunks(path_a: str, path_b: str, chunk_bytes: int, with_groups: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, number = Aligner(path_a, path_b), TaskContext.get().partitionId() << 32
         chunk = _Chunk(number)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", ALIGN_BYTES):
             texts = [t or "" for t in column_list(block, "text")]
             cut = aligner.units(texts)
             units = aligner.lookup(cut)

@@ -163,6 +163,56 @@ def test_first_occurrences_are_the_same_element_with_and_without_repeats():
         assert np.array_equal(O.kmers(whole)[: same - O.KMER + 1], O.kmers(edited)[: same - O.KMER + 1])
 
 
+def plain_fingerprint(text):
+    """Order MinHash word by word in whole numbers, from the method's description and the fixed multipliers only."""
+    full = (1 << 64) - 1
+
+    def mixed(x):
+        for shift, by in ((31, 0x7FB5D329728EA185), (27, 0x81DADEF4BC2DD44D)):
+            x = (x ^ (x >> shift)) * by & full
+        return x ^ (x >> 33)
+
+    size, seen, items = min(12, len(text)), {}, []
+    for at in range(len(text) - size + 1 if text else 0):
+        part = text[at : at + size]
+        h = 0
+        for c in part:
+            h = (h * 0x5851F42D4C957F2D + ord(c) + 1) & full
+        h, number = mixed((h + size) & full), seen.get(part, 0)
+        seen[part] = number + 1
+        items.append(mixed((h + number * 0x9E3779B97F4A7C15) & full) if number else h)
+    out = []
+    for m in O._MULTIPLIERS.tolist():
+        least = sorted(range(len(items)), key=lambda k: (((items[k] >> 32) * m) & 0xFFFFFFFF, k))[:2]
+        total = len(least)
+        for k in sorted(least):
+            total = mixed((total * 0x9E3779B97F4A7C15 + items[k]) & full)
+        out.append(f"{total >> 32:08x}")
+    return "".join(out)
+
+
+def test_fingerprints_equal_a_plain_computation():
+    rng = random.Random(11)
+    for n in (0, 1, 5, 11, 12, 13, 14, 60, 300):
+        for letters in ("ab c", "aé日😀 bcdefgh", "a"):
+            text = "".join(rng.choice(letters) for _ in range(n))
+            assert O.as_text(O.fingerprint(text)) == plain_fingerprint(text)
+
+
+def test_likeness_falls_with_the_edits():
+    rng = random.Random(12)
+    text = "".join(rng.choice("abcdefghijklmnop ") for _ in range(2000))
+    own, last = O.fingerprint(text), 1.0
+    for edits in (2, 20, 100):
+        t = list(text)
+        for k in rng.sample(range(len(t)), edits):
+            t[k] = "#"
+        now = O.likeness(own, O.fingerprint("".join(t)))
+        assert now < last
+        last = now
+    assert last < 0.35
+
+
 def test_order_matters():
     parts = ["the quick brown fox jumps", "over the lazy dog again and", "while nobody looks at it", "for a very long time indeed"]
     text, turned = " ".join(parts * 3), " ".join(parts[::-1] * 3)

@@ -100,6 +100,14 @@ def test_counts_of_every_prefix(counter, pieces):
         assert token_counts.counts_of(counter.block_deltas([text])[0]).tolist() == [len(pieces.encode(text[:k])) for k in range(len(text) + 1)]
 
 
+def test_counts_of_all_code_points(counter, pieces):
+    """Every code point there is, between letters, spaces and other code points of its neighbourhood."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{chr(c)}b {chr(c)}{chr(c)}" for c in points[k : k + 512]) for k in range(0, len(points), 512)]
+    got = [int(token_counts.counts_of(d)[-1]) for d in counter.block_deltas(texts)]
+    assert got == [len(x) for x in pieces.encode(texts)]
+
+
 def test_counts_of_whole_texts(counter, pieces):
     texts = random_texts(800, seed=9) + [" " * k + "a" + " " * k for k in range(20)]
     assert [int(token_counts.counts_of(d)[-1]) for d in counter.block_deltas(texts)] == [len(x) for x in pieces.encode(texts)]
