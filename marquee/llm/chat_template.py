@@ -9,10 +9,16 @@ and is never held as a whole. The language has no calls, no attributes of Python
     {% if test %} ... {% elif test %} ... {% else %} ... {% endif %}
     {% set name = expression %}
     {% generation %} ... {% endgeneration %}    text that counts for the loss
-
-Expressions: strings, whole numbers, true, false, names, ``message.role``, ``message.text``, ``loop.first``,
-``loop.last``, ``loop.index``, ``+``, ``==``, ``!=``, ``in``, ``not``, ``and``, ``or``, parentheses, and the filters
-``escape``, ``escape_line``, ``trim``, ``upper``, ``lower``.
+    {# comment #}, and a minus inside a tag's border ({%- -%}) takes the white space beside it away
+
+Expressions: strings, whole numbers, true, false, none, names, ``message.role``, ``message.text`` (or ``content``),
+``loop.first``, ``loop.last``, ``loop.index``, ``loop.index0``, ``messages[0].role`` and the like of the first message, fields
+also as ``message['role']``, ``+``, ``%``, ``==``, ``!=``, ``in``, ``not in``, ``is (not) defined``, ``is (not) none``, ``not``,
+``and``, ``or``, parentheses, the filters ``escape``, ``escape_line``, ``trim``, ``upper``, ``lower``, the text methods ``strip()``,
+``upper()``, ``lower()``, and ``raise_exception(text)``. Names come from ``set`` and from the variables given to the template
+(``add_generation_prompt``, ``bos_token`` and so on); others are empty and not defined. With ``trim_blocks`` a line feed
+after a block tag goes, and so do blanks before one at the start of a line, as published chat templates expect. So the
+templates of many models compile as they are, those that index or slice other messages excepted.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,11 +68,15 @@ def unescape(text: str) -> str:
 
 
 FILTERS: dict[str, Callable[[str], str]] = {"escape": escape, "escape_line": escape_line, "trim": str.strip, "upper": str.upper, "lower": str.lower}
-FIELDS = {"message": ("role", "text"), "loop": ("first", "last", "index")}
+FIELDS = {"message": ("role", "text", "content"), "loop": ("first", "last", "index", "index0")}
+METHODS = {"strip": "trim", "upper": "upper", "lower": "lower"}
+#: Names of the language, which are no variables.
+_WORDS = ("or", "and", "not", "in", "is")
+_CONSTANTS = {"true": True, "True": True, "false": False, "False": False, "none": None, "None": None}
 
 # Syntax: tuples, the kind first -------------------------------------------------------------------------
 
-_TOKEN = re.compile(r"\s*(?:(?P<str>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<num>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|[+().|]))", re.S)
+_TOKEN = re.compile(r"\s*(?:(?P<str>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<num>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|[+%().|\[\]]))", re.S)
 _ESCAPES = {"n": "\n", "t": "\t"}
 
 
@@ -117,19 +128,51 @@ class _Expression:
             self.take()
             return ("not", self.negation())
         tree = self.sum()
-        while self.peek("==", "!=", "in"):
-            tree = (self.take()[1], tree, self.sum())
-        return tree
+        while True:
+            if self.peek("==", "!=", "in"):
+                tree = (self.take()[1], tree, self.sum())
+            elif self.peek("not"):
+                self.take()
+                self.expect("in")
+                tree = ("not", ("in", tree, self.sum()))
+            elif self.peek("is"):
+                tree = self.test(tree)
+            else:
+                return tree
+
+    def test(self, tree):
+        """``is defined`` and ``is none``, each with or without ``not``."""
+        self.take()
+        turned = self.peek("not")
+        if turned:
+            self.take()
+        word = self.take()[1]
+        if word not in ("defined", "none"):
+            raise TemplateError(f"no test {word!r}")
+        found = ("defined", tree) if word == "defined" else ("none", tree)
+        return ("not", found) if turned else found
+
+    def expect(self, value: str):
+        if not self.peek(value):
+            raise TemplateError(f"{value!r} is missing")
+        self.take()
 
     def sum(self):
         tree = self.filtered()
-        while self.peek("+"):
-            self.take()
-            tree = ("+", tree, self.filtered())
+        while self.peek("+", "%"):
+            tree = (self.take()[1], tree, self.filtered())
         return tree
 
     def filtered(self):
         tree = self.atom()
+        while self.peek("."):
+            self.take()
+            name = self.take()[1]
+            if name not in METHODS:
+                raise TemplateError(f"no method {name!r}")
+            self.expect("(")
+            self.expect(")")
+            tree = ("filter", METHODS[name], tree)
         while self.peek("|"):
             self.take()
             kind, name = self.take()
@@ -150,33 +193,62 @@ class _Expression:
                 raise TemplateError("a parenthesis stays open")
             self.take()
             return tree
-        if kind != "name" or value in ("or", "and", "not", "in"):
+        if kind != "name" or value in _WORDS:
             raise TemplateError(f"unexpected {value!r}")
-        if value in ("true", "false"):
-            return ("const", value == "true")
-        if not self.peek("."):
-            return ("name", value)
-        self.take()
-        field = self.take()[1]
-        if field not in FIELDS.get(value, ()):
-            raise TemplateError(f"no field {value}.{field}")
-        return ("field", value, field)
-
-
-_TAG = re.compile(r"\{\{(.*?)\}\}|\{%(.*?)%\}", re.S)
-
-
-def parse(source: str):
+        if value in _CONSTANTS:
+            return ("const", _CONSTANTS[value])
+        if value == "raise_exception":
+            self.expect("(")
+            tree = self.either()
+            self.expect(")")
+            return ("raise", tree)
+        if value == "messages":
+            self.expect("[")
+            if self.take() != ("num", "0"):
+                raise TemplateError("of the messages, only messages[0] has a name")
+            self.expect("]")
+            return ("field", "first", self.field("message"))
+        if value in FIELDS and self.peek(".", "["):
+            return ("field", value, self.field(value))
+        return ("name", value)
+
+    def field(self, of: str) -> str:
+        """``.name`` or ``['name']`` of a message or the loop."""
+        opened = self.take()[1]
+        kind, name = self.take() if opened in (".", "[") else ("", opened)
+        if opened == "[":
+            self.expect("]")
+            name = name[1:-1] if kind == "str" else ""
+        if name not in FIELDS[of]:
+            raise TemplateError(f"no field {of}.{name}")
+        return "text" if name == "content" else name
+
+
+_TAG = re.compile(r"\{\{(?P<out>.*?)\}\}|\{%(?P<tag>.*?)%\}|\{#(?P<note>.*?)#\}", re.S)
+
+
+def parse(source: str, trim_blocks: bool = False):
     """The syntax tree of a template: ("block", [nodes])."""
-    parts, at = [], 0
+    parts, at, eat = [], 0, ""  # eat: what the tag before takes away from the text that follows
     for m in _TAG.finditer(source):
-        if m.start() > at:
-            parts.append(("text", source[at : m.start()]))
-        parts.append(("out", m[1]) if m[1] is not None else ("tag", m[2].strip()))
+        inside = m[m.lastgroup]
+        text = _after(source[at : m.start()], eat)
+        if inside.startswith("-"):
+            text = text.rstrip()
+        elif trim_blocks and m.lastgroup != "out":
+            line = source[source.rfind("\n", 0, m.start()) + 1 : m.start()]
+            if not line.strip(" \t"):
+                text = text.rstrip(" \t")
+        if text:
+            parts.append(("text", text))
+        eat = "all" if inside.endswith("-") else "line" if trim_blocks and m.lastgroup != "out" else ""
+        inside = inside.removeprefix("-").removesuffix("-")
+        if m.lastgroup != "note":
+            parts.append(("out", inside) if m.lastgroup == "out" else ("tag", inside.strip()))
         at = m.end()
-    if at < len(source):
-        parts.append(("text", source[at:]))
-    if any("{{" in p[1] or "{%" in p[1] for p in parts if p[0] == "text"):
+    if rest := _after(source[at:], eat):
+        parts.append(("text", rest))
+    if any("{{" in p[1] or "{%" in p[1] or "{#" in p[1] for p in parts if p[0] == "text"):
         raise TemplateError("a tag stays open")
     tree, end = _block(parts, 0, (), False)
     if end != len(parts):
@@ -184,6 +256,10 @@ def parse(source: str):
     return tree
 
 
+def _after(text: str, eat: str) -> str:
+    return text.lstrip() if eat == "all" else text.removeprefix("\n") if eat == "line" else text
+
+
 def _block(parts, at: int, stops: tuple[str, ...], looping: bool):
     nodes = []
     while at < len(parts):
@@ -217,7 +293,7 @@ def _block(parts, at: int, stops: tuple[str, ...], looping: bool):
                 nodes.append(("generation", body))
             elif word == "set":
                 name, _, expression = rest.partition("=")
-                if not re.fullmatch(r"[A-Za-z_]\w*", name.strip()) or name.strip() in FIELDS:
+                if not re.fullmatch(r"[A-Za-z_]\w*", name.strip()) or name.strip() in {*FIELDS, *_WORDS, *_CONSTANTS, "messages", "raise_exception"}:
                     raise TemplateError(f"no name to set: {name.strip()!r}")
                 nodes.append(("set", name.strip(), _Expression(expression).parse()))
             else:
@@ -241,10 +317,17 @@ _PURE: dict[str, Callable] = {
     "==": lambda a, b: a == b,
     "!=": lambda a, b: a != b,
     "in": lambda a, b: _text(a) in _text(b),
+    "%": lambda a, b: _remainder(a, b),
     "+": lambda a, b: a + b if isinstance(a, int) and isinstance(b, int) else _text(a) + _text(b),
 }
 
 
+def _remainder(a, b):
+    if not isinstance(a, int) or not isinstance(b, int) or not b:
+        raise TemplateError("% takes whole numbers, the second not 0")
+    return a % b
+
+
 def _text(value) -> str:
     return value if isinstance(value, str) else "" if value is None else str(value).lower() if isinstance(value, bool) else str(value)
 
@@ -262,6 +345,11 @@ def fold(tree):
     if kind == "not":
         a = fold(tree[1])
         return ("const", not a[1]) if a[0] == "const" else ("not", a)
+    if kind in ("defined", "none"):
+        a = fold(tree[1])
+        return ("const", a[1] is None if kind == "none" else True) if a[0] == "const" else (kind, a)
+    if kind == "raise":
+        return ("raise", fold(tree[1]))
     if kind == "filter":
         a = fold(tree[2])
         return ("const", FILTERS[tree[1]](_text(a[1]))) if a[0] == "const" else ("filter", tree[1], a)
@@ -308,8 +396,13 @@ class _State:
 
     __slots__ = ("messages", "values", "loss")
 
-    def __init__(self, messages: Iterable[tuple[str, str]]):
-        self.messages, self.values, self.loss = messages, {}, False
+    def __init__(self, messages: Iterable[tuple[str, str]], variables: dict):
+        messages = iter(messages)
+        head = next(messages, None)  # one message ahead, for ``messages[0]``
+        self.messages = messages if head is None else chain((head,), messages)
+        self.values, self.loss = dict(variables), False
+        if head is not None:
+            self.values |= {("first", "role"): head[0], ("first", "text"): head[1]}
 
 
 def _value(tree) -> Callable[[_State], object]:
@@ -323,6 +416,19 @@ def _value(tree) -> Callable[[_State], object]:
     if kind == "not":
         inner = _value(tree[1])
         return lambda s: not inner(s)
+    if kind == "defined":
+        key = (tree[1][1] if tree[1][0] == "name" else tuple(tree[1][1:])) if tree[1][0] in ("name", "field") else None
+        return lambda s: key is None or key in s.values
+    if kind == "none":
+        inner = _value(tree[1])
+        return lambda s: inner(s) is None
+    if kind == "raise":
+        inner = _value(tree[1])
+
+        def stop(s):
+            raise TemplateError(_text(inner(s)))
+
+        return stop
     if kind == "filter":
         function, inner = FILTERS[tree[1]], _value(tree[2])
         return lambda s: function(_text(inner(s)))
@@ -388,16 +494,17 @@ def _closure(tree) -> Callable[[_State], Iterator[tuple[str, bool]]]:
         following, index = next(messages, None), 0
         while following is not None:
             (role, text), following, index = following, next(messages, None), index + 1
-            s.values |= {("message", "role"): role, ("message", "text"): text, ("loop", "first"): index == 1, ("loop", "last"): following is None, ("loop", "index"): index}
+            s.values |= {("message", "role"): role, ("message", "text"): text, ("loop", "first"): index == 1, ("loop", "last"): following is None, ("loop", "index"): index, ("loop", "index0"): index - 1}
             yield from body(s)
 
     return loop
 
 
-def compile_template(source: str) -> Callable[[Iterable[tuple[str, str]]], Iterator[tuple[str, bool]]]:
-    """A function from (role, text) messages to pieces (text, counts for the loss), in order and lazily."""
-    run = _closure(fold(parse(source)))
-    return lambda messages: run(_State(messages))
+def compile_template(source: str, variables: dict[str, str | int | bool | None] | None = None, trim_blocks: bool = False) -> Callable[[Iterable[tuple[str, str]]], Iterator[tuple[str, bool]]]:
+    """A function from (role, text) messages to pieces (text, counts for the loss), in order and lazily. ``variables`` are
+    names that the template may use."""
+    run = _closure(fold(parse(source, trim_blocks)))
+    return lambda messages: run(_State(messages, variables or {}))
 
 
 # Reading back -------------------------------------------------------------------------------------------
@@ -459,17 +566,17 @@ def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | No
             pass
 
 
-def format_conversations(conversations: DataFrame, template: str = CHAT_TEMPLATE) -> DataFrame:
+def format_conversations(conversations: DataFrame, template: str = CHAT_TEMPLATE, variables: dict[str, str | int | bool | None] | None = None, trim_blocks: bool = False) -> DataFrame:
     """The formatted text as pieces: conv_id, piece (from 0), text, in_loss. A conversation's text is its pieces in
     order; it is never one cell, so a conversation of any length takes bounded memory.
 
     Null roles and texts count as empty; repeated rows are turns of their own; rows without a conv_id are one
-    conversation. Other columns are not read.
+    conversation. Other columns are not read. ``variables`` and ``trim_blocks`` as in ``compile_template``.
     """
-    parse(template)
+    parse(template, trim_blocks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        render, out, held = compile_template(template), [], 0
+        render, out, held = compile_template(template, variables, trim_blocks), [], 0
         for conv_id, messages in _conversations(batches):
             for k, (text, loss) in enumerate(render(messages)):
                 out.append((conv_id, k, text, loss))

@@ -29,6 +29,34 @@ def test_the_sandbox_refuses(bad):
         C.compile_template(bad)
 
 
+def test_published_templates_compile_as_they_are(spark):
+    """Templates as models ship them, with the texts that they are known to give."""
+    chat = [("system", "Be kind."), ("user", "Hi"), ("assistant", " Hello ")]
+    give = lambda source, messages=chat, trim=True, **names: "".join(t for t, _ in C.compile_template(source, names, trim)(messages))
+    chatml = "{% for message in messages %}{{'<|im_start|>' + message['role'] + '\\n' + message['content'] + '<|im_end|>' + '\\n'}}{% endfor %}{% if add_generation_prompt %}{{ '<|im_start|>assistant\\n' }}{% endif %}"
+    plain = "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in chat)
+    assert give(chatml) == plain and give(chatml, add_generation_prompt=True) == plain + "<|im_start|>assistant\n"
+    with_system = "{% if messages[0]['role'] != 'system' %}{{ '<|im_start|>system\\nYou help.<|im_end|>\\n' }}{% endif %}" + chatml
+    assert give(with_system) == plain and give(with_system, chat[1:]).startswith("<|im_start|>system\nYou help.<|im_end|>\n<|im_start|>user")
+    lines = "{% for message in messages %}\n{% if message['role'] == 'user' %}\n{{ '<|user|>\\n' + message['content'] + eos_token }}\n{% elif message['role'] == 'system' %}\n{{ '<|system|>\\n' + message['content'] + eos_token }}\n{% elif message['role'] == 'assistant' %}\n{{ '<|assistant|>\\n'  + message['content'] + eos_token }}\n{% endif %}\n{% if loop.last and add_generation_prompt %}\n{{ '<|assistant|>' }}\n{% endif %}\n{% endfor %}"
+    assert give(lines, eos_token="</s>", add_generation_prompt=True) == "<|system|>\nBe kind.</s>\n<|user|>\nHi</s>\n<|assistant|>\n Hello </s>\n<|assistant|>\n"
+    turns = "{{ bos_token }}{% for message in messages %}{% if (message['role'] == 'user') != (loop.index0 % 2 == 0) %}{{ raise_exception('Roles must alternate') }}{% endif %}{% if message['role'] == 'user' %}{{ '[INST] ' + message['content'].strip() + ' [/INST]' }}{% else %}{{ message['content'] | trim + eos_token }}{% endif %}{% endfor %}"
+    assert give(turns, chat[1:], bos_token="<s>", eos_token="</s>") == "<s>[INST] Hi [/INST]Hello</s>"
+    with pytest.raises(C.TemplateError, match="alternate"):
+        give(turns, chat, bos_token="<s>", eos_token="</s>")
+    marked = "{%- for message in messages -%}\n  {# who #}\n  {{- message.role -}}  :\n  {%- if tools is defined and tools is not none %}T{% endif %}{% if message.role not in 'system' %}!{% endif %} \n{% endfor -%}  "
+    assert give(marked, trim=False) == "system: \nuser:! \nassistant:! \n" and give(marked, trim=False, tools="x").startswith("system:T")
+    rows = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(chat)], "conv_id long, turn long, role string, text string")
+    got = C.format_conversations(rows, chatml, {"add_generation_prompt": True}).orderBy("piece").collect()
+    assert "".join(r.text for r in got) == plain + "<|im_start|>assistant\n"
+
+
+@pytest.mark.parametrize("bad", ["{{ message['__class__'] }}", "{{ messages[1].role }}", "{{ messages }}", "{{ message['role'].format() }}", "{{ x is odd }}", "{{ x is }}", "{{ 'a'.join('b') }}", "{{ loop['last }}", "{% set messages = 1 %}", "{# open", "{{ x.__class__ }}", "{{ range(9) }}"])
+def test_the_sandbox_refuses_in_the_wider_language(bad):
+    with pytest.raises(C.TemplateError):
+        C.compile_template(bad)
+
+
 def test_nested_loops_are_refused():
     with pytest.raises(C.TemplateError):
         C.parse("{% for message in messages %}{% for message in messages %}{% endfor %}{% endfor %}")
