@@ -6,9 +6,10 @@ out symbols; a word of a shared symbol has the chance of its smoothed count insi
 words. So the tables of the states have a fixed size, whatever the vocabulary.
 
 Baum-Welch: every task adds up the expected transitions and symbols of its documents (scaled forward and backward
-recursions over many documents at once), the sums of all tasks give the next model. It starts from a few steps over a
-bounded sample; each pass after that covers all training documents. The score of a text is its exact log likelihood by
-the scaled forward recursion.
+recursions over many documents at once), the sums of all tasks give the next model. The training documents are dealt into
+parts by hash; a step takes up the sums of one part anew and keeps those of the others (incremental EM, Neal and Hinton
+1998), so a pass covers every training document once and betters the model after each part. The score of a text is its
+exact log likelihood by the scaled forward recursion.
 
 Word counts reach documents without sending the vocabulary to all tasks: chunks of documents name their distinct words,
 the words meet their counts by a join, and the answers go back to the chunk.
@@ -33,8 +34,8 @@ from marquee.llm.token_align import from_planes, planes
 
 #: Hidden states, most words with a symbol of their own, shared symbols, and last bytes of a word that choose one.
 STATES, FREQUENT, SHARED, TAIL = 12, 2048, 2048, 3
-#: About how many tokens the starting values are learnt from, steps over them, and passes over all training documents.
-START_TOKENS, START_STEPS, PASSES = 200_000, 12, 2
+#: Parts of the training documents, each with a step of its own, and passes over all of them.
+PARTS, PASSES = 8, 2
 #: Weight of the plain symbol shares in each state, and of an even share in transitions and first states, in tokens.
 PRIOR, PRIOR_STEP = 20.0, 1.0
 #: Bytes of text whose words are looked up together, distinct words that end a chunk early, and tokens worked on at once.
@@ -395,34 +396,36 @@ class LanguageModel:
 
     @cached_property
     def encoded(self) -> DataFrame:
-        """Every document as symbols, with its counts and the share of its words inside their symbols (log10)."""
+        """Every document as symbols, with its counts and the share of its words inside their symbols (log10); written by
+        ``part`` (-1: not learnt from), so that a step reads its own part only."""
         words, _, inside = self.alphabet
         total, distinct, ends = self.totals
         found = self.words.select(F.col("chunk").alias("of_chunk"), "at", "word").join(words, "word").select("of_chunk", "at", "total", "symbol")
-        return written(self.documents.groupBy("chunk").cogroup(found.groupBy("of_chunk")).applyInArrow(_encode(total, distinct, ends, inside), _ENCODED), "markov-symbols")
+        rows = self.documents.groupBy("chunk").cogroup(found.groupBy("of_chunk")).applyInArrow(_encode(total, distinct, ends, inside), _ENCODED)
+        part = F.when(F.col("learn"), F.pmod(F.xxhash64("doc_id", "symbols"), F.lit(PARTS))).otherwise(-1).cast("int")
+        return written(rows.withColumn("part", part), "markov-symbols", partition_by="part")
 
     @cached_property
     def model(self) -> Model:
         count = self.alphabet[1]
         plain = (count + 1) / (count.sum() + len(count))
-        learn = self.encoded.where("learn").select("doc_id", "n_tokens", "symbols")
-        share = min(1.0, START_TOKENS / max(1, self.totals[0]))
-        sample = learn.where(F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(1 << 20)) < share * (1 << 20)).select("symbols").collect()
-        texts = sorted((bytes(r["symbols"]) for r in sample), key=lambda b: (len(b), b))
         model = start(plain, self.states)
-        for _ in range(START_STEPS if texts else 0):
-            model = improved(expected(model, [_symbols(t) for t in texts]), plain)
-        for _ in range(self.passes if self.totals[2] else 0):
-            model = improved(self.expected(model), plain)
+        sums: dict[int, np.ndarray] = {}  # of each part, as last taken up
+        for turn in range(self.passes * PARTS if self.totals[2] else 0):
+            found = self.expected(model, turn % PARTS)
+            if found is not None:
+                sums[turn % PARTS] = found.flat()
+                model = improved(Sums.from_flat(np.sum(list(sums.values()), axis=0), self.states), plain)
         return model
 
-    def expected(self, model: Model) -> Sums:
-        """Expected counts of all training documents: added up by task, then over all tasks, a fixed size in the end."""
-        parts = self.encoded.where("learn").select("symbols").mapInArrow(_sums(model, self.block_tokens), "part int, salt int, sums binary")
+    def expected(self, model: Model, part: int) -> Sums | None:
+        """Expected counts of a part of the training documents (None: it has none): added up by task, then over all tasks, a
+        fixed size in the end."""
+        parts = self.encoded.where(F.col("part") == part).select("symbols").mapInArrow(_sums(model, self.block_tokens), "part int, salt int, sums binary")
         for key in (("part", "salt"), ("part",)):
             parts = parts.repartition(*key).mapInArrow(_added_by(key), ", ".join(f"{k} int" for k in key) + ", sums binary")
         rows = sorted(((r["part"], r["sums"]) for r in parts.collect()), key=lambda r: r[0])
-        return Sums.from_flat(np.concatenate([np.frombuffer(raw) for _, raw in rows]), self.states)
+        return Sums.from_flat(np.concatenate([np.frombuffer(raw) for _, raw in rows]), self.states) if rows else None
 
     def scores(self) -> DataFrame:
         """One row per input row: doc_id, held_out, n_tokens, n_known, base_score, score (log10)."""

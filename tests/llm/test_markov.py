@@ -156,3 +156,23 @@ def test_odd_rows_empty_table_and_no_training_rows(spark, odd, no_docs):
     unseen = H.LanguageModel(odd, F.lit(False))
     assert unseen.totals == (0, 0, 0)
     assert all(r.base_score == 0 and r.n_known == 0 and np.isfinite(r.score) for r in unseen.scores().collect())
+
+
+def test_every_training_document_is_learnt_from_in_each_pass(spark, make_docs):
+    """The model equals incremental EM in plain loops over all training documents, none of which is in two parts."""
+    docs = make_docs([(k, " ".join(f"w{(k * j) % (7 + k % 5)}" for j in range(k % 23))) for k in range(90)]).repartition(3)
+    m = H.LanguageModel(docs, fold("doc_id", H.FOLDS) != H.HELD_OUT, states=4)
+    rows = m.encoded.collect()
+    assert {r.doc_id for r in rows if r.part >= 0} == {k for k in range(90) if zlib.crc32(str(k).encode()) % 7 != 2}
+    assert all((r.part >= 0) == r.learn for r in rows) and len({r.part for r in rows}) > 3
+    count = m.alphabet[1]
+    plain = (count + 1) / (count.sum() + len(count))
+    want, sums = H.start(plain, 4), {}
+    for turn in range(H.PASSES * H.PARTS):
+        texts = [H._symbols(bytes(r.symbols)) for r in rows if r.part == turn % H.PARTS]
+        if texts:
+            sums[turn % H.PARTS] = H.expected(want, texts).flat()
+            want = H.improved(H.Sums.from_flat(sum(sums.values()), 4), plain)
+    for got, other in ((m.model.first, want.first), (m.model.step, want.step), (m.model.emit, want.emit)):
+        assert np.allclose(got, other, rtol=1e-6)
+    assert sum(H.Sums.from_flat(x, 4).first.sum() for x in sums.values()) == pytest.approx(m.totals[2])
