@@ -72,6 +72,10 @@ def interactions_wide(interactions: DataFrame, movies: DataFrame) -> DataFrame:
     )
 
 
+def _weight(parts: str):
+    return F.size(F.filter(parts, lambda part: part == F.col("genre"))).cast("bigint")
+
+
 def genre_parts(movies: DataFrame) -> DataFrame:
     """``movieId, title, genre, weight``: distinct genre parts of each movie with genres, ``weight`` = how often
     the part occurs in the movie's list (``A|A`` gives one row of weight 2). Movie-sized, never rating-sized."""
@@ -85,19 +89,27 @@ def genre_parts(movies: DataFrame) -> DataFrame:
             "movieId",
             "title",
             "genre",
-            F.size(F.filter("_parts", lambda part: part == F.col("genre"))).cast("bigint").alias("weight"),
+            _weight("_parts").alias("weight"),
         )
     )
 
 
-def interaction_genres(interactions: DataFrame, movies: DataFrame) -> DataFrame:
+def interaction_genres(interactions: DataFrame, movies: DataFrame, tasks: int | None = None) -> DataFrame:
     """The wide table with repeats folded: ``rating, userId, movieId, title, genre, weight``, one row per
     distinct (user, movie, genre). Every interaction-meaning operator accepts it in place of the wide table and
     weighs rows by ``weight``, which gives the wide table's results with plain counts instead of distinct
-    counts (one aggregation level, so one shuffle fewer)."""
-    return interactions.join(genre_parts(movies), "movieId", "inner").select(
-        "rating", "userId", "movieId", "title", "genre", "weight"
-    )
+    counts (one aggregation level, so one shuffle fewer).
+
+    Behind a join the rows of a task multiply by the genre parts, and an aggregate by user and genre keeps a group for
+    nearly each of them: ``tasks`` deals the joined pairs over so many tasks before they multiply, which bounds that memory
+    whatever the size of the join's partitions."""
+    if tasks is None:
+        joined = interactions.join(genre_parts(movies), "movieId", "inner")
+    else:
+        # by user and movie, which are distinct, so neither a hot user nor a hot movie fills a task
+        dealt = with_movies(interactions, movies).repartition(tasks, "userId", "movieId").withColumn("_parts", split_genres("genres"))
+        joined = dealt.withColumn("genre", F.explode(F.array_distinct("_parts"))).withColumn("weight", _weight("_parts"))
+    return joined.select("rating", "userId", "movieId", "title", "genre", "weight")
 
 
 def row_weight(wide: DataFrame):
@@ -105,11 +117,14 @@ def row_weight(wide: DataFrame):
     return F.col("weight") if "weight" in wide.columns else F.lit(1)
 
 
-def rated_genres(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+def rated_genres(ratings: DataFrame, movies: DataFrame, tasks: int | None = None) -> DataFrame:
     """Rating meaning: one row per (rating record, genre part of its movie); records of unknown movies drop out.
 
     Same rows as ratings joined to movies joined to the (movie, genre) table, with one join instead of two
-    because the genre table is the explode of the movies table.
+    because the genre table is the explode of the movies table. ``tasks`` as in ``interaction_genres``.
     """
+    if tasks is not None:
+        dealt = ratings.join(movies.select("movieId", "genres"), "movieId", "inner").repartition(tasks, "userId", "movieId", "rating")
+        return dealt.withColumn("genre", F.explode(split_genres("genres"))).drop("genres")
     genres = movies.select("movieId", F.explode(split_genres("genres")).alias("genre"))
     return ratings.join(genres, "movieId", "inner")

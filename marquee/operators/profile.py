@@ -196,14 +196,15 @@ def pick_users(df: DataFrame, user_ids: Iterable[int] | DataFrame | None) -> Dat
 
 
 def user_genre_profile(
-    ratings: DataFrame, movies: DataFrame, user_ids: Iterable[int] | DataFrame | None = None
+    ratings: DataFrame, movies: DataFrame, user_ids: Iterable[int] | DataFrame | None = None, tasks: int | None = None
 ) -> DataFrame:
     """``userId, genre, Average_Rating, watchings`` per (user, genre) over rating records of known movies:
     mean rounded half up to 2 decimals, and the number of records. ``user_ids`` limits it to some users (a list,
-    or a frame with ``userId``); the limit applies before the join, so only their records are read on."""
+    or a frame with ``userId``); the limit applies before the join, so only their records are read on. ``tasks`` as in
+    ``model.interaction_genres``."""
     picked = pick_users(ratings, user_ids)
     return (
-        rated_genres(picked, movies)
+        rated_genres(picked, movies, tasks)
         .groupBy("userId", "genre")
         .agg(round2(F.avg("rating")).alias("Average_Rating"), F.count("userId").alias("watchings"))
     )

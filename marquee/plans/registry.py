@@ -321,7 +321,7 @@ def _user_genre_count(spark, sf_dir):
 
 
 def _user_genre_count_all(spark, sf_dir):
-    return profile.count_watched_genres(tables(spark, sf_dir).genre_rows)
+    return profile.count_watched_genres(tables(spark, sf_dir).spread_genre_rows)
 
 
 def _movie_summary_by_id(spark, sf_dir):
@@ -335,19 +335,19 @@ def _movie_summary_by_title(spark, sf_dir):
 
 
 def _user_genre_stats(spark, sf_dir):
-    return profile.genre_stats(tables(spark, sf_dir).genre_rows)
+    return profile.genre_stats(tables(spark, sf_dir).spread_genre_rows)
 
 
 def _user_watch_cutoff(spark, sf_dir):
-    return profile.with_cutoff(profile.genre_stats(tables(spark, sf_dir).genre_rows))
+    return profile.with_cutoff(profile.genre_stats(tables(spark, sf_dir).spread_genre_rows))
 
 
 def _favourite_genres(spark, sf_dir):
-    return profile.favourite_genres(tables(spark, sf_dir).genre_rows)
+    return profile.favourite_genres(tables(spark, sf_dir).spread_genre_rows)
 
 
 def _favourite_genres_strict(spark, sf_dir):
-    return profile.favourite_genres_strict(tables(spark, sf_dir).genre_rows)
+    return profile.favourite_genres_strict(tables(spark, sf_dir).spread_genre_rows)
 
 
 def _favourite_genre_of_user(spark, sf_dir):
@@ -355,15 +355,15 @@ def _favourite_genre_of_user(spark, sf_dir):
 
 
 def _favourite_genre_all_users(spark, sf_dir):
-    return profile.favourite_genre_per_user(tables(spark, sf_dir).genre_rows)
+    return profile.favourite_genre_per_user(tables(spark, sf_dir).spread_genre_rows)
 
 
 def _favourite_genre_counts(spark, sf_dir):
-    return profile.favourite_genre_counts(tables(spark, sf_dir).genre_rows)
+    return profile.favourite_genre_counts(tables(spark, sf_dir).spread_genre_rows)
 
 
 def _genre_user_counts(spark, sf_dir):
-    return profile.genre_user_counts(tables(spark, sf_dir).genre_rows)
+    return profile.genre_user_counts(tables(spark, sf_dir).spread_genre_rows)
 
 
 def _user_genre_ratings(spark, sf_dir):
@@ -379,7 +379,7 @@ def _genre_rating_histogram(spark, sf_dir):
 
 
 def _genre_rating_histogram_all(spark, sf_dir):
-    return distribution.genre_rating_histogram(tables(spark, sf_dir).genre_rows, None, P.HISTOGRAM_BINS)
+    return distribution.genre_rating_histogram(tables(spark, sf_dir).spread_genre_rows, None, P.HISTOGRAM_BINS)
 
 
 def _movie_rating_histogram(spark, sf_dir):
@@ -418,12 +418,12 @@ def _user_genre_profile(spark, sf_dir):
 
 def _user_genre_profile_all(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return profile.user_genre_profile(t.ratings, t.movies)
+    return profile.user_genre_profile(t.ratings, t.movies, tasks=t.tasks)
 
 
 def _user_taste_thresholds(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return profile.user_taste_thresholds(profile.user_genre_profile(t.ratings, t.movies))
+    return profile.user_taste_thresholds(profile.user_genre_profile(t.ratings, t.movies, tasks=t.tasks))
 
 
 def _movies_per_year(spark, sf_dir):
@@ -483,7 +483,7 @@ def _top_rated(spark, sf_dir):
 
 def _all_profile(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return profile.user_genre_profile(t.ratings, t.movies)
+    return profile.user_genre_profile(t.ratings, t.movies, tasks=t.tasks)
 
 
 def _pair_profile(spark, sf_dir, users=P.PAIR):

@@ -25,12 +25,16 @@ from marquee.sources.files import load_dataset
 
 _SOURCE_TABLES = ("movies", "ratings", "tags")
 
+#: Rating and tag records a task multiplies by genres at once, and records up to which the join's own partitions do.
+RECORDS_PER_TASK, FEW_RECORDS = 200_000, 2_000_000
+
 
 @dataclass
 class MovieTables:
     raw_ratings: DataFrame | None
     raw_movies: DataFrame | None
     raw_tags: DataFrame | None
+    sources: tuple[DataFrame, ...] = ()  # file scans with a row or more for each rating and tag, to size tasks by
     _kept: list[DataFrame] = field(default_factory=list, repr=False)
 
     @classmethod
@@ -49,10 +53,12 @@ class MovieTables:
     ) -> MovieTables:
         """``user_ids`` and ``movie_ids`` limit the ratings, tags (users) and movies to what a lookup is about, as filters
         that reach the Parquet reader."""
+        whole = user_ids is None and movie_ids is None
         return cls(
             adapter.raw_ratings(spark, sf_dir, dirty, user_ids, movie_ids),
             adapter.raw_movies(spark, sf_dir, dirty, movie_ids),
             adapter.raw_tags(spark, sf_dir, user_ids),
+            tuple(adapter.read_table(spark, sf_dir, name) for name in ("lineitem", "events")) if whole else (),
         )
 
     @classmethod
@@ -112,6 +118,20 @@ class MovieTables:
         """The wide table with repeated genre parts folded into a weight (``model.interaction_genres``)."""
         return interaction_genres(self.interactions, self.movies)
 
+    @cached_property
+    def spread_genre_rows(self) -> DataFrame:
+        """``genre_rows`` for queries about all users and genres: dealt over ``tasks`` before rows multiply by genres."""
+        return self.genre_rows if self.tasks is None else interaction_genres(self.interactions, self.movies, self.tasks)
+
+    @cached_property
+    def tasks(self) -> int | None:
+        """Tasks for steps that multiply ratings or tags by genres, in proportion to the records; None for few records or
+        tables of unknown size. Counts the source files' rows, which Parquet keeps in its footers."""
+        records = sum(df.count() for df in self.sources)
+        if records <= FEW_RECORDS:
+            return None
+        return max(-(-records // RECORDS_PER_TASK), self.sources[0].sparkSession.sparkContext.defaultParallelism)
+
     def reuse(
         self,
         how: str = "persist",
@@ -137,6 +157,8 @@ class MovieTables:
                 kept = df.persist(StorageLevel.MEMORY_AND_DISK)
                 self._kept.append(kept)
             self.__dict__[name] = kept
+            if name == "genre_rows":
+                self.__dict__["spread_genre_rows"] = kept
         return self
 
     def release(self) -> None:

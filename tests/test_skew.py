@@ -100,3 +100,30 @@ def test_hot_movie_join_partition_is_split(spark, small):
     assert sum(r.watchings for r in got_prof) == hot_ratings.count() * 4
     assert counts[1] == hot_ratings.where("movieId = 1").count() * 4
     assert sum(counts.values()) == hot_ratings.count() * 4
+
+
+def test_dealt_rows_give_the_same_and_are_spread_before_they_multiply(skewed, monkeypatch):
+    """A hot user and a hot movie: each task has its share of the pairs, and results are those of the plain join. Two rows
+    of a movie, repeated and empty genre parts and null genres among them."""
+    from marquee.plans import tables
+
+    ratings, tags, movies = skewed
+    third = F.pmod(F.xxhash64("userId", "timestamp", "movieId"), F.lit(3)) == 0
+    ratings = ratings.withColumn("movieId", F.when(third, F.lit(1)).otherwise(F.col("movieId")))
+    odd = movies.where("movieId <= 4").withColumn("genres", F.when(F.col("movieId") == 4, F.lit(None)).otherwise(F.lit("A|A||B")))
+    movies = movies.unionByName(odd)
+    inter = model.interactions(ratings, tags)
+    dealt = model.interaction_genres(inter, movies, tasks=12)
+    assert sorted(dealt.collect(), key=repr) == sorted(model.interaction_genres(inter, movies).collect(), key=repr)
+    records = model.rated_genres(ratings, movies.where("genres is not null"), tasks=12)
+    plain = model.rated_genres(ratings, movies.where("genres is not null"))
+    assert records.columns == plain.columns and sorted(records.collect(), key=repr) == sorted(plain.collect(), key=repr)
+    for rows in (dealt, records):
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 12 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    monkeypatch.setattr(tables, "RECORDS_PER_TASK", 500)
+    monkeypatch.setattr(tables, "FEW_RECORDS", 1000)
+    found = tables.MovieTables(None, movies, None, (ratings, tags))
+    assert found.tasks == -(-(ratings.count() + tags.count()) // 500)
+    monkeypatch.setattr(tables, "FEW_RECORDS", 10**9)
+    assert tables.MovieTables(None, movies, None, (ratings, tags)).tasks is None and tables.MovieTables(None, movies, None).tasks is None
