@@ -14,12 +14,18 @@ from marquee.functions.columns import year_of_date_text
 
 #: Binary logarithm of a sketch's registers; the standard error is about 1.04 / sqrt(2 ** LOG_K), here 0.8 %.
 LOG_K = 14
+#: Tasks that a day's records are dealt over, at most: as many sketches of a day cross the network.
+SLICES = 8
 
 
 def daily_sketches(ratings: DataFrame, log_k: int = LOG_K) -> DataFrame:
     """``watching_date, users, num_ratings``: a sketch of the users of each day and the day's number of records. Records
-    without a date have a row of their own, with a null date; null users are not counted."""
-    return ratings.groupBy("watching_date").agg(F.hll_sketch_agg("userId", F.lit(log_k)).alias("users"), F.count(F.lit(1)).alias("num_ratings"))
+    without a date have a row of their own, with a null date; null users are not counted.
+
+    Records are dealt by day and a slice of its users first. Otherwise every task would have a sketch of nearly every day,
+    and these (up to 16 KB each) would cross the network in numbers that grow with the tasks."""
+    dealt = ratings.select("watching_date", "userId").repartition("watching_date", F.pmod(F.xxhash64("userId"), F.lit(SLICES)))
+    return dealt.groupBy("watching_date").agg(F.hll_sketch_agg("userId", F.lit(log_k)).alias("users"), F.count(F.lit(1)).alias("num_ratings"))
 
 
 def append_days(ratings: DataFrame, path: str) -> None:

@@ -153,7 +153,10 @@ def _quarantine_counts(spark, sf_dir):
 def _sketched_users_per_year(spark, sf_dir):
     """Users of each year from stored daily sketches, appended in three parts, beside the exact count: estimates lie within
     four standard errors."""
-    ratings, path = tables(spark, sf_dir).ratings, scratch_dir(spark, "daily-sketches")
+    path, read_once = scratch_dir(spark, "daily-sketches"), scratch_dir(spark, "user-days")
+    # one join of the source tables, whatever the number of parts
+    tables(spark, sf_dir).ratings.select("userId", "watching_date").write.parquet(read_once)
+    ratings = spark.read.parquet(read_once)
     for part in range(3):
         sketches.append_days(ratings.where(F.pmod("userId", F.lit(3)) == part), path)
     found = sketches.users_per_year(spark.read.parquet(path))

@@ -108,3 +108,12 @@ def test_csv_copy_of_clean_rows_has_no_corrupt_line(spark, tmp_path):
     save_as_csv(raw, str(tmp_path / "movies"))
     read = scan_csv(spark, str(tmp_path / "movies"), "movies", keep_corrupt=True).cache()
     assert read.where(F.col(quarantine.CORRUPT).isNotNull()).count() == 0 and read.count() == raw.count()
+
+
+def test_a_day_s_sketches_do_not_grow_with_the_tasks(small):
+    """Records are dealt by day and slice below the partial aggregate, so a day has at most one sketch for each slice."""
+    plan = sketches.daily_sketches(small.ratings.repartition(40))._jdf.queryExecution().sparkPlan().toString()
+    rows = sketches.daily_sketches(small.ratings.repartition(40)).select("watching_date", "num_ratings").collect()
+    want = small.ratings.groupBy("watching_date").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, want))
+    assert -1 < plan.find("partial_hll_sketch_agg") < plan.find("REPARTITION_BY_COL")
