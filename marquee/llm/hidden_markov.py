@@ -121,18 +121,18 @@ def log_likelihoods(model: Model, texts: list[np.ndarray]) -> np.ndarray:
 
 
 def expected(model: Model, texts: list[np.ndarray]) -> Sums:
-    """Forward and backward over some documents: the expected counts of Baum-Welch."""
+    """Forward and backward over some documents: the expected counts of Baum-Welch. The state shares are the only table of
+    tokens by states; what a step needs of the symbols is looked up as it comes."""
     steps, states = _Steps(texts), len(model.first)
     scale, shares = forward(model, steps, True)
-    emitted = model.emit[steps.symbols] / scale[:, None]
     between, back = np.zeros((states, states)), None
     for t in range(len(steps.many) - 1, -1, -1):
         at = slice(steps.at[t], steps.at[t + 1])
         m = int(steps.many[t])
         after = np.ones((m, states))
         if back is not None:
-            more = len(back)
-            ahead = emitted[steps.at[t + 1] : steps.at[t + 2]] * back
+            more, then = len(back), slice(steps.at[t + 1], steps.at[t + 2])
+            ahead = model.emit[steps.symbols[then]] / scale[then, None] * back
             between += shares[at][:more].T @ ahead
             after[:more] = ahead @ model.step.T
         back = after
@@ -234,7 +234,7 @@ def _chunks(chunk_bytes: int, chunk_words: int):
                 words = raw.translate(_LOWER).split()
                 for w in set(words).difference(place):
                     place[w] = len(place)
-                rows.append((doc, learn, np.array([place[w] for w in words], np.int64)))
+                rows.append((doc, learn, np.array([place[w] for w in words], np.int32)))
                 size += len(raw)
                 if size >= chunk_bytes or len(place) >= chunk_words:
                     yield from _chunk_batches(number, place, rows)

@@ -1,6 +1,7 @@
 """The hidden Markov model against sums over all state paths, plain loops and plain word counts."""
 
 import itertools
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -176,3 +177,15 @@ def test_every_training_document_is_learnt_from_in_each_pass(spark, make_docs):
     for got, other in ((m.model.first, want.first), (m.model.step, want.step), (m.model.emit, want.emit)):
         assert np.allclose(got, other, rtol=1e-6)
     assert sum(H.Sums.from_flat(x, 4).first.sum() for x in sums.values()) == pytest.approx(m.totals[2])
+
+
+def test_expected_counts_hold_one_table_of_tokens_by_states():
+    model, tokens = small_model(states=12, symbols=50, seed=5), 1 << 18
+    texts = list(np.random.default_rng(1).integers(0, 50, (1 << 12, tokens >> 12)))
+    tracemalloc.start()
+    try:
+        H.expected(model, texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * tokens * 12 * 8
