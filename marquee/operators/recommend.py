@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators import fold_in, inner_product
-from marquee.session import checkpoint_root
+from marquee.session import checkpoint_root, scratch_dir
 
 # Fixed values of the reference model.
 MAX_ITER = 10
@@ -34,6 +34,15 @@ def split_ratings(ratings: DataFrame, train_percent: int = TRAIN_PERCENT, seed:
     return ratings.withColumn("is_train", bucket < F.lit(train_percent))
 
 
+def rated_once(ratings: DataFrame) -> DataFrame:
+    """``userId, movieId, rating`` of the records with a rating, written under the shared checkpoint folder: both sides of a
+    split and all that training reads come from there, so what ``ratings`` is made of (a join, say) runs once."""
+    rated = ratings.where(F.col("rating").isNotNull()).select("userId", "movieId", "rating")
+    path = scratch_dir(ratings.sparkSession, "rated")
+    rated.write.parquet(path)
+    return ratings.sparkSession.read.schema(rated.schema).parquet(path)
+
+
 def train_and_test(ratings: DataFrame, train_percent: int = TRAIN_PERCENT, seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
     """The two sides of the split, ``userId, movieId, rating``, of the records with a rating."""
     rated = ratings.where(F.col("rating").isNotNull()).select("userId", "movieId", "rating")

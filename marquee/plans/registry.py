@@ -525,7 +525,7 @@ def _model(spark: SparkSession, sf_dir: str):
     if hit is None or hit[0] is not spark:
         for old in [k for k, v in _MODELS.items() if v[0] is not spark]:
             del _MODELS[old]  # models of sessions that are gone
-        model, test = recommend.train_als(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
+        model, test = recommend.train_als(recommend.rated_once(tables(spark, sf_dir).ratings), seed=P.ALS_SEED)
         hit = _MODELS[key] = (spark, model, test)
     return hit[1], hit[2]
 
@@ -556,7 +556,7 @@ def _als_metrics(spark, sf_dir):
 
 def _mean_predictor_metrics(spark, sf_dir):
     """The error measure on a fixed predictor, the mean train rating of the movie."""
-    train, test = recommend.train_and_test(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
+    train, test = recommend.train_and_test(recommend.rated_once(tables(spark, sf_dir).ratings), seed=P.ALS_SEED)
     e = recommend.evaluation(recommend.mean_predictions(train, test))
     return e.select("num_predictions", F.round("mse", 6).alias("mse"), F.round("rmse", 6).alias("rmse"))
 
@@ -612,7 +612,7 @@ def _fold_in_vectors(spark, sf_dir):
 
 def _cold_start_predictions(spark, sf_dir):
     """A model that a fifth of the users is kept from predicts held-out records of just those users."""
-    old, known, asked = recommend.split_new_users(tables(spark, sf_dir).ratings, seed=P.ALS_SEED)
+    old, known, asked = recommend.split_new_users(recommend.rated_once(tables(spark, sf_dir).ratings), seed=P.ALS_SEED)
     model, _ = recommend.train_als(old, seed=P.ALS_SEED, train_percent=100)
     return recommend.predict_new_users(model, known, asked)
 

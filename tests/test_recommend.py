@@ -44,3 +44,26 @@ def test_ranks_stay_complete_when_movies_are_missing(small):
     recs = recommend.recommend_for_users(model, [1, 3], small.movies.where("movieId % 2 = 0"), n=10).collect()
     assert sorted((r.userId, r["rank"]) for r in recs) == [(u, k) for u in (1, 3) for k in range(1, 11)]
     assert any(r.title is None for r in recs) and all(r.score is not None for r in recs)
+
+
+def test_source_records_are_read_once(spark, small, monkeypatch):
+    """Training, the held-out side and the folded-in users of a query all come from one reading of the ratings."""
+    from marquee.plans import registry
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    ratings = small.ratings.select("userId", "movieId", "rating").where("userId % 5 = 0")
+    total = ratings.count()
+    bundle = type("Tables", (), {"ratings": ratings.mapInArrow(counted, ratings.schema), "movies": small.movies})()
+    monkeypatch.setattr(registry, "tables", lambda *_: bundle)
+    for query in ("als_metrics", "cold_start_predictions", "mean_predictor_metrics"):
+        registry.forget_models()
+        read.value = 0
+        assert registry.queries()[query](spark, "counted").count() > 0
+        assert read.value == total, query
+    registry.forget_models()
