@@ -4,9 +4,10 @@ Items are laid out by falling norm and met in blocks. By the Cauchy-Schwarz ineq
 score more for a user than the user's norm times the norm there; once that is below the user's n-th best score, the user
 is done. So most pairs are never scored, and the result is the same as if all were.
 
-A block has at most ``max_block`` items, so what is sent to the tasks is bounded whatever the number of items; users never
-leave their partitions (no shuffle of users, no pairs of users and items as rows). Each round is written to the shared
-folder and later rounds read the users that are still open.
+A block has at most ``max_block`` items and a round at most ``BLOCKS`` blocks, so what is sent to the tasks is bounded
+whatever the number of items; users never leave their partitions (no shuffle of users, no pairs
+of users and items as rows). Each round is written to the shared folder and later rounds read the users that are still open.
+The work is that of the pairs within the bound, in the worst case of all pairs.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from marquee.session import scratch_dir
 
 #: Items of the first block (it grows by GROWTH until MAX_BLOCK), items scored at once inside a task, users likewise.
 FIRST_BLOCK, GROWTH, MAX_BLOCK, STRIP, USERS_AT_ONCE = 1024, 4, 65536, 512, 2048
-#: Room for rounding in the bound.
-SLACK = 1e-9
+#: Blocks of the full size that one round meets, so that users are written once for all of them.
+BLOCKS = 16
+#: Room for rounding in the bound, and in a product of matrices against the sums in a fixed order.
+SLACK, NEAR = 1e-9, 1e-12
 
 STATE = T.StructType([
     T.StructField("user", T.LongType()),
@@ -46,14 +49,13 @@ def _norm():
     return F.sqrt(F.aggregate("features", F.lit(0.0), lambda total, x: total + x * x))
 
 
-def _met(block, n: int):
-    """Users after one block: their best items so far and how many they were scored against. Self-contained, so that
+def _met(blocks: list, n: int):
+    """Users after some blocks: their best items so far and how many they were scored against. Self-contained, so that
     executors need no copy of this module."""
 
-    strip, users_at_once, slack = STRIP, USERS_AT_ONCE, SLACK
+    strip, users_at_once, slack, near = STRIP, USERS_AT_ONCE, SLACK, NEAR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids, vectors, norms = block.value
         nobody = np.iinfo(np.int64).max
         for whole in batches:
             for at in range(0, whole.num_rows, users_at_once):
@@ -64,23 +66,29 @@ def _met(block, n: int):
                 ids, best = np.full((m, n), nobody), np.full((m, n), -np.inf)
                 for k, (i, s) in enumerate(zip(batch.column("items").to_pylist(), batch.column("scores").to_pylist())):
                     ids[k, : len(i)], best[k, : len(s)] = i, s
-                for start in range(0, len(item_ids), strip):
-                    # an item that could tie the n-th best may have a smaller id, so equality goes on
-                    rows = np.flatnonzero(norm * norms[start] * (1 + slack) >= best[:, -1])
-                    if not len(rows):
-                        break
-                    part = item_ids[start : start + strip]
-                    # sums in a fixed order, so that a score does not depend on the block that it is worked out in
-                    score = np.zeros((len(rows), len(part)))
-                    for f in range(users.shape[1]):
-                        score += users[rows, f][:, None] * vectors[start : start + strip, f][None, :]
-                    scored[rows] += len(part)
-                    better = (score >= best[rows, -1][:, None]).any(axis=1)
-                    rows, score = rows[better], score[better]
-                    score = np.concatenate([best[rows], score], axis=1)
-                    both = np.concatenate([ids[rows], np.broadcast_to(part, (len(rows), len(part)))], axis=1)
-                    order = np.lexsort((both, -score), axis=-1)[:, :n]
-                    best[rows], ids[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(both, order, 1)
+                for block in blocks:
+                    item_ids, vectors, norms = block.value
+                    for start in range(0, len(item_ids), strip):
+                        # an item that could tie the n-th best may have a smaller id, so equality goes on
+                        most = norm * norms[start]
+                        rows = np.flatnonzero(most * (1 + slack) >= best[:, -1])
+                        if not len(rows):
+                            break
+                        part, own = item_ids[start : start + strip], vectors[start : start + strip]
+                        scored[rows] += len(part)
+                        # a product of matrices, right up to rounding, leaves the users that may have a better item
+                        rough = (users[rows] @ own.T).max(axis=1)
+                        rows = rows[~(rough < best[rows, -1] - near * most[rows])]
+                        # sums in a fixed order, so that a score does not depend on the block that it is worked out in
+                        score = np.zeros((len(rows), len(part)))
+                        for f in range(users.shape[1]):
+                            score += users[rows, f][:, None] * own[:, f][None, :]
+                        better = (score >= best[rows, -1][:, None]).any(axis=1)
+                        rows, score = rows[better], score[better]
+                        score = np.concatenate([best[rows], score], axis=1)
+                        both = np.concatenate([ids[rows], np.broadcast_to(part, (len(rows), len(part)))], axis=1)
+                        order = np.lexsort((both, -score), axis=-1)[:, :n]
+                        best[rows], ids[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(both, order, 1)
                 found = [i[i != nobody].tolist() for i in ids]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -124,15 +132,20 @@ def search(users: DataFrame, items: DataFrame, n: int, user_col: str = "id", ite
 
     rank, size, done = 0, first_block, []
     while rank < total:
-        end = min(total, rank + size)
-        # with the first item of the next block, whose norm bounds all that follows
-        rows = ordered.where(F.col("place").between(place_of(rank), place_of(min(end, total - 1)))).orderBy("place").toArrow()
-        norms = rows.column("norm").to_numpy()
-        vectors = np.array(rows.column("features").to_pylist())
-        n_own = end - rank
-        block = spark.sparkContext.broadcast((rows.column("item").to_numpy()[:n_own], vectors[:n_own], norms[:n_own]))
-        left = _written(left.mapInArrow(_met(block, n), STATE), "inner-products")
-        if end == total:
+        blocks, stop = [], min(total, rank + (size if size < max_block else BLOCKS * size))
+        while rank < stop:
+            end = min(total, rank + size)
+            # with the first item of the next block, whose norm bounds all that follows
+            rows = ordered.where(F.col("place").between(place_of(rank), place_of(min(end, total - 1)))).orderBy("place").toArrow()
+            norms = rows.column("norm").to_numpy()
+            vectors = np.array(rows.column("features").to_pylist())
+            n_own = end - rank
+            blocks.append(spark.sparkContext.broadcast((rows.column("item").to_numpy()[:n_own], vectors[:n_own], norms[:n_own])))
+            rank = end
+        left = _written(left.mapInArrow(_met(blocks, n), STATE), "inner-products")
+        for block in blocks:
+            block.unpersist()
+        if rank == total:
             break
         bound = F.col("norm") * F.lit(float(norms[n_own]) * (1 + SLACK))
         ready = (F.size("items") == n) & (F.get("scores", F.lit(n - 1)) > bound)
@@ -140,7 +153,7 @@ def search(users: DataFrame, items: DataFrame, n: int, user_col: str = "id", ite
         left = left.where(~ready)
         if left.isEmpty():
             break
-        rank, size = end, min(size * GROWTH, max_block)
+        size = min(size * GROWTH, max_block)
     for part in done:
         left = left.unionByName(part)
     return left

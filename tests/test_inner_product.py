@@ -48,6 +48,17 @@ def test_all_users_equal_brute_force(spark, case):
     found.unpersist()
 
 
+def test_users_are_written_once_for_many_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    users, items = rng.normal(size=(40, 4)), rng.normal(size=(300, 4))
+    items /= np.linalg.norm(items, axis=1, keepdims=True)  # even norms: every user meets every block
+    names, old = [], inner_product._written
+    monkeypatch.setattr(inner_product, "_written", lambda df, name: names.append(name) or old(df, name))
+    found = inner_product.search(frame(spark, users), frame(spark, items), 5, first_block=4, max_block=16)
+    assert sorted(map(tuple, inner_product.ranked(found).collect())) == brute(users, items, 5)
+    assert names.count("inner-products") <= 4  # 4 items, then 16 blocks a round; 20 rounds with one block each
+
+
 def test_few_items_no_rows_and_missing_values(spark):
     items = frame(spark, [[1, 0], [0, 2]], [5, 3])
     none = spark.createDataFrame([(None, [1.0, 1.0]), (4, None)], "id int, features array<float>")
