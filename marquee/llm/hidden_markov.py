@@ -17,6 +17,7 @@ the words meet their counts by a join, and the answers go back to the chunk.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -45,10 +46,22 @@ LONG = 2048
 #: Documents are learnt from if their fold of FOLDS is not HELD_OUT.
 FOLDS, HELD_OUT = 7, 2
 
+#: Words whose places go into one batch of document rows (a single longer document exceeds it).
+BATCH_WORDS = 1 << 18
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 END = 0
 
 
+def _give_back() -> None:
+    """A Python worker serves later stages too: what a task has freed goes back to the system at its end, not on to them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 # the model -------------------------------------------------------------------------------------------
 
 
@@ -202,16 +215,23 @@ def _chunk_batches(number: int, place: dict[bytes, int], rows: list[tuple]) -> I
         columns["chunk"] = pa.array(np.full(n, number))
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
 
-    learnt = [places for _, learn, places in rows if learn]
-    counts = np.bincount(np.concatenate(learnt) if learnt else np.zeros(0, np.int64), minlength=len(place))
+    counts = np.zeros(len(place), np.int64)
+    for _, learn, places in rows:
+        if learn:
+            np.add.at(counts, places, 1)
     order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order))
-    yield batch(len(rows), {
-        "doc_id": pa.array([d for d, _, _ in rows], pa.int64()),
-        "learn": pa.array([x for _, x, _ in rows], pa.bool_()),
-        "words": pa.array([planes(rank[places]) for _, _, places in rows], pa.binary()),
-    })
+    ends, start = np.cumsum([len(places) for _, _, places in rows]), 0
+    while start < len(rows):
+        end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + BATCH_WORDS, side="right")))
+        own = rows[start:end]
+        yield batch(len(own), {
+            "doc_id": pa.array([d for d, _, _ in own], pa.int64()),
+            "learn": pa.array([x for _, x, _ in own], pa.bool_()),
+            "words": pa.array([planes(rank[places]) for _, _, places in own], pa.binary()),
+        })
+        start = end
     words = list(place)
     for k in range(0, len(words), 1 << 16):
         part = order[k : k + (1 << 16)].tolist()
@@ -241,6 +261,8 @@ def _chunks(chunk_bytes: int, chunk_words: int):
                     number, size, place, rows = number + 1, 0, {}, []
         if rows:
             yield from _chunk_batches(number, place, rows)
+            place, rows = {}, []
+        _give_back()
 
     return run
 
@@ -268,13 +290,15 @@ def _encode(total: int, distinct: int, ends: int, of_symbol: np.ndarray):
         share = of_symbol[symbol]
         inside = np.where(share > 0, np.log10((count + 1) / np.maximum(share, 1)), 0.0)
         out = {name: [] for name in ("n_tokens", "n_known", "base_score", "inside", "symbols")}
-        for raw in documents.column("words").to_pylist():
-            mine = from_planes(raw)
-            out["n_tokens"].append(len(mine) + 1)
-            out["n_known"].append(int((count[mine] > 0).sum()) + (ends > 0))
-            out["base_score"].append(float(base[mine].sum() + np.log10((ends + 1) / (total + distinct + 1))))
-            out["inside"].append(float(inside[mine].sum()))
-            out["symbols"].append(np.append(symbol[mine], END).astype("<u2").tobytes())
+        for batch in documents.select(["words"]).to_batches(max_chunksize=1024):
+            for raw in column_list(batch, "words"):
+                mine = from_planes(raw)
+                out["n_tokens"].append(len(mine) + 1)
+                out["n_known"].append(int((count[mine] > 0).sum()) + (ends > 0))
+                out["base_score"].append(float(base[mine].sum() + np.log10((ends + 1) / (total + distinct + 1))))
+                out["inside"].append(float(inside[mine].sum()))
+                out["symbols"].append(np.append(symbol[mine], END).astype("<u2").tobytes())
+        _give_back()
         kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "inside": pa.float64(), "symbols": pa.binary()}
         return pa.table({"doc_id": documents.column("doc_id"), "learn": documents.column("learn")} | {n: pa.array(x, kinds[n]) for n, x in out.items()})
 
@@ -301,6 +325,7 @@ def _sums(model: Model, block_tokens: int):
             salt = TaskContext.get().partitionId() % 64
             parts = [total[k : k + _PART] for k in range(0, len(total), _PART)]
             yield pa.RecordBatch.from_pydict({"part": pa.array(range(len(parts)), pa.int32()), "salt": pa.array([salt] * len(parts), pa.int32()), "sums": pa.array([p.tobytes() for p in parts], pa.binary())})
+        _give_back()
 
     return run
 

@@ -189,3 +189,20 @@ def test_expected_counts_hold_one_table_of_tokens_by_states():
     finally:
         tracemalloc.stop()
     assert peak < 2 * tokens * 12 * 8
+
+
+def test_documents_of_a_chunk_come_in_batches_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(H, "BATCH_WORDS", 50, raising=False)
+    rng = np.random.default_rng(3)
+    place = {f"w{k}".encode(): k for k in range(40)}
+    rows = [(k, k % 3 > 0, rng.integers(0, 40, k % 30 if k != 17 else 90).astype(np.int32)) for k in range(60)]
+    batches = list(H._chunk_batches(7, place, rows))
+    documents, words = [b for b in batches if b.column("word").null_count], [b for b in batches if not b.column("word").null_count]
+    sizes = [[len(raw) // 4 for raw in b.column("words").to_pylist()] for b in documents]
+    assert all(sum(s) <= 50 or len(s) == 1 for s in sizes) and sum(map(len, sizes)) == len(rows)
+    (listed,) = words
+    names, counts = listed.column("word").to_pylist(), listed.column("c").to_pylist()
+    read = [(d, x, [names[i] for i in H.from_planes(raw)]) for b in documents for d, x, raw in zip(*[b.column(c).to_pylist() for c in ("doc_id", "learn", "words")])]
+    assert read == [(d, x, [f"w{i}" for i in places]) for d, x, places in rows]
+    learnt = Counter(w for _, x, text in read if x for w in text)
+    assert counts == sorted(counts, reverse=True) and all(learnt[w] == c for w, c in zip(names, counts))
