@@ -516,18 +516,23 @@ def _taste_pairs(spark, sf_dir):
 
 # recommender -----------------------------------------------------------------------------------------
 
-_MODELS: dict[tuple[int, str], tuple[SparkSession, object, DataFrame]] = {}
+_MODELS: dict[tuple[int, str], tuple[SparkSession, object, DataFrame, DataFrame]] = {}
 
 
-def _model(spark: SparkSession, sf_dir: str):
+def _trained(spark: SparkSession, sf_dir: str):
+    """The model, its held-out side and the rated records that both come from."""
     key = (id(spark), sf_dir)
     hit = _MODELS.get(key)
     if hit is None or hit[0] is not spark:
         for old in [k for k, v in _MODELS.items() if v[0] is not spark]:
             del _MODELS[old]  # models of sessions that are gone
-        model, test = recommend.train_als(recommend.rated_once(tables(spark, sf_dir).ratings), seed=P.ALS_SEED)
-        hit = _MODELS[key] = (spark, model, test)
-    return hit[1], hit[2]
+        rated = recommend.rated_once(tables(spark, sf_dir).ratings)
+        hit = _MODELS[key] = (spark, *recommend.train_als(rated, seed=P.ALS_SEED), rated)
+    return hit[1:]
+
+
+def _model(spark: SparkSession, sf_dir: str):
+    return _trained(spark, sf_dir)[:2]
 
 
 def forget_models() -> None:
@@ -562,10 +567,10 @@ def _mean_predictor_metrics(spark, sf_dir):
 
 
 def _recommendations(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    model, _ = _model(spark, sf_dir)
-    users = t.ratings.where(F.col("userId").isin(list(P.USER_LIST) + [P.UNKNOWN_USER])).select("userId").distinct()
-    return recommend.recommend_for_users(model, users, t.movies, P.RECOMMENDATIONS_PER_USER)
+    # the asked users are looked up in the written records (a user without a rating is in no model): no second join of the sources
+    model, _, rated = _trained(spark, sf_dir)
+    users = rated.where(F.col("userId").isin(list(P.USER_LIST) + [P.UNKNOWN_USER])).select("userId").distinct()
+    return recommend.recommend_for_users(model, users, tables(spark, sf_dir).movies, P.RECOMMENDATIONS_PER_USER)
 
 
 def _recommendation_ranks(spark, sf_dir):

@@ -67,3 +67,27 @@ def test_source_records_are_read_once(spark, small, monkeypatch):
         assert registry.queries()[query](spark, "counted").count() > 0
         assert read.value == total, query
     registry.forget_models()
+
+
+def test_asked_users_come_from_the_records_that_training_wrote(spark, small, monkeypatch):
+    """The top lists read the ratings once as well: asked users without ratings get no rows, nor do those without records."""
+    from marquee.plans import registry
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    kept = small.ratings.select("userId", "movieId", "rating").where("userId % 5 = 0 or userId = 3")
+    ratings = kept.withColumn("rating", F.when(F.col("userId") != 3, F.col("rating")))
+    total = ratings.count()
+    bundle = type("Tables", (), {"ratings": ratings.mapInArrow(counted, ratings.schema), "movies": small.movies})()
+    monkeypatch.setattr(registry, "tables", lambda *_: bundle)
+    for query in ("recommendations", "recommendation_ranks"):
+        registry.forget_models()
+        read.value = 0
+        assert {r.userId for r in registry.queries()[query](spark, "counted").collect()} == {5}
+        assert read.value == total, query
+    registry.forget_models()
